@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 # One character of a word: letter, number or underscore in any script.
 WORD = r"[\p{L}\p{N}_]"
@@ -57,7 +58,7 @@ def contains_any(value: Column, words) -> Column:
     return found
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _decode_entities(texts: pd.Series) -> pd.Series:
     def decode(text):
         for _ in range(3):
@@ -70,12 +71,12 @@ def _decode_entities(texts: pd.Series) -> pd.Series:
     return texts.map(decode, na_action="ignore")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _decode_entities_once(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _compatibility_form(texts: pd.Series) -> pd.Series:
     return texts.map(lambda text: unicodedata.normalize("NFKC", text), na_action="ignore")
 

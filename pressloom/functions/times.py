@@ -7,19 +7,19 @@ from pyspark.sql import functions as F
 
 CIVIL_ZONE = "Asia/Shanghai"
 
-# Zone names of mail dates and their offsets in minutes.
+# Zone names of mail dates and their offsets.
 MAIL_ZONES = {
-    "EST": -300, "EDT": -240, "CST": -360, "CDT": -300,
-    "MST": -420, "MDT": -360, "PST": -480, "PDT": -420,
-    "AST": -240, "ADT": -180,
+    "EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500",
+    "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700",
+    "AST": "-0400", "ADT": "-0300",
 }
+# "Tue, 22 Sep 2026 10:10:00 +0800" and, for posts, "Tue Sep 22 10:10:00 +0800 2026".
 _MAIL = (
-    r"(?i)^\s*(?:[a-z]{3,9}\s*,?\s+|[a-z]{3,9},)?"
-    r"(\d{1,2})[\s-]+([a-z]{3})[a-z]*[\s-]+(\d{4}|\d{2})\s+(\d{1,2}):(\d{2})(?::(\d{2}))?\s*([a-z]+|[+-]\d{4})?"
+    r"(?i)^(?:[a-z]{3,9} ?,? |[a-z]{3,9},)?"
+    r"(\d{1,2})[ -]+([a-z]{3})[a-z]*[ -]+(\d{4}|\d{2}) (\d{1,2}:\d{2})(:\d{2})? ?([a-z]+|[+-]\d{4})?.*$"
 )
 _POST = (
-    r"(?i)^\s*(?:[a-z]{3,9}\s*,?\s+)?([a-z]{3})[a-z]*\s+(\d{1,2})\s+(\d{1,2}):(\d{2})(?::(\d{2}))?\s+"
-    r"([a-z]+|[+-]\d{4})\s+(\d{4})\s*$"
+    r"(?i)^(?:[a-z]{3,9} ?,? )?([a-z]{3})[a-z]* (\d{1,2}) (\d{1,2}:\d{2})(:\d{2})? ([a-z]+|[+-]\d{4}) (\d{4})$"
 )
 _ISO = (
     r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?(?:Z|[+-]\d{2}(?::?\d{2})?)?)?$"
@@ -30,54 +30,32 @@ def _number(text: Column, pattern: str, group: int) -> Column:
     return F.regexp_extract(text, pattern, group).try_cast("int")
 
 
-def _month(text: Column, pattern: str, group: int) -> Column:
-    name = F.lower(F.regexp_extract(text, pattern, group))
-    place = F.instr(F.lit("jan feb mar apr may jun jul aug sep oct nov dec"), name)
-    return F.when((place > 0) & (name != ""), ((place - 1) / 4 + 1).cast("int"))
-
-
-def _offset_minutes(text: Column, pattern: str, group: int) -> Column:
-    zone = F.upper(F.regexp_extract(text, pattern, group))
-    value = F.when(
-        zone.rlike(r"^[+-]\d{4}$"),
-        F.when(zone.startswith("-"), -1).otherwise(1)
-        * (F.substring(zone, 2, 2).try_cast("int") * 60 + F.substring(zone, 4, 2).try_cast("int")),
-    )
-    for name, minutes in MAIL_ZONES.items():
-        value = value.when(zone == name, minutes)
-    return value.otherwise(0)
-
-
-def _assembled(text: Column, pattern: str, day, month, year, hour, minute, second, zone) -> Column:
-    raw_year = _number(text, pattern, year)
-    full_year = F.when(raw_year < 69, raw_year + 2000).when(raw_year < 100, raw_year + 1900).otherwise(raw_year)
-    wall = F.try_make_timestamp(
-        full_year,
-        _month(text, pattern, month),
-        _number(text, pattern, day),
-        _number(text, pattern, hour),
-        _number(text, pattern, minute),
-        F.coalesce(_number(text, pattern, second), F.lit(0)),
-        F.lit("UTC"),
-    )
-    return F.timestamp_micros(
-        F.unix_micros(wall) - _offset_minutes(text, pattern, zone).cast("bigint") * 60_000_000
-    )
+def _iso_with_zone(text: Column) -> Column:
+    """An ISO date with an explicit zone; a naive one is UTC."""
+    timed = F.regexp_replace(text, r"^(\d{4}-\d{2}-\d{2})$", "$1T00:00:00")
+    zoned = F.regexp_replace(timed, r"([T ]\d{2}:[\d:.]+)$", "$1Z")
+    return F.regexp_replace(zoned, r"([+-]\d{2})(\d{2})$", "$1:$2")
+
+
+def _mail_with_zone(text: Column) -> Column:
+    """A mail or post date as ``d MMM yyyy H:mm[:ss] +hhmm``; an unknown zone is UTC."""
+    plain = F.regexp_replace(F.regexp_replace(text, _POST, "$2 $1 $6 $3$4 $5"), _MAIL, "$1 $2 $3 $4$5 $6")
+    plain = F.regexp_replace(plain, r"^(\d+ \w+) ([0-5]\d|6[0-8]) ", "$1 20$2 ")
+    plain = F.regexp_replace(plain, r"^(\d+ \w+) (\d{2}) ", "$1 19$2 ")
+    zone = F.upper(F.regexp_extract(plain, r"([A-Za-z]+|[+-]\d{4})?$", 1))
+    offset = F.when(zone.rlike(r"^[+-]"), zone)
+    for name, value in MAIL_ZONES.items():
+        offset = offset.when(zone == name, F.lit(value))
+    return F.concat(F.trim(F.regexp_replace(plain, r"(?:[A-Za-z]+|[+-]\d{4})$", "")), F.lit(" "), offset.otherwise(F.lit("+0000")))
 
 
 def published_at(cleaned: Column) -> Column:
-    """A cleaned feed date as a UTC timestamp; null if absent or unreadable, never 'now'."""
-    with_colon = F.regexp_replace(cleaned, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    zoned = (
-        F.when(cleaned.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(cleaned, F.lit("T00:00:00Z")))
-        .when(cleaned.rlike(r"(?:Z|[+-]\d{2}:?\d{2}|:\d{2}[+-]\d{2})$") & ~cleaned.rlike(r"^\d{4}-\d{2}-\d{2}$"), with_colon)
-        .otherwise(F.concat(cleaned, F.lit("Z")))
-    )
-    return (
-        F.when(cleaned.rlike(_ISO), zoned.try_cast("timestamp"))
-        .when(cleaned.rlike(_MAIL), _assembled(cleaned, _MAIL, 1, 2, 3, 4, 5, 6, 7))
-        .when(cleaned.rlike(_POST), _assembled(cleaned, _POST, 2, 1, 7, 3, 4, 5, 6))
-    )
+    """A cleaned feed date as a UTC timestamp; null if absent or unreadable, never 'now'.
+
+    The argument is used several times: pass a column, not a long expression.
+    """
+    mail = F.try_to_timestamp(_mail_with_zone(cleaned), F.lit("d MMM yyyy H:mm[:ss] Z"))
+    return F.when(cleaned.rlike(_ISO), _iso_with_zone(cleaned).try_cast("timestamp")).when(cleaned != "", mail)
 
 
 _LOCAL = r"(20\d{2})[-年/](\d{1,2})[-月/](\d{1,2})(?:日)?(?:\s*)(\d{1,2}):(\d{2})(?::(\d{2}))?"

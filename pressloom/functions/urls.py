@@ -82,7 +82,7 @@ def _drop_dot_parts(joined: Column) -> Column:
     """Resolve './' and up to three levels of '../' in an absolute path."""
     out = F.regexp_replace(joined, r"/(?:\./)+", "/")
     for _ in range(3):
-        out = F.regexp_replace(out, r"/(?!\.\.)[^/]+/\.\./", "/")
+        out = F.regexp_replace(out, r"/(?!\.\./)[^/]*/\.\./", "/")
     return F.regexp_replace(out, r"^(?:/\.\.)+/", "/")
 
 
