@@ -106,7 +106,7 @@ def page_links(pages: DataFrame, path_pattern: str, keywords: list[str]) -> Data
 
     Keeps links to the page's own host with a matching address and a keyword in the text.
     """
-    anchors = F.regexp_extract_all(c_html(), F.lit(r"(?is)<a\b[^>]*>.*?</a>"), F.lit(0))
+    anchors = F.regexp_extract_all(content_html(), F.lit(r"(?is)<a\b[^>]*>.*?</a>"), F.lit(0))
     links = (
         pages.select("page_id", F.col("url").alias("page_url"), F.posexplode(anchors).alias("pos", "anchor"))
         .select(
@@ -126,7 +126,7 @@ def page_links(pages: DataFrame, path_pattern: str, keywords: list[str]) -> Data
     return kept.groupBy("url").agg(F.min_by("title", order).alias("title"), F.count(F.lit(1)).alias("mentions"))
 
 
-def c_html() -> Column:
+def content_html() -> Column:
     return F.regexp_replace(F.col("html"), _NOT_CONTENT, " ")
 
 
