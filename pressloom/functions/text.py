@@ -114,7 +114,10 @@ def title_key(title: Column) -> Column:
 def search_text(value: Column) -> Column:
     """Folded text for matching; the stored text is never rewritten."""
     pairs = {**VARIANTS, **CASE_FOLD}
-    folded = F.translate(F.lower(value), "".join(pairs), "".join(pairs.values()))
+    lowered = F.lower(value)
+    # translate() looks up every character, so texts without a variant go around it.
+    varied = F.translate(lowered, "".join(pairs), "".join(pairs.values()))
+    folded = F.when(value.rlike(f"[{''.join(pairs)}]"), varied).otherwise(lowered)
     return F.replace(folded, F.lit("ß"), F.lit("ss"))
 
 

@@ -10,7 +10,7 @@ from pressloom.functions import text as X
 from pressloom.functions.classify import ranked
 from pressloom.functions.package import TRACE_LABELS, TRACE_MORE, TRACE_OTHER, mapped
 from pressloom.functions.times import civil_day, iso_day
-from pressloom.operators.scale import cap_per_group, computed_once, first_by, top_per_group
+from pressloom.operators.scale import SALTS, computed_once, first_by, limit_of, rank_in_groups
 from pressloom.rules.pack import EVENT_RANK, OBSERVATION, SPECIFIC_MARKETS, RulePack
 
 EVENT_KEY = ["day", "topic", "event_market"]
@@ -293,29 +293,27 @@ def choose_events(events: DataFrame, budgets: dict[str, int]) -> DataFrame:
     """Label each event ``selected`` or not.
 
     The best events of a market fill its budget. If six or more places hold no series, the last one
-    goes to the best series left. A market outside the map is unlimited. Chosen ids number at most
-    the sum of the budgets, which bounds the broadcast.
+    goes to the best series left. A market outside the map is unlimited.
     """
     c = F.col
-    listed = c("market").isin(list(budgets))
-    narrow = events.filter(listed).select("id", "market", "distribution", "relevance")
+    is_series = F.coalesce(c("distribution") == "series", F.lit(False))
     order = [c("relevance"), c("id")]
-    limit = F.lit(0)
-    for market, budget in budgets.items():
-        limit = F.when(c("market") == market, F.lit(max(0, budget))).otherwise(limit)
-    top = top_per_group(narrow, ["market"], order, max([0, *budgets.values()])).filter(c("rank") <= limit)
-    series = top_per_group(narrow.filter(c("distribution") == "series"), ["market"], order, 1, "series_rank").filter(limit >= 6)
-    with_series = top.filter(c("distribution") == "series").select("market").distinct()
-    # One row per market: the series that takes the last place.
-    rescue = series.join(with_series, "market", "left_anti").select("market", c("id").alias("rescued_id"))
-    ranked_top = top.join(F.broadcast(rescue), "market", "left")
-    stays = ranked_top.filter(c("rescued_id").isNull() | (c("rank") < limit)).select("id")
-    selected = stays.unionByName(rescue.select(c("rescued_id").alias("id"))).withColumn("_chosen", F.lit(True))
-    return (
-        events.join(F.broadcast(selected), "id", "left")
-        .withColumn("selected", F.coalesce(c("_chosen"), ~F.coalesce(listed, F.lit(False))))
-        .drop("_chosen")
+    limit = limit_of(c("market"), budgets)
+    ranked_events = rank_in_groups(events, "market", budgets, order, also=is_series)
+    # Only leaders carry a rank; they number at most one budget and one series per salt.
+    leaders = Window.partitionBy("market", F.when(c("group_rank").isNull(), F.pmod(F.xxhash64("id"), F.lit(SALTS))))
+    shown = F.coalesce(c("group_rank") <= limit, F.lit(False))
+    staged = ranked_events.withColumns(
+        {
+            "_series_shown": F.max(shown & is_series).over(leaders),
+            "_best_series": F.min(F.when(is_series, c("group_rank"))).over(leaders),
+        }
     )
+    rescue = (limit >= 6) & ~c("_series_shown") & c("_best_series").isNotNull()
+    place = F.when(rescue & (c("group_rank") == limit), False).when(rescue & (c("group_rank") == c("_best_series")), True)
+    return staged.withColumn(
+        "selected", F.when(limit.isNull(), True).otherwise(place.otherwise(shown))
+    ).drop("_series_shown", "_best_series", "group_rank")
 
 
 def brief_stats(analysed: DataFrame, events: DataFrame, budgets: dict[str, int]) -> DataFrame:
@@ -324,9 +322,7 @@ def brief_stats(analysed: DataFrame, events: DataFrame, budgets: dict[str, int])
     records = analysed.agg(
         F.count(F.lit(1)).alias("source_items"), F.count_if(c("reason").isNotNull()).alias("filtered_low_signal")
     )
-    limit = F.lit(None).cast("bigint")
-    for market, budget in budgets.items():
-        limit = F.when(c("market") == market, F.lit(max(0, budget)).cast("bigint")).otherwise(limit)
+    limit = limit_of(c("market"), budgets).cast("bigint")
     markets = events.groupBy("market").agg(
         F.count(F.lit(1)).alias("n"), F.sum(c("group_size") - 1).alias("merged")
     ).withColumn("shown", F.least(c("n"), F.coalesce(limit, c("n"))))

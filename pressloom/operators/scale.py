@@ -33,16 +33,44 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column], limit: i
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= limit)
 
 
+def limit_of(group: Column, limits: dict[str, int]) -> Column:
+    """The limit of a group as an expression; null where none is set."""
+    out = F.lit(None).cast("int")
+    for name, limit in limits.items():
+        out = F.when(group == name, F.lit(max(0, int(limit)))).otherwise(out)
+    return out
+
+
+def rank_in_groups(df: DataFrame, group: str, limits: dict[str, int], order: list[Column],
+                   also: Column | None = None) -> DataFrame:
+    """Add ``group_rank`` to the rows of limited groups that can be among the first ``limit``.
+
+    Two rankings: within a salted part of each group, then among the few leaders of all parts. A
+    group with most of the rows is thus ranked by many tasks, and the input is read once. Where
+    ``also`` is given, the first such row of each part stays a leader too. Rows that cannot be
+    chosen keep a null rank.
+    """
+    listed = F.coalesce(F.col(group).isin(list(limits)), F.lit(False))
+    most = max([0, *limits.values()])
+    part = Window.partitionBy(group, "_salt")
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)))
+    leader = F.row_number().over(part.orderBy(*order)) <= most
+    if also is not None:
+        first_also = F.row_number().over(Window.partitionBy(group, "_salt", also).orderBy(*order)) == 1
+        leader = leader | (also & first_also)
+    led = salted.withColumn("_leader", listed & leader)
+    whole = Window.partitionBy(group, F.when(F.col("_leader"), F.lit(-1)).otherwise(F.col("_salt")))
+    rank = F.row_number().over(whole.orderBy(*order))
+    return led.withColumn("group_rank", F.when(F.col("_leader"), rank)).drop("_salt", "_leader")
+
+
 def cap_per_group(df: DataFrame, group: str, limits: dict[str, int], order: list[Column]) -> DataFrame:
-    """Keep at most ``limits[g]`` rows of each listed group; other groups pass whole and unranked."""
+    """Keep at most ``limits[g]`` rows of each listed group; other groups pass whole."""
     if not limits:
         return df
-    listed = F.coalesce(F.col(group).isin(list(limits)), F.lit(False))
-    top = top_per_group(df.filter(listed), [group], order, max(max(limits.values()), 0), "_rank")
-    own_limit = F.lit(0)
-    for name, limit in limits.items():
-        own_limit = F.when(F.col(group) == name, F.lit(int(limit))).otherwise(own_limit)
-    return top.filter(F.col("_rank") <= own_limit).drop("_rank").unionByName(df.filter(~listed))
+    limit = limit_of(F.col(group), limits)
+    ranked = rank_in_groups(df, group, limits, order)
+    return ranked.filter(limit.isNull() | (F.col("group_rank") <= limit)).drop("group_rank")
 
 
 def first_by(value: Column, order: Column) -> Column:

@@ -26,8 +26,20 @@ POLICY = Policy(
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+ROW_KEYS = {"documents": ["doc_id"], "pages": ["page_id"], "events": ["event_id"], "conversations": ["conv_id", "turn"]}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """One of the given tables.
+
+    A scan with fewer splits than cores (one small file) is spread by its row key, so that the text
+    work uses all cores. A large table has splits enough and is read as it lies.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if spread and name in ROW_KEYS and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, *ROW_KEYS[name])
+    return df
 
 
 def items_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +69,7 @@ def registry_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source registry out of the distinct sources of ``documents``."""
     n = F.col("n")
     named = (
-        table(spark, sf_dir, "documents").select("source").distinct()
+        table(spark, sf_dir, "documents", spread=False).select("source").distinct()
         .select(F.col("source").alias("source_id"), F.substring("source", 4, 9).try_cast("int").alias("n"))
     )
 

@@ -22,7 +22,8 @@ RUNTIME_CONF = {
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on; cluster sizing stays with the caller."""
     for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -33,6 +34,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # Call sites are not captured for every column expression; plans here are large.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
