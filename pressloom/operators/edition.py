@@ -50,7 +50,7 @@ def reading_order() -> list[Column]:
 
 def cap_market(items: DataFrame, policy: Policy) -> DataFrame:
     """Reading budget per market; a market without a limit is not ranked at all."""
-    return cap_per_group(items, "market", policy.max_items_per_market, reading_order())
+    return cap_per_group(items, "market", policy.max_items_per_market, reading_order(), "group_seq")
 
 
 def position() -> Column:

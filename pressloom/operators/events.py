@@ -299,7 +299,7 @@ def choose_events(events: DataFrame, budgets: dict[str, int]) -> DataFrame:
     is_series = F.coalesce(c("distribution") == "series", F.lit(False))
     order = [c("relevance"), c("id")]
     limit = limit_of(c("market"), budgets)
-    ranked_events = rank_in_groups(events, "market", budgets, order, also=is_series)
+    ranked_events = rank_in_groups(events, "market", budgets, order, "id", also=is_series)
     # Only leaders carry a rank; they number at most one budget and one series per salt.
     leaders = Window.partitionBy("market", F.when(c("group_rank").isNull(), F.pmod(F.xxhash64("id"), F.lit(SALTS))))
     shown = F.coalesce(c("group_rank") <= limit, F.lit(False))

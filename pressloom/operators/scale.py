@@ -42,7 +42,7 @@ def limit_of(group: Column, limits: dict[str, int]) -> Column:
 
 
 def rank_in_groups(df: DataFrame, group: str, limits: dict[str, int], order: list[Column],
-                   also: Column | None = None) -> DataFrame:
+                   salt_by: str, also: Column | None = None) -> DataFrame:
     """Add ``group_rank`` to the rows of limited groups that can be among the first ``limit``.
 
     Two rankings: within a salted part of each group, then among the few leaders of all parts. A
@@ -53,7 +53,7 @@ def rank_in_groups(df: DataFrame, group: str, limits: dict[str, int], order: lis
     listed = F.coalesce(F.col(group).isin(list(limits)), F.lit(False))
     most = max([0, *limits.values()])
     part = Window.partitionBy(group, "_salt")
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)))
     leader = F.row_number().over(part.orderBy(*order)) <= most
     if also is not None:
         first_also = F.row_number().over(Window.partitionBy(group, "_salt", also).orderBy(*order)) == 1
@@ -64,12 +64,12 @@ def rank_in_groups(df: DataFrame, group: str, limits: dict[str, int], order: lis
     return led.withColumn("group_rank", F.when(F.col("_leader"), rank)).drop("_salt", "_leader")
 
 
-def cap_per_group(df: DataFrame, group: str, limits: dict[str, int], order: list[Column]) -> DataFrame:
+def cap_per_group(df: DataFrame, group: str, limits: dict[str, int], order: list[Column], salt_by: str) -> DataFrame:
     """Keep at most ``limits[g]`` rows of each listed group; other groups pass whole."""
     if not limits:
         return df
     limit = limit_of(F.col(group), limits)
-    ranked = rank_in_groups(df, group, limits, order)
+    ranked = rank_in_groups(df, group, limits, order, salt_by)
     return ranked.filter(limit.isNull() | (F.col("group_rank") <= limit)).drop("group_rank")
 
 

@@ -67,7 +67,7 @@ def run_stats(labelled: DataFrame, policy: Policy, pack: RulePack, now: dt.datet
         .select("item.*", "group_seq", "records", "fresh", F.lit(None).cast("string").alias("drop_reason"))
         .withColumn("outcome", _outcome(policy, now))
     )
-    kept = cap_per_group(stories.filter(c("outcome") == "edition"), "market", policy.max_items_per_market, reading_order())
+    kept = cap_per_group(stories.filter(c("outcome") == "edition"), "market", policy.max_items_per_market, reading_order(), "group_seq")
     kept = kept.select(F.lit("shown").alias("outcome"), F.lit(0).cast("bigint").alias("records"),
                        F.lit(0).cast("bigint").alias("fresh"), F.lit(1).cast("bigint").alias("stories"),
                        (D.civil_day(c("published_ts")) != D.civil_day(utc(now))).cast("bigint").alias("carried"))

@@ -42,10 +42,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
     return df
 
 
+def post_title(text: Column) -> Column:
+    """Headline of a text the way posts get one: the first line, cut at 100 characters."""
+    line = F.substring_index(text, "\n", 1)
+    return F.when(F.length(line) > 100, F.concat(F.substring(line, 1, 100), F.lit("…"))).otherwise(line)
+
+
 def items_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored news records out of ``documents``."""
-    first_line = F.substring_index("text", "\n", 1)
-    title = F.when(F.length(first_line) > 100, F.concat(F.substring(first_line, 1, 100), F.lit("…"))).otherwise(first_line)
     stamp = F.expr("timestamp'2024-01-01 00:00:00Z' + make_dt_interval(0, cast(doc_id % 48 as int))")
     published = F.when(F.col("doc_id") % 17 == 0, F.lit("")).otherwise(F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     image = F.when(F.col("n_chars") % 3 == 0, F.concat(F.lit("https://img.example.com/"), "doc_id", F.lit(".jpg")))
@@ -55,7 +59,7 @@ def items_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
         F.col("source").alias("source_id"),
         F.concat(F.lit("https://"), "source", F.lit(".example.com/a/"), "doc_id").alias("url"),
-        title.alias("title"),
+        post_title(F.col("text")).alias("title"),
         F.col("text").alias("summary"),
         published.alias("published"),
         image.alias("image_url"),
@@ -109,3 +113,128 @@ def reports_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("source_order")
     status = F.when(n % 10 == 3, F.lit("partial")).when(n % 10 == 9, F.lit("error")).otherwise(F.lit("ok"))
     return registry_view(spark, sf_dir).select("source_id", status.alias("status"))
+
+
+def observations_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw sightings out of ``events``; arrival order is shuffled, so older runs arrive late.
+
+    The arrival number is unique: a shuffled rank with the event id below it.
+    """
+    return observations_of(table(spark, sf_dir, "events"))
+
+
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table as a stream over its files."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
+    return spark.readStream.schema(schema).parquet(path[:-1] + "[t]")
+
+
+def observations_of(events: DataFrame) -> DataFrame:
+    shuffled = F.expr("(event_id * 7919) % 1000003 * 4294967296 + event_id")
+    return events.select(
+        F.col("event_type").alias("source_id"),
+        F.concat(F.lit("https://example.com/u/"), "user_id").alias("url"),
+        F.col("event_type").alias("title"),
+        F.when(F.col("event_id") % 3 == 0, F.lit("")).otherwise(F.get_json_object("props", "$.k")).alias("summary"),
+        F.when(F.col("event_id") % 4 == 0, (F.col("event_id") % 5).cast("int")).alias("content_priority"),
+        F.date_trunc("day", F.col("ts").cast("timestamp")).alias("run_ts"),
+        shuffled.alias("arrival_seq"),
+    )
+
+
+def captured_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Article pages out of ``pages``: with description, share image, wall time and, in a third of
+    them, an article body that holds an image. The address is that of the matching record."""
+    n = F.col("page_id")
+    text = n.cast("string")
+    share = F.when(n % 4 == 1, F.lit("https://cdn.example.com/logo.png")).otherwise(
+        F.concat(F.lit("https://cdn.example.com/"), text, F.lit(".jpg"))
+    )
+    head = F.concat(
+        F.lit('<meta charset="utf-8"><meta name="description" content="Brief of page '), text,
+        F.lit('"><meta property="og:image" content="'), share, F.lit('">'),
+    )
+    clock = F.when(n % 5 != 0, F.concat(
+        F.lit('<span id="newstime">2024-01-0'), (n % 3 + 1).cast("string"), F.lit(" 08:0"), (n % 10).cast("string"), F.lit("</span>")
+    )).otherwise(F.lit(""))
+    body = F.when(n % 3 == 0, F.concat(F.lit('<div class="entry-content wide"><div><img src="/img/'), text, F.lit('.png"></div>')))
+    opening = F.concat(F.coalesce(body, F.lit("<article>")), clock)
+    closing = F.when(n % 3 == 0, F.lit("</div>")).otherwise(F.lit("</article>"))
+    html = F.replace(F.col("html"), F.lit('<meta charset="utf-8">'), head)
+    html = F.replace(F.replace(html, F.lit("<article>"), opening), F.lit("</article>"), closing)
+    url = F.concat(F.lit("https://src"), n % 20, F.lit(".example.com/a/"), text)
+    return table(spark, sf_dir, "pages").select("page_id", url.alias("url"), html.alias("html"))
+
+
+def notice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notices out of ``pages``: every paragraph of a page becomes a row of its filing table."""
+    n = F.col("page_id").cast("string")
+    paragraphs = F.regexp_extract_all("html", F.lit(r"<p>([^<]*)"), F.lit(1))
+    prefix = F.array(F.lit("影剧"), F.lit("影动"), F.lit("影合"), F.lit("备"))
+    rows = F.transform(
+        paragraphs,
+        lambda p, i: F.concat(
+            F.lit("<tr><td>"), (i + 1).cast("string"), F.lit("</td><td>"), F.get(prefix, i % 4), F.lit("字"), i.cast("string"),
+            F.lit("</td><td>"), p, F.lit("</td><td><script>var _badw = 'Company "), n,
+            F.lit("';</script></td><td>writer</td><td>ok</td><td>region</td></tr>"),
+        ),
+    )
+    html = F.concat(
+        F.lit('<meta name="ArticleTitle" content="关于2024年1月上全国电影剧本 '), n,
+        F.lit('"><meta name="PubDate" content="2024-01-02"><script>str="纪录影片,故事影片";</script>'),
+        F.lit('<div class="hmc4Table"><table><tr><td>head</td></tr>'), F.array_join(rows, ""), F.lit("</table></div>"),
+    )
+    return table(spark, sf_dir, "pages").select("url", html.alias("html"))
+
+
+def responses_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Social responses out of ``conversations``: one response per turn, some of them faulty."""
+    ident = F.col("conv_id").cast("string")
+    post = F.struct(
+        ident.alias("idstr"), F.col("text").alias("text"), F.lit("Tue Sep 22 10:10:00 +0800 2026").alias("created_at"),
+        F.struct(ident.alias("idstr"), F.col("role").alias("screen_name")).alias("user"),
+        F.when(F.col("turn") % 3 == 2, F.struct(F.lit("1").alias("idstr"))).alias("retweeted_status"),
+        F.array(F.struct(F.struct(F.concat(F.lit("https://img.example.com/"), ident, F.lit(".jpg")).alias("url")).alias("large"))).alias("pics"),
+        (F.col("turn") % 2 == 1).alias("is_long_text"),
+    )
+    listed = F.to_json(F.struct(F.struct(F.array(post).alias("statuses")).alias("result")))
+    bare = F.to_json(F.struct(F.array(post).alias("result")))
+    failed = F.to_json(F.struct(F.struct(F.lit(21301).alias("error_code")).alias("result")))
+    payload = F.when(F.col("role") == "system", failed).when(F.col("turn") % 5 == 4, bare).otherwise(listed)
+    return table(spark, sf_dir, "conversations").select(F.col("role").alias("target"), F.col("turn").alias("page"), payload.alias("payload"))
+
+
+CACHE_MODEL = "m"
+
+
+def cache_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Translations of a part of the records, a few of them invalid."""
+    from pressloom.operators.translate import content_key
+
+    items = items_view(spark, sf_dir).filter(F.length("summary") % 3 == 0)
+    title = F.when(F.length("title") % 9 == 0, F.col("title")).otherwise(F.concat(F.lit("译 "), "title"))
+    return items.select(content_key(F.col("title"), F.col("summary"), CACHE_MODEL).alias("key"), title.alias("title"), "summary").distinct()
+
+
+def land_feeds(spark: SparkSession, sf_dir: str) -> str:
+    """Write every record as a feed item below the shared folder; returns the folder."""
+    from pressloom.session import new_workspace
+
+    c = F.col
+    folder = new_workspace(spark, "feeds")
+    place = c("arrival_seq").cast("string")
+    media = F.struct(F.concat(F.lit("https://img.example.com/e"), place, F.lit(".jpg")).alias("_url"), F.lit("image/jpeg").alias("_type"))
+    markup = F.concat(
+        F.lit('<img src="https://img.example.com/b'), place, F.lit('.png"><a href="https://v.example.com/'), place, F.lit('.mp4">')
+    )
+    items = items_view(spark, sf_dir).select(
+        c("title"),
+        F.concat(c("url"), F.lit("?id="), place, F.lit("&utm_source=feed#top")).alias("link"),
+        c("summary").alias("description"),
+        F.when(c("published") != "", c("published")).alias("pubDate"),
+        F.when(c("arrival_seq") % 3 == 0, media).alias("enclosure"),
+        F.when(c("arrival_seq") % 3 == 1, markup).alias("encoded"),
+    )
+    items.write.format("xml").option("rootTag", "channel").option("rowTag", "item").save(folder)
+    return folder

@@ -1,6 +1,7 @@
 """Rules of the same shape for Latin-script tables.
 
-The patterns stay within the syntax that Java and RE2 share, so that a SQL check can use them.
+The patterns stay within the syntax that Java and RE2 share (``(?iu)`` there is ``(?i)``), so that a SQL
+check can use them.
 """
 
 from pressloom.rules.pack import RulePack, SignalRule
@@ -16,7 +17,7 @@ LATIN = RulePack(
     film=r"tion",
     film_entry_type="film",
     market_titles=(("m-cn", "heit"), ("m-hmt", "elle"), ("m-intl", "ntion")),
-    dateline=r"the.*?and",
+    dateline=r"the[^\n]*and",
     dateline_market="m-intl",
     award_market_title=r"onin|eau",
     title_only_keywords=("thnd",),
@@ -24,33 +25,33 @@ LATIN = RulePack(
     social_ids=("src3", "src8"),
     media_title_words=("er", "le"),
     event_kinds=(
-        ("filing", r"(?i)thnd|nung"),
-        ("run_end", r"(?i)herhea"),
-        ("award", r"(?i)thor|ción"),
-        ("box_office", r"(?i)nble|lich"),
-        ("release_date", r"(?i)reat|keit"),
-        ("music_asset", r"(?i)ernt|elle"),
-        ("trailer", r"(?i)onha|entio"),
-        ("poster", r"(?i)ones|heit"),
-        ("renewal", r"(?i)erth"),
-        ("production", r"(?i)enbe|nque"),
-        ("casting", r"(?i)hing|ment"),
-        ("rights", r"(?i)onti"),
-        ("review", r"(?i)anea"),
-        ("campaign", r"(?i)thes"),
+        ("filing", r"(?iu)thnd|nung"),
+        ("run_end", r"(?iu)herhea"),
+        ("award", r"(?iu)thor|ción"),
+        ("box_office", r"(?iu)nble|lich"),
+        ("release_date", r"(?iu)reat|keit"),
+        ("music_asset", r"(?iu)ernt|elle"),
+        ("trailer", r"(?iu)onha|entio"),
+        ("poster", r"(?iu)ones|heit"),
+        ("renewal", r"(?iu)erth"),
+        ("production", r"(?iu)enbe|nque"),
+        ("casting", r"(?iu)hing|ment"),
+        ("rights", r"(?iu)onti"),
+        ("review", r"(?iu)anea"),
+        ("campaign", r"(?iu)thes"),
     ),
-    fact_words=r"(?i)tion|that|eau|ung",
+    fact_words=r"(?iu)tion|that|eau|ung",
     event_facts={
-        "filing": r"(?i)thnd", "run_end": r"(?i)herhea", "award": r"(?i)thor|ción",
-        "box_office": r"(?i)nble", "release_date": r"(?i)reat", "music_asset": r"(?i)ernt",
-        "trailer": r"(?i)onha", "poster": r"(?i)ones", "renewal": r"(?i)erth",
-        "production": r"(?i)enbe", "casting": r"(?i)hing|ment", "rights": r"(?i)onti",
+        "filing": r"(?iu)thnd", "run_end": r"(?iu)herhea", "award": r"(?iu)thor|ción",
+        "box_office": r"(?iu)nble", "release_date": r"(?iu)reat", "music_asset": r"(?iu)ernt",
+        "trailer": r"(?iu)onha", "poster": r"(?iu)ones", "renewal": r"(?iu)erth",
+        "production": r"(?iu)enbe", "casting": r"(?iu)hing|ment", "rights": r"(?iu)onti",
     },
     work=r"([A-ZÀ-Þ][a-zß-ÿ]{4,20})",
     quoted_work=r"“([^”]{3,65})”",
-    amount=r"(?i)[a-z]+nble",
-    advance=r"(?i)than|ich",
-    date=r"(?i)[a-z]+reat",
+    amount=r"(?iu)[a-z]+nble",
+    advance=r"(?iu)than|ich",
+    date=r"(?iu)[a-z]+reat",
     song=r"([a-z]{3,35}) the",
     material=r"and ([a-z]{2,35})",
     general_award=r"this",
@@ -63,8 +64,8 @@ LATIN = RulePack(
     person_name="eriner",
     signals=(
         SignalRule("advance_teaser", title=r"erin", summary=r"hane|ich", not_summary=r"worthless", social_only=True),
-        SignalRule("background_roundup", title=r"(?i)thea.{0,60}thhe"),
-        SignalRule("outside_film_tv", title=r"(?i)anth.{0,25}tion"),
+        SignalRule("background_roundup", title=r"(?iu)thea.{0,60}thhe"),
+        SignalRule("outside_film_tv", title=r"(?iu)anth.{0,25}tion"),
         SignalRule("promotion", title=r"enie|iónr"),
         SignalRule("insufficient_detail", title=r"hain|chli", not_title=r"[A-ZÀ-Þ][a-zß-ÿ]{8,20}"),
         SignalRule("insufficient_detail", short_other=True),
@@ -78,7 +79,7 @@ LATIN = RulePack(
     clause_break=r"[,]",
     number_cue=r"[0-9]|eau|ich",
     fiction_cue=r"hing|elle",
-    project=r"\b([A-Z][a-z]{5,23})\b",
+    project=r"([A-Z][a-z]{5,23})",
     default_tags=("news", "daily"),
     closing_tag="film",
 )
