@@ -52,10 +52,10 @@ def _whole():
     return Window.partitionBy(F.lit(0))
 
 
-def package_tags(selected: DataFrame, pack: RulePack) -> DataFrame:
+def package_tags(selected: DataFrame, pack: RulePack, edition_name: str = "") -> DataFrame:
     """A10: ordered distinct tags of the pack with their place; the first 18 are shown.
 
-    The input is a selected pack, so at most its few items are gathered.
+    ``edition_name`` is the tag of the publication itself, second in the list. The input is a selected pack, so at most its few items are gathered.
     """
     c = F.col
     combined = F.concat_ws(" ", "title", "summary")
@@ -64,7 +64,7 @@ def package_tags(selected: DataFrame, pack: RulePack) -> DataFrame:
     )
     gathered = listed.agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("place", "names"))), lambda x: x["names"])).alias("names"))
     tags = F.concat(
-        F.array(*[F.lit(t) for t in pack.default_tags]), c("names"), F.array(F.lit(pack.closing_tag))
+        F.array(*[F.lit(t) for t in (*pack.default_tags, edition_name)]), c("names"), F.array(F.lit(pack.closing_tag))
     )
     bare = F.filter(F.transform(tags, lambda tag: F.regexp_replace(tag, r"(?U)[\s#]+", "")), lambda tag: tag != "")
     return gathered.select(F.posexplode(F.array_distinct(bare)).alias("pos", "tag")).select(
@@ -72,7 +72,7 @@ def package_tags(selected: DataFrame, pack: RulePack) -> DataFrame:
     )
 
 
-def package_manifest(selected: DataFrame, pack: RulePack, publish_day: dt.date) -> DataFrame:
+def package_manifest(selected: DataFrame, pack: RulePack, publish_day: dt.date, edition_name: str = "") -> DataFrame:
     """One row with digest, caption and tags of a pack of a few items."""
     c = F.col
     label = P.status_label(c("confidence"))
@@ -86,7 +86,7 @@ def package_manifest(selected: DataFrame, pack: RulePack, publish_day: dt.date)
         F.array_sort(F.collect_list(F.struct("place", "id", "title", "status", "paragraph"))).alias("items"),
         F.max("day").alias("source_day"),
     ).filter(F.size("items") > 0)
-    tags = package_tags(selected, pack).agg(
+    tags = package_tags(selected, pack, edition_name).agg(
         F.array_sort(F.collect_list(F.struct("place", "tag", "shown"))).alias("tags")
     )
     ids = F.to_json(F.transform("items", lambda x: x["id"]))

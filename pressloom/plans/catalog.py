@@ -417,15 +417,15 @@ def package_select(spark, d):
 
 
 def package_tags(spark, d):
-    return PK.package_tags(_pack(spark, d), LATIN)
+    return PK.package_tags(_pack(spark, d), LATIN, "daily")
 
 
 def package_digest(spark, d):
-    return PK.package_manifest(_pack(spark, d), LATIN, PUBLISH_DAY).select("digest", "publish_date", "source_date")
+    return PK.package_manifest(_pack(spark, d), LATIN, PUBLISH_DAY, "daily").select("digest", "publish_date", "source_date")
 
 
 def package_caption(spark, d):
-    return PK.package_manifest(_pack(spark, d), LATIN, PUBLISH_DAY).select("digest", "title", "caption")
+    return PK.package_manifest(_pack(spark, d), LATIN, PUBLISH_DAY, "daily").select("digest", "title", "caption")
 
 
 def package_cards(spark, d):

@@ -104,6 +104,6 @@ CHINESE = RulePack(
     fiction_cue=r"讲述|故事发生|饰演|期待|燃爽|震撼|一起走进|评论区",
     project=r"《([^》]{1,24})》",
     templates=True,
-    default_tags=("影视圈", "每日影视简报"),
+    default_tags=("影视圈",),
     closing_tag="电影宣发",
 )

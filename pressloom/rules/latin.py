@@ -80,6 +80,6 @@ LATIN = RulePack(
     number_cue=r"[0-9]|eau|ich",
     fiction_cue=r"hing|elle",
     project=r"([A-Z][a-z]{5,23})",
-    default_tags=("news", "daily"),
+    default_tags=("news",),
     closing_tag="film",
 )
