@@ -117,7 +117,7 @@ def search_text(value: Column) -> Column:
     lowered = F.lower(value)
     # translate() looks up every character, so texts without a variant go around it.
     varied = F.translate(lowered, "".join(pairs), "".join(pairs.values()))
-    folded = F.when(value.rlike(f"[{''.join(pairs)}]"), varied).otherwise(lowered)
+    folded = F.when(value.rlike(f"[一-鿿{''.join(CASE_FOLD)}]"), varied).otherwise(lowered)
     return F.replace(folded, F.lit("ß"), F.lit("ss"))
 
 

@@ -117,8 +117,5 @@ def safe_url(link: Column, base: Column | None = None) -> Column:
 
 
 def usable_news_image(url: Column) -> Column:
-    lowered = F.lower(path(url))
-    bad = F.lit(False)
-    for token in FURNITURE:
-        bad = bad | lowered.contains(token)
-    return is_http(url) & ~F.coalesce(bad, F.lit(False))
+    tokens = "|".join(token.replace(".", r"\.") for token in FURNITURE)
+    return is_http(url) & ~F.coalesce(F.lower(path(url)).rlike(tokens), F.lit(False))

@@ -95,10 +95,18 @@ def label_records(records: DataFrame, registry: DataFrame, policy: Policy, pack:
     return joined.withColumn("drop_reason", drop_reason(policy, pack, now))
 
 
-def candidate_columns(labelled: DataFrame, pack: RulePack) -> DataFrame:
-    """Candidate fields of labelled records that were not dropped."""
+def candidate_columns(labelled: DataFrame, pack: RulePack, keep_dropped: bool = False) -> DataFrame:
+    """Candidate fields of labelled records that were not dropped.
+
+    With ``keep_dropped`` the dropped ones stay for counting, without key and channel.
+    """
     c = F.col
-    kept = labelled.filter(c("drop_reason").isNull())
+    alive = c("drop_reason").isNull()
+    kept = labelled if keep_dropped else labelled.filter(alive)
+
+    def of_kept(value: Column) -> Column:
+        return F.when(alive, value) if keep_dropped else value
+
     lead = X.search_text(F.substring("summary", 1, 100))
     market = K.item_market(c("infer_market"), c("src_market"), c("heading"), lead, pack)
     cut = kept.withColumns({"market": market, "summary": F.substring("summary", 1, SUMMARY_CHARS)}).withColumns(
@@ -123,7 +131,7 @@ def candidate_columns(labelled: DataFrame, pack: RulePack) -> DataFrame:
         c("src_entry_type").alias("entry_type"),
         c("src_language").alias("language"),
         F.coalesce("src_priority", F.lit(3)).alias("content_priority"),
-        K.classify_distribution(configured, c("title"), c("folded"), c("src_entry_type"), pack).alias("distribution"),
+        of_kept(K.classify_distribution(configured, c("title"), c("folded"), c("src_entry_type"), pack)).alias("distribution"),
         F.coalesce("src_carry_days", F.lit(0)).alias("carry_forward_days"),
         "confidence",
         "image_url",
@@ -137,8 +145,10 @@ def candidate_columns(labelled: DataFrame, pack: RulePack) -> DataFrame:
         .otherwise(c("src_name")).alias("source_name"),
         c("src_class").alias("source_class"),
         F.struct(c("source_order"), c("arrival_seq")).alias("seq"),
-        K.dedup_key(c("title"), c("summary"), c("url"), c("source_id"), c("confidence"), c("published_ts"), pack)
-        .alias("dedup_key"),
+        of_kept(
+            K.dedup_key(c("title"), c("summary"), c("url"), c("source_id"), c("confidence"), c("published_ts"), pack)
+        ).alias("dedup_key"),
+        *([c("drop_reason")] if keep_dropped else []),
     )
 
 

@@ -13,7 +13,7 @@ from pressloom.functions.package import empty_market_note
 from pressloom.operators.candidates import candidate_columns, utc
 from pressloom.operators.dedup import primary_order
 from pressloom.operators.edition import in_edition, language_allowed, reading_order
-from pressloom.operators.scale import cap_per_group
+from pressloom.operators.scale import limit_of, rank_in_groups
 from pressloom.policy import Policy
 from pressloom.rules.pack import DISTRIBUTION_RANK, RulePack
 
@@ -46,52 +46,49 @@ def _outcome(policy: Policy, now: dt.datetime) -> Column:
 def run_stats(labelled: DataFrame, policy: Policy, pack: RulePack, now: dt.datetime) -> DataFrame:
     """A2: counters of a run. ``labelled`` keeps the records of disabled sources.
 
-    Record counters (drops before merging) and story counters come from one grouping: a dropped
-    record joins the group of its reason, a candidate the group of its story.
+    Record counters (drops before merging) and story counters come from one grouping and one scan:
+    a dropped record joins the group of its reason, a candidate the group of its story.
     """
     c = F.col
     fields = ["language", "market", "published_ts", "carry_forward_days", "distribution", "content_priority"]
     is_new = (c("first_seen_at") == utc(now)).cast("bigint")
-    dropped = labelled.filter(c("drop_reason").isNotNull()).groupBy("drop_reason").agg(
-        F.count(F.lit(1)).alias("records"), F.sum(is_new).alias("fresh")
-    )
-    stories = (
-        candidate_columns(labelled, pack)
-        .groupBy("dedup_key")
+    groups = (
+        candidate_columns(labelled, pack, keep_dropped=True)
+        .groupBy("drop_reason", "dedup_key")
         .agg(
             F.min_by(F.struct(*fields), primary_order()).alias("item"),
             F.min("seq").alias("group_seq"),
             F.count(F.lit(1)).alias("records"),
             F.sum(is_new).alias("fresh"),
         )
-        .select("item.*", "group_seq", "records", "fresh", F.lit(None).cast("string").alias("drop_reason"))
+        .select("drop_reason", "item.*", "group_seq", "records", "fresh")
         .withColumn("outcome", _outcome(policy, now))
+        .withColumn("shelf", F.when(c("outcome") == "edition", c("market")))
     )
-    kept = cap_per_group(stories.filter(c("outcome") == "edition"), "market", policy.max_items_per_market, reading_order(), "group_seq")
-    kept = kept.select(F.lit("shown").alias("outcome"), F.lit(0).cast("bigint").alias("records"),
-                       F.lit(0).cast("bigint").alias("fresh"), F.lit(1).cast("bigint").alias("stories"),
-                       (D.civil_day(c("published_ts")) != D.civil_day(utc(now))).cast("bigint").alias("carried"))
-    zero = F.lit(0).cast("bigint")
-    parts = (
-        dropped.select(c("drop_reason").alias("outcome"), "records", "fresh", zero.alias("stories"), zero.alias("carried"))
-        .unionByName(stories.select("outcome", "records", "fresh", F.lit(1).cast("bigint").alias("stories"), zero.alias("carried")))
-        .unionByName(kept)
-    )
-
-    def total(column: str, *outcomes: str) -> Column:
-        hit = c("outcome").isin(list(outcomes)) if outcomes else F.lit(True)
-        return F.coalesce(F.sum(F.when(hit, c(column))), zero)
-
-    row = parts.agg(
-        total("records").alias("stored_records"),
-        total("fresh").alias("new_records"),
-        total("stories", "shown").alias("items"),
-        total("stories", "edition", "not_today").alias("pool_items"),
-        total("stories", "language").alias("dropped_language"),
-        total("stories", "not_today").alias("dropped_not_today"),
-        (total("stories", "edition") - total("stories", "shown")).alias("dropped_capacity"),
-        total("carried", "shown").alias("carried_forward"),
-        *[total("records", reason).alias(f"dropped_{reason}") for reason in FUNNEL],
+    limits = policy.max_items_per_market
+    if limits:
+        limit = limit_of(c("shelf"), limits)
+        ranked = rank_in_groups(groups, "shelf", limits, reading_order(), "group_seq")
+        fits = limit.isNull() | F.coalesce(c("group_rank") <= limit, F.lit(False))
+    else:
+        ranked, fits = groups, F.lit(True)
+    story = c("drop_reason").isNull()
+    in_day = c("outcome") == "edition"
+    shown = in_day & fits
+    carried = shown & (D.civil_day(c("published_ts")) != D.civil_day(utc(now)))
+    row = ranked.withColumns({"_shown": shown, "_carried": carried}).agg(
+        F.coalesce(F.sum("records"), F.lit(0)).alias("stored_records"),
+        F.coalesce(F.sum("fresh"), F.lit(0)).alias("new_records"),
+        F.count_if("_shown").alias("items"),
+        F.count_if(story & c("outcome").isin("edition", "not_today")).alias("pool_items"),
+        F.count_if(c("outcome") == "language").alias("dropped_language"),
+        F.count_if(c("outcome") == "not_today").alias("dropped_not_today"),
+        F.count_if(in_day & ~c("_shown")).alias("dropped_capacity"),
+        F.count_if("_carried").alias("carried_forward"),
+        *[
+            F.coalesce(F.sum(F.when(c("outcome") == reason, c("records"))), F.lit(0)).alias(f"dropped_{reason}")
+            for reason in FUNNEL
+        ],
     )
     return metric_rows(row, {name: c(name) for name in row.columns})
 

@@ -23,6 +23,7 @@ from pressloom.operators import store as S
 from pressloom.operators import translate as TR
 from pressloom.operators.dedup import merge_duplicates, merged_sources
 from pressloom.plans import tables as T
+from pressloom.plans.jobs import written
 from pressloom.rules import LATIN
 from pressloom.session import new_workspace, tune
 from pressloom.sources import feeds, notices, pages, posts
@@ -61,6 +62,11 @@ def _analysed(spark, d):
     return V.analyse(_pool(spark, d), LATIN)
 
 
+def _analysed_table(spark, d):
+    """The analysed records as a written table, for queries that use them more than once."""
+    return written(_analysed(spark, d), "analysed")
+
+
 def _events(spark, d):
     return V.group_events(_analysed(spark, d), LATIN)
 
@@ -371,30 +377,30 @@ def choose_events(spark, d):
 
 
 def brief_stats(spark, d):
-    analysed = _analysed(spark, d)
+    analysed = _analysed_table(spark, d)
     return V.brief_stats(analysed, V.group_events(analysed, LATIN), BUDGETS)
 
 
 def trace_pool(spark, d):
-    analysed = _analysed(spark, d)
+    analysed = _analysed_table(spark, d)
     chosen = V.choose_events(V.relevance(V.group_events(analysed, LATIN), LATIN), BUDGETS)
     return V.trace_pool(chosen, analysed)
 
 
 def event_members(spark, d):
-    return V.event_members(_analysed(spark, d)).select("id", "url", "day", "topic", "event_market")
+    return V.event_members(_analysed_table(spark, d)).select("id", "url", "day", "topic", "event_market")
 
 
 def event_sources(spark, d):
-    found = _candidates(spark, d)
+    found = written(_candidates(spark, d), "candidates")
     pool = ED.filter_language(merge_duplicates(found, LATIN), POLICY).withColumn("position", ED.position())
-    members = V.event_members(V.analyse(pool, LATIN))
+    members = V.event_members(written(V.analyse(pool, LATIN), "analysed"))
     return V.event_sources(members, merged_sources(found)).select("day", "topic", "event_market", "source_url", "source_id", "publisher_id")
 
 
 def event_facts(spark, d):
-    analysed = _analysed(spark, d)
-    facts = V.with_facts(V.group_events(analysed, LATIN), analysed, LATIN)
+    analysed = _analysed_table(spark, d)
+    facts = V.with_facts(written(V.group_events(analysed, LATIN), "events"), analysed, LATIN)
     return facts.select("id", "event_title", "event_summary", F.size("key_points").alias("points"), "group_size")
 
 
@@ -409,7 +415,8 @@ def fact_overlap(spark, d):
 
 
 def _pack(spark, d):
-    return PK.package_select(ED.filter_language(_merged(spark, d), POLICY), PUBLISH_DAY, allow_fallback=True)
+    pool = written(ED.filter_language(_merged(spark, d), POLICY), "pool")
+    return written(PK.package_select(pool, PUBLISH_DAY, allow_fallback=True), "pack")
 
 
 def package_select(spark, d):
@@ -443,7 +450,7 @@ def _digests(spark, d):
 
 
 def publish_once(spark, d):
-    manifests = _digests(spark, d)
+    manifests = written(_digests(spark, d), "digests")
     log = manifests.filter("source_date < '2024-01-02'").select("digest")
     return PB.publish_once(manifests, log)
 
@@ -457,7 +464,7 @@ def edition_index(spark, d):
 
 def edition_diff(spark, d):
     """The edition expected under this policy against one that allowed a single language."""
-    merged = _merged(spark, d)
+    merged = written(_merged(spark, d, ["id", "title", "market", "language"]), "merged")
     expected = ED.filter_language(merged, POLICY).select("id", "title", "market")
     published = merged.filter("language = 'en' OR market = 'm-obs'").select("id", "title", "market")
     return PB.edition_diff(expected, published)

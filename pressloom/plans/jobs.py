@@ -83,7 +83,7 @@ def brief_job(items: DataFrame, policy: Policy, pack: RulePack, cache: DataFrame
     if cache is not None:
         items = with_translation(items, cache, model)
     analysed = written(V.analyse(items, pack), "analysed")
-    events = V.with_facts(V.group_events(analysed, pack), analysed, pack)
+    events = V.with_facts(written(V.group_events(analysed, pack), "groups"), analysed, pack)
     chosen = written(V.choose_events(V.relevance(events, pack), policy.editorial_budget), "events")
     return Brief(
         events=chosen,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pressloom.functions import text as X
 from pressloom.functions import times as D
 from pressloom.functions import urls as U
+from pressloom.operators.scale import computed_once
 
 # Where article bodies stand on publisher pages.
 BODY_CLASSES = "entry-content|article-text|left_zw|article-content|articleContent"
@@ -114,8 +115,13 @@ def page_links(pages: DataFrame, path_pattern: str, keywords: list[str]) -> Data
             F.regexp_extract("anchor", r"(?is)^<a\b[^>]*>(.*)</a>$", 1).alias("inner"),
             attribute(F.regexp_extract("anchor", r"(?is)^(<a\b[^>]*>)", 1), "href").alias("href"),
         )
-        .select("page_id", "pos", "page_url", X.clean_page_text(F.col("inner")).alias("title"),
-                U.safe_url(F.col("href"), F.col("page_url")).alias("url"))
+    )
+    links = computed_once(
+        links,
+        {
+            "title": X.clean_page_text(F.col("inner")),
+            "url": U.safe_url(F.col("href"), F.col("page_url")),
+        },
     )
     kept = links.filter(
         (U.host(F.col("url")) == U.host(F.col("page_url")))
