@@ -17,6 +17,8 @@ UTC = dt.timezone.utc
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("4", shuffle_partitions=4)
+    # Fixtures are tiny: compiling each plan would take longer than running it.
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
     yield session
     session.stop()
 
