@@ -74,10 +74,9 @@ def enrich_details(items: DataFrame, details: DataFrame) -> DataFrame:
     c = F.col
     needed = (X.text_or_empty(c("published")) == "") | F.coalesce(c("read_details"), F.lit(False))
     usable = needed & c("detail_published").isNotNull()
-    # Only rows that need a page travel to the join; the rest keep their place without a shuffle key.
-    keyed = items.withColumn("_page", F.when(needed, c("url")))
-    pages = details.withColumnRenamed("url", "_page")
-    joined = keyed.join(pages, "_page", "left")
+    # Every row joins by its own address: a null key for the rows that need no page would send all
+    # of them to one task.
+    joined = items.join(details, "url", "left")
     return joined.select(
         *[name for name in items.columns if name not in ("title", "summary", "published")],
         F.when(usable, F.coalesce(X.blank_to_null(c("detail_title")), c("title"))).otherwise(c("title")).alias("title"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 # Spark thins row_number() <= n before the shuffle for n up to this default threshold.
 GROUP_LIMIT = 1000
-SALTS = 256
+SALTS = 1024
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

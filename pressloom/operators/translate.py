@@ -53,10 +53,13 @@ def with_translation(items: DataFrame, cache: DataFrame, model: str = MODEL) ->
             "original_summary": F.when(english, F.coalesce(X.blank_to_null(c("original_summary")), c("summary"))),
         }
     ).withColumn("content_key", F.when(english, content_key(c("original_title"), c("original_summary"), model)))
-    entries = cache.groupBy(c("key").alias("content_key")).agg(
+    entries = cache.groupBy(c("key").alias("_key")).agg(
         F.min(F.struct(c("title").alias("title"), c("summary").alias("summary"))).alias("cached")
     )
-    joined = named.join(entries, "content_key", "left").withColumn(
+    # Rows without a key get one that matches nothing and spreads them over all tasks.
+    spread = F.concat(F.lit("-"), F.xxhash64("title", "summary").cast("string"))
+    keyed = named.withColumn("_key", F.coalesce("content_key", spread))
+    joined = keyed.join(entries, "_key", "left").withColumn(
         "_hit", is_valid(c("original_title"), c("original_summary"), c("cached.title"), c("cached.summary"))
     )
     return joined.withColumns(
@@ -70,7 +73,7 @@ def with_translation(items: DataFrame, cache: DataFrame, model: str = MODEL) ->
             "title": F.coalesce("translated_title", "original_title", "title"),
             "summary": F.coalesce("translated_summary", "original_summary", "summary"),
         }
-    ).drop("cached", "_hit")
+    ).drop("cached", "_hit", "_key")
 
 
 def translation_queue(translated: DataFrame, order: Column, max_requests: int = 75) -> DataFrame:

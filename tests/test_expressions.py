@@ -142,3 +142,15 @@ def test_card_and_labels(spark):
 def test_weekday_label(spark):
     df = spark.createDataFrame([(dt.date(2026, 9, 23),)], "d date")
     assert df.select(P.weekday_label(F.col("d"))).first()[0] == "周三"
+
+
+def test_factual_overlap_equals_brute_force(spark):
+    import difflib
+
+    from pressloom.functions.editorial import factual_overlap
+
+    pairs = [("abcd", "xbcdy"), ("abc", "zzabczz"), ("", "abc"), ("票房突破三亿", "票房突破两亿元"), ("abc", "abc"), ("ab", "cd")]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
+    got = [r[0] for r in df.orderBy("i").select(factual_overlap(F.col("a"), F.col("b"))).collect()]
+    want = [0.0 if not a or not b else 1.0 if a in b or b in a else difflib.SequenceMatcher(None, a, b).ratio() for a, b in pairs]
+    assert got == want
