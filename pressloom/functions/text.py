@@ -127,8 +127,11 @@ def fold_keyword(word: str) -> str:
 
 
 def compatibility_form(value: Column) -> Column:
-    """NFKC. Full-width forms fold natively; only texts with other odd characters go to Python."""
-    folded = F.translate(text_or_empty(value), _FULL_WIDTH, _HALF_WIDTH)
+    """NFKC. Only texts with characters that cannot be folded natively go to Python."""
+    text = text_or_empty(value)
+    # Full-width forms and the ellipsis fold natively; translate() is spared for texts without them.
+    half = F.when(text.rlike("[\uff01-\uff5e\u3000]"), F.translate(text, _FULL_WIDTH, _HALF_WIDTH)).otherwise(text)
+    folded = F.replace(half, F.lit("…"), F.lit("..."))
     odd = F.when(folded.rlike(f"[^{STABLE_CHARS}]"), folded)
     return F.coalesce(_compatibility_form(odd), folded)
 

@@ -152,6 +152,8 @@ def asset_match(items: DataFrame, assets: DataFrame, pack: RulePack, shortest: i
         .select("asset", F.expr("substring(asset, start, size)").alias("name"))
         .groupBy("name").agg(F.min("asset").alias("asset"))
     )
-    return names.join(parts, "name").groupBy("id").agg(
+    # Spark's size estimate does not see that opening multiplies the names, so it must not decide on a
+    # broadcast; a popular work name is split by the skew join.
+    return names.join(parts.hint("merge"), "name").groupBy("id").agg(
         F.min_by(F.struct("name", "asset"), c("pos")).alias("hit")
     ).select("id", c("hit.name").alias("name"), c("hit.asset").alias("asset"))

@@ -26,7 +26,8 @@ POLICY = Policy(
 )
 
 
-ROW_KEYS = {"documents": ["doc_id"], "pages": ["page_id"], "events": ["event_id"], "conversations": ["conv_id", "turn"]}
+ROW_KEYS = {"documents": ["doc_id"], "pages": ["page_id"], "events": ["event_id"], "conversations": ["conv_id", "turn"],
+            "benchmark": ["item_id"]}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
