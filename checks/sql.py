@@ -229,7 +229,8 @@ def decoded(text: str) -> str:
 
 
 def page_text(text: str) -> str:
-    return rf"trim(regexp_replace({decoded(rf'regexp_replace({text}, chr(60) || ' + repr('[^>]+>') + rf', ' + repr(' ') + rf', ' + repr('g') + rf')')}, '\s+', ' ', 'g'))"
+    plain = f"regexp_replace({text}, '<[^>]+>', ' ', 'g')"
+    return rf"trim(regexp_replace({decoded(plain)}, '\s+', ' ', 'g'))"
 
 
 def host(url: str) -> str:
@@ -280,7 +281,6 @@ SELECT l.url, CASE WHEN needed AND clock IS NOT NULL AND {_H1} <> '' THEN {_H1}
   CASE WHEN needed AND clock IS NULL THEN 'detail_unavailable' ELSE 'ok' END AS detail_status
 FROM list l LEFT JOIN captured c ON l.url = c.url"""
 
-_PARTS = r"regexp_extract(url, '^([a-z]+)://([^/?#]*)([^?#]*)', ['scheme', 'host', 'path'])"
 CANONICAL = rf"""WITH parts AS (
   SELECT page_id, regexp_extract(url, '^([a-z]+)://', 1) AS scheme, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host,
     regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(url, '\?([^#]*)', 1) AS query FROM pages),
