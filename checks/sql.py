@@ -291,9 +291,7 @@ SELECT page_id, scheme || '://' || host || rtrim(path, '/') || CASE WHEN q <> ''
 CLEAN_TITLES = rf"""SELECT page_id, {_PAGE_TITLE} AS title,
   substr(regexp_replace(lower({_PAGE_TITLE}), '[^\p{{L}}\p{{N}}_]+', '', 'g'), 1, 160) AS title_key FROM pages"""
 
-MISSING = f"""SELECT page_id AS edition, {_H1} AS title FROM pages
-WHERE NOT contains(regexp_extract(html, '(?is)<title>(.*?)</title>', 1),
-  replace(replace(replace(replace(replace({_H1}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(39), '&#x27;'))"""
+MISSING = f"""SELECT doc_id AS edition, {title_of('text')} AS title FROM documents WHERE NOT contains(text, {title_of('text')})"""
 
 # --- feeds, notices, posts ----------------------------------------------------------------
 

@@ -471,11 +471,10 @@ def edition_diff(spark, d):
 
 
 def missing_titles(spark, d):
-    """Headlines of captured pages that their page does not show in its title tag."""
-    raw = T.table(spark, d, "pages")
-    heading = X.clean_page_text(F.regexp_extract("html", r"(?is)<h1>(.*?)</h1>", 1))
-    expected = raw.select(F.col("page_id").alias("edition"), heading.alias("title"))
-    shown = raw.select(F.col("page_id").alias("edition"), F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1).alias("page"))
+    """Headlines that the page of their own text does not hold: those cut with an ellipsis."""
+    raw = T.table(spark, d, "documents")
+    expected = raw.select(F.col("doc_id").alias("edition"), T.post_title(F.col("text")).alias("title"))
+    shown = raw.select(F.col("doc_id").alias("edition"), PB.escaped(F.col("text")).alias("page"))
     return PB.missing_titles(expected, shown)
 
 
