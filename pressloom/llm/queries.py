@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pressloom.llm.common import table
+from pressloom.llm.mixing import mix_report
+from pressloom.llm.secret_scan import secret_spans
 from pressloom.llm.token_counts import token_counts
 
 
@@ -17,12 +19,22 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_spans(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), limit=2048)
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_secret_scan": op3_secret_scan,
     "op5_token_counts": op5_token_counts,
+    "op8_source_mixing": op8_source_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
