@@ -19,6 +19,10 @@ RUNTIME_CONF = {
 }
 
 
+# Folders of local sessions that name none, by application.
+_OWN_FOLDERS: dict[str, str] = {}
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on; cluster sizing stays with the caller."""
     for key, value in RUNTIME_CONF.items():
@@ -45,16 +49,18 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own; on a cluster a
+    Only a local session without that setting, as in tests, gets a folder of its own; on a cluster a
     machine-local folder would not be seen by the other executors.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="pressloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    application = spark.sparkContext.applicationId
+    if application not in _OWN_FOLDERS:
+        _OWN_FOLDERS[application] = tempfile.mkdtemp(prefix="pressloom-")
+    return _OWN_FOLDERS[application]
 
 
 def new_workspace(spark: SparkSession, label: str) -> str:
