@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pressloom.llm.common import table
+from pressloom.llm.embedding_dedup import near_duplicates
+from pressloom.llm.jaccard_join import groups
+from pressloom.llm.language_id import language_report
 from pressloom.llm.mixing import mix_report
 from pressloom.llm.secret_scan import secret_spans
 from pressloom.llm.token_counts import token_counts
+from pressloom.llm.toxicity import learn, severity
 
 
 def vocabulary(name: str) -> str:
@@ -23,18 +27,39 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), limit=2048)
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return groups(table(spark, sf_dir, "documents"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_report(table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return severity(docs, learn(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_token_counts": op5_token_counts,
+    "op6_jaccard_join": op6_jaccard_join,
     "op8_source_mixing": op8_source_mixing,
+    "op9_language_id": op9_language_id,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
