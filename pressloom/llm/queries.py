@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pressloom.llm.chat_format import formatted
 from pressloom.llm.common import table
+from pressloom.llm.decontamination import leaks
 from pressloom.llm.embedding_dedup import near_duplicates
 from pressloom.llm.jaccard_join import groups
 from pressloom.llm.language_id import language_report
+from pressloom.llm.license_scan import licence_lines
 from pressloom.llm.mixing import mix_report
 from pressloom.llm.secret_scan import secret_spans
 from pressloom.llm.token_counts import token_counts
@@ -23,6 +26,14 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_lines(table(spark, sf_dir, "documents"))
+
+
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return formatted(table(spark, sf_dir, "conversations"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(table(spark, sf_dir, "documents"))
 
@@ -39,6 +50,10 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
@@ -53,13 +68,35 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
+    "op2_chat_format": op2_chat_format,
     "op3_secret_scan": op3_secret_scan,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_token_counts": op5_token_counts,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_decontamination": op7_decontamination,
     "op8_source_mixing": op8_source_mixing,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# What SQL can express. The others learn a model or draw at random, or their search is tested by brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op2_chat_format": r"""
+WITH turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS position
+  FROM turns),
+grown AS (
+  SELECT conv_id, position, md5(string_agg(concat(role IS NULL, role, chr(1), text IS NULL, text, chr(2)), '')
+    OVER (PARTITION BY conv_id ORDER BY position)) AS prefix, count(*) OVER (PARTITION BY conv_id) AS turns FROM placed),
+whole AS (SELECT min(conv_id) AS conv_id, count(*) AS copies, prefix, position FROM grown WHERE position = turns GROUP BY prefix, position),
+kept AS (
+  SELECT conv_id, copies FROM whole
+  WHERE NOT EXISTS (SELECT 1 FROM grown WHERE grown.position < grown.turns AND grown.position = whole.position AND grown.prefix = whole.prefix))
+SELECT conv_id, (position - 1) // 32 AS part, count(*) AS n_turns, max(copies) AS copies,
+  string_agg(concat('<|im_start|>', replace(coalesce(role, ''), '<|', '< |'), chr(10), replace(coalesce(text, ''), '<|', '< |'),
+    '<|im_end|>', chr(10)), '' ORDER BY position) AS chat
+FROM placed JOIN kept USING (conv_id) GROUP BY conv_id, (position - 1) // 32
+""",
+}

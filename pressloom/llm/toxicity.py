@@ -2,8 +2,8 @@
 
 Grades follow the labels: 0 clean, 1 toxic in an otherwise good text, 2 toxic in a poor text. The model is
 ``P(grade <= k) = sigmoid(threshold_k - w . x)`` with ordered thresholds and one weight vector for all of
-them. Features are the presence of words and of word beginnings (4 to 6 letters); those are kept that differ
-most between toxic and clean training texts. Fitting takes a bounded, hash-drawn sample of labelled rows;
+them. Features are the logarithms of the rates of words and of word beginnings (4 to 6 letters); those are
+kept whose presence differs most between toxic and clean training texts. Fitting takes a bounded, hash-drawn sample of labelled rows;
 every text is then scored whole.
 
 Defined results: null or text without letters has no features and gets the grade of the thresholds alone;
@@ -15,6 +15,7 @@ severity is 0 everywhere; repeated rows give repeated rows.
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,9 @@ FEATURES = 2048
 LEAST_TEXTS = 4
 LEAST_Z = 4.0
 BEGINNINGS = (4, 5, 6)
-RIDGE = 0.5
+# Words to which a feature's count is related.
+PASSAGE = 200.0
+RIDGE = 0.05
 STEPS = 400
 MEMO_WORDS = 1 << 18
 
@@ -42,15 +45,19 @@ def features_of(word: str) -> list[str]:
 
 
 class Extractor:
-    """Indices of the kept features that a text holds, each once."""
+    """The kept features that a text holds: their indices, ascending, and their values.
+
+    A value is ``log(1 + PASSAGE * count / words)``, so that it tells how dense a feature is in the text.
+    """
 
     def __init__(self, vocabulary: list[str]):
         self.index = {name: i for i, name in enumerate(vocabulary)}
         self.memo: dict[str, tuple[int, ...]] = {}
 
-    def __call__(self, text: str) -> list[int]:
-        memo, found = self.memo, set()
-        for word in set(WORDS(text.lower())):
+    def __call__(self, text: str) -> tuple[list[int], np.ndarray]:
+        memo, found = self.memo, Counter()
+        words = Counter(WORDS(text.lower()))
+        for word, times in words.items():
             hits = memo.get(word)
             if hits is None:
                 if len(memo) >= MEMO_WORDS:
@@ -58,8 +65,11 @@ class Extractor:
                 hits = tuple(self.index[name] for name in features_of(word) if name in self.index)
                 if len(word) <= 64:
                     memo[word] = hits
-            found.update(hits)
-        return sorted(found)
+            for hit in hits:
+                found[hit] += times
+        places = sorted(found)
+        counts = np.array([found[i] for i in places], dtype=np.float64)
+        return places, np.log1p(PASSAGE * counts / max(1, words.total()))
 
 
 def graded(labels: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -109,11 +119,11 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1.0 + np.tanh(0.5 * x))
 
 
-def fit(rows: list[list[int]], grades: np.ndarray, features: int) -> tuple[np.ndarray, np.ndarray]:
+def fit(rows: list[tuple[list[int], list[float]]], grades: np.ndarray, features: int) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered thresholds by gradient steps with momentum (Adam) on the penalised likelihood."""
     x = np.zeros((len(rows), features), dtype=np.float32)
-    for i, row in enumerate(rows):
-        x[i, row] = 1.0
+    for i, (places, values) in enumerate(rows):
+        x[i, places] = values
     levels = np.arange(GRADES - 1)
     below = (grades[:, None] <= levels).mean(axis=0).clip(1e-4, 1 - 1e-4)
     start = np.log(below / (1 - below))
@@ -152,14 +162,16 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     def sparse(batches):
         for batch in batches:
+            found = [extractor(value) for value in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({
                 "grade": batch.column("grade").cast(pa.int32()),
-                "held": pa.array([extractor(value) for value in batch.column("text").to_pylist()], pa.list_(pa.int32()))})
+                "held": pa.array([held for held, _ in found], pa.list_(pa.int32())),
+                "values": pa.array([values for _, values in found], pa.list_(pa.float64()))})
 
     # At most 2 * SAMPLE rows of short index lists come to the driver.
-    rows = sample.select("grade", "text").mapInArrow(sparse, "grade int, held array<int>").collect()
-    rows.sort(key=lambda row: (row[0], row[1]))
-    weights, thresholds = fit([row[1] for row in rows], np.array([row[0] for row in rows]), len(vocabulary))
+    rows = sample.select("grade", "text").mapInArrow(sparse, "grade int, held array<int>, values array<double>").collect()
+    rows.sort()
+    weights, thresholds = fit([(row[1], row[2]) for row in rows], np.array([row[0] for row in rows]), len(vocabulary))
     return {"vocabulary": vocabulary, "weights": weights, "thresholds": thresholds}
 
 
@@ -172,7 +184,8 @@ def severity(docs: DataFrame, model: dict | None, key: str = "doc_id", text: str
         if model is None:
             chances = np.tile([1.0] + [0.0] * (GRADES - 1), (len(texts), 1))
         else:
-            totals = np.array([model["weights"][extractor(value)].sum() for value in texts], dtype=np.float64)
+            held = [extractor(value) for value in texts]
+            totals = np.array([model["weights"][places] @ values if places else 0.0 for places, values in held], dtype=np.float64)
             upto = np.hstack([np.zeros((len(texts), 1)), sigmoid(model["thresholds"] - totals[:, None]), np.ones((len(texts), 1))])
             chances = np.diff(upto, axis=1)
         return {
