@@ -37,6 +37,10 @@ def _turn_hash(seed: int) -> Column:
     return F.xxhash64(F.lit(seed), "position", F.col("role").isNull(), "role", F.col("text").isNull(), "text")
 
 
+def _same_segment() -> Column:
+    return (F.col("conv") == F.col("_conv")) & F.col("segment").eqNullSafe(F.col("_segment"))
+
+
 def positions(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
     """Distinct turns with ``position`` (from 1) and the hashes of turn and prefix, written to the shared folder."""
     named = turns.filter(F.col(conv).isNotNull()).select(
@@ -48,9 +52,9 @@ def positions(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> D
     counted = stored(named.withColumn("rank", F.row_number().over(within)), "chat-turns")
     by_conv = Window.partitionBy("conv").orderBy(F.col("segment").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     sizes = counted.groupBy("conv", "segment").agg(F.count(F.lit(1)).alias("size"))
-    before = sizes.withColumn("before", F.coalesce(F.sum("size").over(by_conv), F.lit(0))).drop("size")
-    same = lambda left, right: (left["conv"] == right["conv"]) & left["segment"].eqNullSafe(right["segment"])
-    placed = counted.join(before, same(counted, before)).select(counted["*"], (F.col("rank") + F.col("before")).alias("position"))
+    before = sizes.select(F.col("conv").alias("_conv"), F.col("segment").alias("_segment"),
+                          F.coalesce(F.sum("size").over(by_conv), F.lit(0)).alias("before"))
+    placed = counted.join(before, _same_segment()).withColumn("position", F.col("rank") + F.col("before"))
     hashed = placed.withColumns({"h1": _turn_hash(1), "h2": _turn_hash(2)})
     rolling = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     slim = hashed.select("conv", "segment", "turn", "role", "text", "position", "h1", "h2",
@@ -62,10 +66,9 @@ def prefixes(placed: DataFrame) -> DataFrame:
     """``conv, position, p1, p2``: the rolling hash of every prefix of every conversation."""
     by_conv = Window.partitionBy("conv").orderBy(F.col("segment").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     totals = placed.groupBy("conv", "segment").agg(F.bit_xor("h1").alias("t1"), F.bit_xor("h2").alias("t2"))
-    carried = totals.select("conv", "segment", *[F.coalesce(F.bit_xor(t).over(by_conv), F.lit(0)).alias(c) for t, c in (("t1", "c1"), ("t2", "c2"))])
-    same = (placed["conv"] == carried["conv"]) & placed["segment"].eqNullSafe(carried["segment"])
-    return placed.join(carried, same).select(placed["conv"], "position", F.col("r1").bitwiseXOR(F.col("c1")).alias("p1"),
-                                             F.col("r2").bitwiseXOR(F.col("c2")).alias("p2"))
+    carried = totals.select(F.col("conv").alias("_conv"), F.col("segment").alias("_segment"), *[F.coalesce(F.bit_xor(t).over(by_conv), F.lit(0)).alias(c) for t, c in (("t1", "c1"), ("t2", "c2"))])
+    return placed.join(carried, _same_segment()).select("conv", "position", F.col("r1").bitwiseXOR(F.col("c1")).alias("p1"),
+                                                        F.col("r2").bitwiseXOR(F.col("c2")).alias("p2"))
 
 
 def maximal(placed: DataFrame) -> DataFrame:
