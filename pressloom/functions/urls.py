@@ -79,11 +79,20 @@ def canonical_url(url: Column) -> Column:
 
 
 def _drop_dot_parts(joined: Column) -> Column:
-    """Resolve './' and up to three levels of '../' in an absolute path."""
-    out = F.regexp_replace(joined, r"/(?:\./)+", "/")
-    for _ in range(3):
-        out = F.regexp_replace(out, r"/(?!\.\./)[^/]*/\.\./", "/")
-    return F.regexp_replace(out, r"^(?:/\.\.)+/", "/")
+    """Resolve '.' and '..' in an absolute path, however many; empty parts inside it go too."""
+    parts = F.split(joined, "/")
+    last = F.element_at(parts, -1)
+    inner = F.filter(F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0))), lambda part: part != "")
+
+    def step(kept: Column, part: Column) -> Column:
+        return (F.when(part == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0))))
+                .when(part == ".", kept).otherwise(F.concat(kept, F.array(part))))
+
+    kept = F.aggregate(F.concat(inner, F.array(last)), F.array().cast("array<string>"), step)
+    tail = F.when(last.isin(".", "..") & (F.size(kept) > 0), F.lit("/")).otherwise(F.lit(""))
+    resolved = F.concat(F.lit("/"), F.array_join(kept, "/"), tail)
+    # Most paths have nothing to resolve.
+    return F.when(joined.rlike(r"/\.{0,2}(?:/|$)"), resolved).otherwise(joined)
 
 
 def resolve_url(link: Column, base: Column) -> Column:

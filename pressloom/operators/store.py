@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +12,12 @@ from pyspark.sql import types as T
 from pressloom.functions import text as X
 from pressloom.functions import urls as U
 from pressloom.operators.candidates import utc
-from pressloom.schemas import NESTED_FIELDS, NEWS_RECORD, STORE
+from pressloom.schemas import NESTED_FIELDS, NEWS_RECORD
 
 KEY = ["source_id", "url"]
 SCHEMA_VERSION = 1
+# Beside the files of a snapshot: the stream batches it holds. Readers of the folder pass over it.
+APPLIED = "_applied"
 
 
 class StoreError(ValueError):
@@ -167,24 +170,48 @@ class SnapshotTable:
     def write(self, df: DataFrame, version: int) -> None:
         df.write.mode("overwrite").parquet(self.version_path(version))
 
-    def merge(self, incoming: DataFrame, version: int | None = None, check: bool = True) -> int:
-        """Merge records into the newest snapshot before ``version`` and write ``version``.
-
-        The same call with the same version rewrites the same snapshot, so a repeated run or a
-        replayed micro-batch does no harm.
+    def applied(self, version: int | None) -> dict[str, int]:
+        """The last batch of each stream that a version holds."""
+        if version is None:
+            return {}
+        fs, to_path = self._fs()
+        path = f"{self.version_path(version)}/{APPLIED}"
+        if not fs.exists(to_path(path)):
+            return {}
+        stream = fs.open(to_path(path))
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _note_applied(self, version: int, batches: dict[str, int]) -> None:
+        fs, to_path = self._fs()
+        out = fs.create(to_path(f"{self.version_path(version)}/{APPLIED}"), True)
+        try:
+            out.write(bytearray(json.dumps(batches).encode()))
+        finally:
+            out.close()
+
+    def merge(self, incoming: DataFrame, batch: tuple[str, int] | None = None, check: bool = True) -> int:
+        """Merge records into the newest snapshot, whichever that is, and write the next version.
+
+        ``batch`` names a stream and the number of its batch. A batch that the newest snapshot holds already
+        is skipped. If a run ends between a snapshot and the note of its batch, the replay merges the same
+        records once more, which changes nothing.
         """
         latest = self.latest()
-        target = (0 if latest is None else latest + 1) if version is None else version
-        base = self.read(target - 1) if target > 0 and self.is_complete(target - 1) else None
-        if base is None and latest is not None and latest < target:
-            base = self.read(latest)
+        done = self.applied(latest)
+        if batch is not None and done.get(batch[0], -1) >= batch[1]:
+            return latest
+        base = None if latest is None else self.read(latest)
         if check:
             require_clean(incoming_violations(incoming), "incoming records")
             if base is not None:
                 require_clean(store_violations(base), "store")
+        target = 0 if latest is None else latest + 1
         self.write(merge_store(base, incoming), target)
+        if batch is not None:
+            done = {**done, batch[0]: batch[1]}
+        if done:
+            self._note_applied(target, done)
         return target
-
-
-def empty_store(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], STORE)

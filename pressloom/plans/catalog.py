@@ -235,7 +235,7 @@ def stream_store_merge(spark, d):
 def stream_daily_counts(spark, d):
     events = T.stream_table(spark, d, "events").select(F.col("event_type").alias("source_id"), F.col("ts").cast("timestamp").alias("ts"))
     sink = new_workspace(spark, "daily-counts")
-    daily_counts.run_daily_counts(events, sink, new_workspace(spark, "daily-check"), lateness="60 days")
+    daily_counts.run_daily_counts(events, sink, new_workspace(spark, "daily-check"))
     counts = daily_counts.read_daily_counts(spark, sink)
     return counts.select("source_id", D.iso_day(F.col("civil_day")).alias("civil_day"), "arrivals")
 

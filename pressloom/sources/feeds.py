@@ -14,11 +14,14 @@ from pressloom.functions import text as X
 from pressloom.functions import urls as U
 
 _MEDIA = "array<struct<_VALUE:string,_url:string,_type:string>>"
+# With namespaces ignored several elements share a name (title, media:title); all are read in their order.
+_TEXTS = "array<struct<_VALUE:string>>"
 _LINKS = "array<struct<_VALUE:string,_href:string,_url:string,_type:string>>"
 ENTRY_SCHEMA = (
-    f"title string, link {_LINKS}, guid struct<_VALUE:string>, id string, description string, summary string, "
-    f"content {_MEDIA}, encoded string, pubDate string, published string, updated string, date string, "
-    f"enclosure {_MEDIA}, thumbnail {_MEDIA}, group struct<content:{_MEDIA},thumbnail:{_MEDIA}>"
+    f"title {_TEXTS}, link {_LINKS}, guid struct<_VALUE:string>, id string, description {_TEXTS}, summary {_TEXTS}, "
+    f"content {_MEDIA}, encoded {_TEXTS}, pubDate {_TEXTS}, published {_TEXTS}, updated {_TEXTS}, date {_TEXTS}, "
+    f"enclosure {_MEDIA}, thumbnail {_MEDIA}, "
+    f"group struct<title:{_TEXTS},description:{_TEXTS},content:{_MEDIA},thumbnail:{_MEDIA}>"
 )
 IMAGE_FILE = r"(?i)\.(?:jpg|jpeg|png|webp)$"
 VIDEO_FILE = r"(?i)\.(?:mp4|m3u8|webm)$"
@@ -53,6 +56,12 @@ def _first(values: Column) -> Column:
     return F.get(values, F.lit(0))
 
 
+def _first_text(*names: str) -> Column:
+    """The first text that is not blank, over the elements of each name in turn."""
+    found = [_first(F.filter(F.transform(name, lambda k: X.blank_to_null(k["_VALUE"])), lambda text: text.isNotNull())) for name in names]
+    return F.coalesce(*found, F.lit(""))
+
+
 def with_media(entries: DataFrame, markup: Column) -> DataFrame:
     """Media the feed itself declares, else files linked in its markup; never invented."""
     declared = F.filter(
@@ -86,9 +95,6 @@ def feed_items(entries: DataFrame) -> DataFrame:
     """Items with a title and an http link; the whole feed is kept."""
     c = F.col
 
-    def first_text(*names: str) -> Column:
-        return F.coalesce(*[X.blank_to_null(c(name)) for name in names], F.lit(""))
-
     link = F.coalesce(
         _first(F.filter(F.transform("link", lambda k: F.coalesce(X.blank_to_null(k["_href"]), X.blank_to_null(k["_VALUE"]))),
                         lambda k: k.isNotNull())),
@@ -96,23 +102,23 @@ def feed_items(entries: DataFrame) -> DataFrame:
         F.when(c("id").startswith("http"), c("id")),
         F.lit(""),
     )
-    content = _first(F.filter(F.transform("content", lambda k: X.blank_to_null(k["_VALUE"])), lambda k: k.isNotNull()))
-    summary = F.coalesce(X.blank_to_null(c("description")), X.blank_to_null(c("summary")), content, F.lit(""))
     staged = entries.withColumns(
         {
-            "raw_summary": summary,
+            "raw_title": _first_text("title", "group.title"),
+            "raw_summary": _first_text("description", "summary", "content", "group.description", "group.content"),
+            "raw_encoded": _first_text("encoded"),
             "raw_link": F.trim(link),
-            "raw_published": first_text("pubDate", "published", "updated", "date"),
+            "raw_published": _first_text("pubDate", "published", "updated", "date"),
         }
     )
-    with_files = with_media(staged, F.concat(c("raw_summary"), X.text_or_empty(c("encoded"))))
+    with_files = with_media(staged, F.concat("raw_summary", "raw_encoded"))
     return (
         with_files.select(
             "file",
-            X.clean_text(c("title")).alias("title"),
+            X.clean_text(c("raw_title")).alias("title"),
             U.canonical_url(c("raw_link")).alias("url"),
             X.clean_text(c("raw_summary")).alias("summary"),
-            X.collapse_space(X.strip_markup(c("raw_published"))).alias("published"),
+            X.clean_text(c("raw_published")).alias("published"),
             "image_url",
             "video_url",
             U.is_http(c("raw_link")).alias("_linked"),

@@ -17,15 +17,26 @@ IMAGE_FIELDS = ["og:image", "og:image:url", "twitter:image"]
 VIDEO_FIELDS = ["og:video", "og:video:url", "og:video:secure_url"]
 
 _NOT_CONTENT = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
-_TAG = r"(?s)</?[A-Za-z][A-Za-z0-9]*(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>"
-_BODY_CLASS = rf"(?is)\bclass\s*=\s*[\"'](?:[^\"']*\s)?(?:{BODY_CLASSES})(?:\s[^\"']*)?[\"']"
-_BODY_ID = rf"(?is)\bid\s*=\s*[\"'](?:{BODY_IDS})[\"']"
+# Atomic and possessive: a tag that is never closed costs no stack and no second look.
+_TAG = r"(?s)</?[A-Za-z][A-Za-z0-9]*+(?>[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+_BODY_CLASS = rf"(?:^|\s)(?:{BODY_CLASSES})(?:\s|$)"
+_BODY_ID = rf"^(?:{BODY_IDS})$"
 _VOID = r"(?i)^<(?:img|meta|link|input|br|hr|source|area|base|embed|wbr)\b"
 
 
 def attribute(tag: Column, name: str) -> Column:
-    """The value of a quoted attribute of one tag, '' if absent."""
-    return F.regexp_extract(tag, rf"(?is)[\s\"']{name}\s*=\s*([\"'])(.*?)\1", 2)
+    """The value of an attribute of one tag, with or without quotes, '' if absent."""
+    found = rf"(?is)[\s\"']{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*))"
+    return F.concat(*[F.regexp_extract(tag, found, group) for group in (1, 2, 3)])
+
+
+def decoded_list(values: Column) -> Column:
+    """Texts with one layer of entities decoded; all of a row travel together, and only if one holds an ampersand.
+
+    No entity decodes to the separator.
+    """
+    joined = X.decode_entities(F.array_join(values, "\u0000"), rounds=1)
+    return F.when(F.size(values) > 0, F.split(joined, "\u0000")).otherwise(F.array().cast("array<string>"))
 
 
 def html_meta(document: Column, name: str) -> Column:
@@ -49,7 +60,7 @@ def _body_images(tags: Column) -> Column:
         closing = tag.startswith("</")
         inside = state["depth"] > 0
         opens = ~closing & ~tag.rlike(_VOID) & ~tag.endswith("/>")
-        enters = ~inside & opens & (tag.rlike(_BODY_CLASS) | tag.rlike(_BODY_ID))
+        enters = ~inside & opens & (attribute(tag, "class").rlike(_BODY_CLASS) | attribute(tag, "id").rlike(_BODY_ID))
         same = inside & (name == state["element"])
         source = F.coalesce(
             F.nullif(attribute(tag, "src"), F.lit("")),
@@ -75,23 +86,16 @@ def page_media(pages: DataFrame) -> DataFrame:
     Site furniture and images outside the body are never used.
     """
     c = F.col
-    metas = F.transform(
-        F.regexp_extract_all(c("html"), F.lit(r"(?is)<meta\b[^>]*>"), F.lit(0)),
-        lambda tag: F.struct(
-            F.lower(F.coalesce(F.nullif(attribute(tag, "property"), F.lit("")), attribute(tag, "name"))).alias("field"),
-            F.trim(F.replace(attribute(tag, "content"), F.lit("&amp;"), F.lit("&"))).alias("content"),
-        ),
-    )
-    staged = pages.withColumns(
-        {
-            "_metas": F.filter(metas, lambda m: U.is_http(m["content"])),
-            "_tags": F.regexp_extract_all(F.regexp_replace(c("html"), _NOT_CONTENT, " "), F.lit(_TAG), F.lit(0)),
-        }
-    )
-    links = F.transform(
-        _body_images(c("_tags")),
-        lambda link: U.safe_url(F.replace(link, F.lit("&amp;"), F.lit("&")), c("url")),
-    )
+    declared = F.regexp_extract_all(c("html"), F.lit(r"(?is)<meta\b[^>]*>"), F.lit(0))
+    fields = F.transform(
+        declared, lambda tag: F.lower(F.coalesce(F.nullif(attribute(tag, "property"), F.lit("")), attribute(tag, "name"))))
+    tags = F.regexp_extract_all(F.regexp_replace(c("html"), _NOT_CONTENT, " "), F.lit(_TAG), F.lit(0))
+    staged = pages.withColumns({"_fields": fields, "_contents": F.transform(declared, lambda tag: attribute(tag, "content")),
+                                "_links": _body_images(tags)})
+    staged = computed_once(staged, {"_contents": decoded_list(c("_contents")), "_links": decoded_list(c("_links"))})
+    metas = F.zip_with("_fields", "_contents", lambda field, content: F.struct(field.alias("field"), F.trim(content).alias("content")))
+    staged = staged.withColumn("_metas", F.filter(metas, lambda m: U.is_http(m["content"])))
+    links = F.transform(c("_links"), lambda link: U.safe_url(link, c("url")))
     images = F.filter(c("_metas"), lambda m: m["field"].isin(IMAGE_FIELDS) & U.usable_news_image(m["content"]))
     videos = F.filter(c("_metas"), lambda m: m["field"].isin(VIDEO_FIELDS))
     body = F.filter(links, U.usable_news_image)
@@ -120,7 +124,7 @@ def page_links(pages: DataFrame, path_pattern: str, keywords: list[str]) -> Data
         links,
         {
             "title": X.clean_page_text(F.col("inner")),
-            "url": U.safe_url(F.col("href"), F.col("page_url")),
+            "url": U.safe_url(X.decode_entities(F.col("href"), rounds=1), F.col("page_url")),
         },
     )
     kept = links.filter(

@@ -1,36 +1,29 @@
-"""ST4: arrivals per source and civil day as a windowed stream."""
+"""ST4: arrivals per source and civil day as a stream of additive counts."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A civil day at +08:00 starts at 16:00 UTC of the day before.
-DAY_START = "16 hours"
-CIVIL_OFFSET = "INTERVAL 8 HOURS"
+from pressloom.functions import times as D
 
 
-def daily_windows(events: DataFrame, lateness: str) -> DataFrame:
+def day_counts(events: DataFrame) -> DataFrame:
     """Counts per source and civil day; ``events`` has ``source_id`` and the event time ``ts``."""
-    window = F.window("ts", "1 day", "1 day", DAY_START)
-    return (
-        events.withWatermark("ts", lateness)
-        .groupBy(window.alias("w"), "source_id")
-        .agg(F.count(F.lit(1)).alias("arrivals"))
-        .select("source_id", F.to_date(F.col("w.start") + F.expr(CIVIL_OFFSET)).alias("civil_day"), "arrivals")
-    )
+    return events.groupBy("source_id", D.civil_day(F.col("ts")).alias("civil_day")).agg(F.count(F.lit(1)).alias("arrivals"))
+
 
+def run_daily_counts(events: DataFrame, sink: str, checkpoint: str) -> None:
+    """Write the counts of each batch below its own folder; a replay rewrites that folder.
 
-def run_daily_counts(events: DataFrame, sink: str, checkpoint: str, lateness: str = "2 days") -> None:
-    """Write the changed windows of each batch below its own folder; a replay rewrites that folder."""
+    Counts add up, so nothing is held as state and an arrival counts however late it is.
+    """
 
-    def write_updates(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{sink}/update={batch_id:09d}")
+    def write_counts(batch: DataFrame, batch_id: int) -> None:
+        day_counts(batch).write.mode("overwrite").parquet(f"{sink}/update={batch_id:09d}")
 
     query = (
-        daily_windows(events, lateness)
-        .writeStream.outputMode("update")
-        .foreachBatch(write_updates)
+        events.writeStream.foreachBatch(write_counts)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -38,7 +31,7 @@ def run_daily_counts(events: DataFrame, sink: str, checkpoint: str, lateness: st
     query.awaitTermination()
 
 
-def read_daily_counts(spark, sink: str) -> DataFrame:
-    """The latest count of every window."""
+def read_daily_counts(spark: SparkSession, sink: str) -> DataFrame:
+    """The count of every source and day over all batches."""
     updates = spark.read.option("basePath", sink).parquet(f"{sink}/update=*")
-    return updates.groupBy("source_id", "civil_day").agg(F.max_by("arrivals", "batch").alias("arrivals"))
+    return updates.groupBy("source_id", "civil_day").agg(F.sum("arrivals").alias("arrivals"))

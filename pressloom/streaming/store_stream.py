@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import DataFrame, SparkSession
 
 from pressloom.operators.store import SnapshotTable, observations, project_news
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The identity that a checkpoint gives its query; a new checkpoint is a new stream."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def run_store_stream(arrivals: DataFrame, table: SnapshotTable, checkpoint: str) -> None:
     """Merge all waiting arrivals and stop.
 
-    ``arrivals`` is a streaming frame of raw items with ``run_ts`` and ``arrival_seq``. Batch ``n``
-    always turns version ``n`` into version ``n + 1``; a replay after a lost driver writes the
-    same version again.
+    ``arrivals`` is a streaming frame of raw items with ``run_ts`` and ``arrival_seq``. Each batch goes into the
+    newest snapshot, also where the store was filled before this checkpoint; the snapshot notes stream and batch, so
+    a replay after a lost driver changes nothing.
     """
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         records = observations(project_news(batch, keep=["run_ts", "arrival_seq"]))
-        table.merge(records, version=batch_id + 1)
+        table.merge(records, batch=(stream_id(table.spark, checkpoint), batch_id))
 
     query = (
         arrivals.writeStream.foreachBatch(merge_batch)
