@@ -11,7 +11,7 @@ from pressloom.functions import classify as K
 from pressloom.functions import text as X
 from pressloom.functions import times as D
 from pressloom.functions import urls as U
-from pressloom.operators.scale import checked_broadcast, computed_once, with_columns_of
+from pressloom.operators.scale import computed_once, with_columns_of
 from pressloom.policy import Policy
 from pressloom.rules.pack import RulePack
 from pressloom.schemas import STORE
@@ -53,9 +53,11 @@ def source_columns(registry: DataFrame) -> DataFrame:
 
 
 def items_with_source(records: DataFrame, registry: DataFrame, keep_disabled: bool = False) -> DataFrame:
-    """Records joined with their enabled source."""
-    side = checked_broadcast(source_columns(registry))
-    return records.join(side, "source_id", "left" if keep_disabled else "inner")
+    """Records joined with their enabled source.
+
+    No hint: adaptive execution broadcasts a registry of small size in bytes and splits a hot source otherwise.
+    """
+    return records.join(source_columns(registry), "source_id", "left" if keep_disabled else "inner")
 
 
 def drop_reason(policy: Policy, pack: RulePack, now: dt.datetime) -> Column:

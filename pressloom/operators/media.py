@@ -43,18 +43,17 @@ def media_requests(labelled: DataFrame, policy: Policy, pack: RulePack, now: dt.
 def enrich_media(labelled: DataFrame, pages: DataFrame, policy: Policy, pack: RulePack, now: dt.datetime) -> DataFrame:
     """Fill missing media of the budgeted items from their captured page, never overwriting.
 
-    ``pages`` holds ``url, html``. The budget is a small literal, so both joins broadcast at most
-    that many rows, and only the pages of budgeted items are parsed.
+    ``pages`` holds ``url, html``. Only the pages of budgeted items are parsed.
     """
     wanted = media_requests(labelled, policy, pack, now).select("source_id", "url")
-    hits = pages.join(F.broadcast(wanted.select("url").distinct()), "url", "left_semi")
+    hits = pages.join(wanted.select("url").distinct(), "url", "left_semi")
     media = (
         page_media(hits)
         .groupBy("url")
         .agg(F.max("image_url").alias("page_image"), F.max("video_url").alias("page_video"))
     )
     found = wanted.join(media, "url")
-    filled = labelled.join(F.broadcast(found), ["source_id", "url"], "left")
+    filled = labelled.join(found, ["source_id", "url"], "left")
 
     def fill(name: str, page: str) -> Column:
         return F.coalesce(X.blank_to_null(F.col(name)), F.col(page), F.lit(""))

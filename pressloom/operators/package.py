@@ -14,6 +14,8 @@ from pressloom.functions.times import civil_day, iso_day
 from pressloom.rules.pack import PACK_RANK, RulePack
 
 SHOWN_TAGS = 18
+# Leading characters of a work name that must occur in an asset name.
+ANCHOR = 4
 
 
 def pack_order() -> list[Column]:
@@ -133,27 +135,24 @@ def daily_digests(pool: DataFrame, max_items: int = 5) -> DataFrame:
     )
 
 
-def asset_match(items: DataFrame, assets: DataFrame, pack: RulePack, shortest: int = 1, longest: int = 24) -> DataFrame:
+def asset_match(items: DataFrame, assets: DataFrame, pack: RulePack) -> DataFrame:
     """The asset of each item: first work name, in order, that an asset name contains.
 
-    "Contains" is an equality join: every asset name is opened into its parts of the lengths a work
-    name can have, so no item is compared with every asset. ``assets`` holds ``asset``; of several
-    assets the first by name counts.
+    "Contains" is an equality join on anchors: the first ``ANCHOR`` characters of a name (all of a shorter one)
+    meet the asset names that hold them anywhere, and only these are searched for the whole name. ``assets``
+    holds ``asset``; of several assets the first by name counts.
     """
     c = F.col
     combined = F.concat(X.text_or_empty(c("title")), X.text_or_empty(c("summary")))
     names = items.select("id", F.posexplode(P.project_names(combined, pack)).alias("pos", "name"))
-    lengths = F.sequence(F.lit(shortest), F.lit(longest))
-    starts = F.sequence(F.lit(1), F.greatest(F.length("asset"), F.lit(1)))
-    parts = (
-        assets.select("asset", F.explode(starts).alias("start"))
-        .select("asset", "start", F.explode(lengths).alias("size"))
-        .filter(c("start") + c("size") - 1 <= F.length("asset"))
-        .select("asset", F.expr("substring(asset, start, size)").alias("name"))
-        .groupBy("name").agg(F.min("asset").alias("asset"))
-    )
-    # Spark's size estimate does not see that opening multiplies the names, so it must not decide on a
-    # broadcast; a popular work name is split by the skew join.
-    return names.join(parts.hint("merge"), "name").groupBy("id").agg(
+    names = names.withColumn("anchor", F.substring("name", 1, ANCHOR))
+    wanted = names.select("name", "anchor").distinct()
+    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(ANCHOR)), lambda size: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length("asset") - size + 1, F.lit(1))), lambda start: F.substring("asset", start, size))))
+    anchored = assets.select("asset", F.explode(F.array_distinct(grams)).alias("anchor"))
+    # Spark's size estimate does not see that opening multiplies the names, so it must not decide on a broadcast.
+    parts = wanted.join(anchored.hint("merge"), "anchor").filter(F.contains("asset", "name")).groupBy("name").agg(
+        F.min("asset").alias("asset"))
+    return names.join(parts, "name").groupBy("id").agg(
         F.min_by(F.struct("name", "asset"), c("pos")).alias("hit")
     ).select("id", c("hit.name").alias("name"), c("hit.asset").alias("asset"))

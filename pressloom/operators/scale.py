@@ -5,32 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A broadcast side may hold at most this many rows; beyond it the join is left to Spark.
-BROADCAST_ROWS = 100_000
-# Spark thins row_number() <= n before the shuffle for n up to this default threshold.
-GROUP_LIMIT = 1000
 SALTS = 1024
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting; a larger table joins by shuffle with skew handling."""
-    rows = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
-
-
 def top_per_group(df: DataFrame, group: list[str], order: list[Column], limit: int, rank: str = "rank") -> DataFrame:
     """The first ``limit`` rows of each group.
 
-    The literal limit makes Spark thin every map task to ``limit`` rows per group before the
-    shuffle, so that a hot group never reaches one task whole. Above the threshold of that rule
-    a salted window does the same thinning.
+    Salted parts of a group are thinned first, so that a hot group never reaches one task whole, whatever the
+    limit; Spark thins each of them once more before the shuffle where the limit is small.
     """
-    if limit > GROUP_LIMIT:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns[:8]), F.lit(SALTS)))
-        by_salt = Window.partitionBy(*group, "_salt").orderBy(*order)
-        df = salted.withColumn("_pre", F.row_number().over(by_salt)).filter(F.col("_pre") <= limit).drop("_salt", "_pre")
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns[:8]), F.lit(SALTS)))
+    by_salt = Window.partitionBy(*group, "_salt").orderBy(*order)
+    thinned = salted.withColumn("_pre", F.row_number().over(by_salt)).filter(F.col("_pre") <= limit).drop("_salt", "_pre")
     window = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= limit)
+    return thinned.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= limit)
 
 
 def limit_of(group: Column, limits: dict[str, int]) -> Column:

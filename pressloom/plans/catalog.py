@@ -260,7 +260,7 @@ def media_enrich(spark, d):
 
 def detail_enrich(spark, d):
     reg = enabled_sources(T.registry_view(spark, d)).select("source_id", "read_details")
-    items = T.items_view(spark, d).join(C.checked_broadcast(reg), "source_id").select(
+    items = T.items_view(spark, d).join(reg, "source_id").select(
         "url", "title", "summary", "published", "read_details"
     )
     out = M.enrich_details(items, pages.page_details(T.captured_pages(spark, d)))
@@ -442,7 +442,7 @@ def package_cards(spark, d):
 def asset_match(spark, d):
     items = T.items_view(spark, d).select(C.K.record_id(F.col("source_id"), F.col("url")).alias("id"), "title", "summary")
     assets = T.table(spark, d, "benchmark").select(F.col("text").alias("asset"))
-    return PK.asset_match(items, assets, LATIN, shortest=6, longest=24)
+    return PK.asset_match(items, assets, LATIN)
 
 
 def _digests(spark, d):

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressloom.policy import Policy
+from pressloom.session import SPREAD
 
 NOW = dt.datetime(2024, 1, 2, 18, 0, 0)
 
@@ -31,16 +32,14 @@ ROW_KEYS = {"documents": ["doc_id"], "pages": ["page_id"], "events": ["event_id"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """One of the given tables.
+    """One of the given tables, read as it lies.
 
-    A scan with fewer splits than cores (one small file) is spread by its row key, so that the text
-    work uses all cores. A large table has splits enough and is read as it lies.
+    A session may ask, by ``spark.pressloom.spread``, to deal tables with a row key to that many partitions:
+    local sessions do so for the single-part files of tests. The setting says it, not the size of a table.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if spread and name in ROW_KEYS and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, *ROW_KEYS[name])
-    return df
+    parts = spark.conf.get(SPREAD, None)
+    return df.repartition(int(parts), *ROW_KEYS[name]) if spread and parts and name in ROW_KEYS else df
 
 
 def post_title(text: Column) -> Column:

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Partitions to which the views deal single-part tables; unset: tables are read as they lie.
+SPREAD = "spark.pressloom.spread"
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -43,6 +45,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    spark.conf.set(SPREAD, str(spark.sparkContext.defaultParallelism))
     return tune(spark)
 
 
