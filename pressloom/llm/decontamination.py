@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.llm.common import GAP, stored
+from pressloom.operators.scale import computed_once
 
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 75, 100
@@ -53,7 +54,8 @@ def grams(hashes: Column, width: int) -> Column:
 
 def hashed_words(df: DataFrame, key: str, text: str) -> DataFrame:
     words = df.filter(F.col(text).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("key"), words_of(F.col(text)).alias("words"))
-    return words.select("key", F.transform("words", lambda word: F.xxhash64(word)).alias("hashes"))
+    # Behind a generator the hashes are made once per text; else each use of them below would make them anew.
+    return computed_once(words.select("key", "words"), {"hashes": F.transform("words", lambda word: F.xxhash64(word))}).drop("words")
 
 
 def fingerprints(shingles: DataFrame, keys: list[str]) -> DataFrame:
@@ -126,7 +128,7 @@ def leaks(docs: DataFrame, bench: DataFrame, doc_key: str = "doc_id", item_key:
 def _leaks_of(docs: DataFrame, items: DataFrame, width: int, doc_key: str, text: str) -> DataFrame:
     """Verified windows of one block of items of one shingle width."""
     sizes = items.select("n", F.explode("shingles").alias("shingle")).distinct()
-    spread = hashed_words(docs, doc_key, text).select("key", grams(F.col("hashes"), width).alias("shingles"))
+    spread = computed_once(hashed_words(docs, doc_key, text), {"shingles": grams(F.col("hashes"), width)}).drop("hashes")
     hits = spread.select("key", "shingles", F.posexplode("shingles").alias("at", "shingle")).join(F.broadcast(sizes), "shingle")
     start = F.greatest(F.lit(0), F.least(F.col("at"), F.size("shingles") - F.col("n")))
     windows = hits.select("key", "n", start.alias("start"), F.slice("shingles", start + 1, F.col("n")).alias("shingles"))
