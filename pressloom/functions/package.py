@@ -34,7 +34,6 @@ TRACE_LABELS = {
 }
 TRACE_OTHER = "低信息量线索"
 TRACE_MORE = "简报之外的同日动态"
-MARKET_NAMES = {"m-cn": "中国内地", "m-hmt": "中国港澳台", "m-intl": "海外", "m-obs": "行业观察"}
 WEEKDAYS = "一二三四五六日"
 
 
@@ -100,11 +99,6 @@ def evidence_label(confidence: Column, labels: dict[str, str]) -> Column:
     return mapped(F.coalesce(confidence, F.lit("single_source")), labels, "单源待确认")
 
 
-def evidence_mark(confidence: Column) -> Column:
-    sure = F.coalesce(confidence.isin("official", "multi_source"), F.lit(False))
-    return F.when(sure, F.lit("ok")).otherwise(F.lit("pending"))
-
-
 def hashtag_headline(value: Column) -> Column:
     """Headline of a post: its hashtag of 3-60 characters, else its first clause."""
     clause = F.element_at(F.split(value, r"[。！？!?；;\n]", 2), 1)
@@ -125,12 +119,3 @@ def empty_market_note(items: Column, configured: Column, successful: Column, una
         .when(unavailable > 0, F.lit("partial"))
         .otherwise(F.lit("none_new"))
     )
-
-
-# Wording of the empty-market notes.
-EMPTY_MARKET_TEXT = {
-    "no_source": "本区域采集来源尚待补充，不代表没有新消息。",
-    "no_success": "本轮未取得来源数据，恢复采集后继续补充。",
-    "partial": "部分来源尚未接通或采集受限，已接通的来源仍会更新。",
-    "none_new": "当前来源暂未收录新增内容，可查看历史归档。",
-}

@@ -18,7 +18,6 @@ class Policy:
     max_items_per_market: dict[str, int] = field(default_factory=dict)
     max_media_enrichments: int = 8
     editorial_budget: dict[str, int] = field(default_factory=lambda: dict(EVENT_BUDGET))
-    labels: dict[str, str] = field(default_factory=dict)
 
     @classmethod
     def from_config(cls, row: dict) -> "Policy":

@@ -5,8 +5,6 @@ All patterns, words and their order below are fixed values.
 
 from pressloom.rules.pack import RulePack, SignalRule
 
-NUMERAL = "一二三四五六七八九十"
-
 CHINESE = RulePack(
     name="zh",
     network=r"网络(?:公益)?电影|网络故事片|网大|云影院",
@@ -91,7 +89,7 @@ CHINESE = RulePack(
         SignalRule("insufficient_detail", title=r"温馨提示|溫馨提示", not_title=r"《[^》]+》"),
         SignalRule("insufficient_detail", short_other=True),
         SignalRule("anniversary",
-                   title=rf"(?U)上映.{{0,3}}(?:\d+|[{NUMERAL}]+)周年|上映.{{0,3}}(?:\d+|[{NUMERAL}]+)年|周年回顾",
+                   title=r"(?U)上映.{0,3}(?:\d+|[一二三四五六七八九十]+)周年|上映.{0,3}(?:\d+|[一二三四五六七八九十]+)年|周年回顾",
                    not_summary=r"新预告|新海报|定档|今日上映", social_only=True),
         SignalRule("advance_teaser", title=r"即将公布|期待入围名单|敬请期待|明日揭晓", social_only=True),
         SignalRule("promotion", title=r"饮品优惠|购票福利|抽奖送|优惠券", social_only=True),

@@ -68,12 +68,12 @@ def english(spark, *rows):
 
 
 def test_cached_translation_is_attached_and_the_original_kept(spark):
-    items = english(spark, ("1", "Tokyo Film Festival Announces Awards", "Two awards today.", "en", 1), ("2", "Other", "", "en", 2), ("3", "中文", "x", "zh", 3))
-    key = hashlib.sha256((TR.MODEL + "\0Tokyo Film Festival Announces Awards\0Two awards today.").encode()).hexdigest()
-    cache = spark.createDataFrame([(key, "东京电影节公布奖项", "电影节今天公布两项奖项。")], "key string, title string, summary string")
+    items = english(spark, ("1", "Harbour Film Week Names Its Prizes", "Three prizes tonight.", "en", 1), ("2", "Other", "", "en", 2), ("3", "中文", "x", "zh", 3))
+    key = hashlib.sha256((TR.MODEL + "\0Harbour Film Week Names Its Prizes\0Three prizes tonight.").encode()).hexdigest()
+    cache = spark.createDataFrame([(key, "海港电影周揭晓奖项", "电影周今晚揭晓三个奖项。")], "key string, title string, summary string")
     out = TR.with_translation(items, cache)
     rows = {r.id: (r.title, r.original_title, r.translation_status) for r in out.collect()}
-    assert rows == {"1": ("东京电影节公布奖项", "Tokyo Film Festival Announces Awards", "machine_translated"),
+    assert rows == {"1": ("海港电影周揭晓奖项", "Harbour Film Week Names Its Prizes", "machine_translated"),
                     "2": ("Other", "Other", "original_english"), "3": ("中文", None, None)}
     assert {r.metric: r.value for r in TR.translation_stats(out).collect()} == {
         "translated_home_items": 1, "original_english_home_items": 1, "cache_hits": 1, "requests": 1}
