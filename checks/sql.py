@@ -333,6 +333,13 @@ POSTS = f"""posts AS (
     turn % 3 = 2 AS is_repost, turn % 2 = 0 AS text_complete FROM conversations WHERE role <> 'system' AND {squeezed('text')} <> ''),
 titled AS (SELECT *, CASE WHEN length(summary) > 100 THEN substr(summary, 1, 100) || '…' ELSE summary END AS title FROM posts)"""
 
+INGEST = f"""SELECT 'feed' AS source_id, title, url, summary, published FROM ({FEED_ITEMS})
+UNION ALL SELECT 'notice', title, url, summary, published FROM ({NOTICE_SUMMARY})
+UNION ALL SELECT 'listing', title, url, '', '' FROM ({PAGE_LINKS})
+UNION ALL SELECT target, title, url, summary, published FROM (WITH {POSTS} SELECT target, title, summary,
+  'https://m.weibo.cn/detail/' || post_id AS url, 'Tue Sep 22 10:10:00 +0800 2026' AS published FROM titled
+  QUALIFY row_number() OVER (PARTITION BY post_id ORDER BY target, page) = 1)"""
+
 # --- translation --------------------------------------------------------------------------
 
 TRANSLATED = f"""docs AS (
@@ -597,6 +604,13 @@ UNION ALL SELECT source_id, url, 'duplicate_key' FROM faulty GROUP BY 1, 2 HAVIN
 FROM conversations WHERE role = 'system' OR {squeezed('text')} = '' GROUP BY 1, 2""",
     "posts_dedup": f"""WITH {POSTS} SELECT post_id, target, page, title FROM titled
 QUALIFY row_number() OVER (PARTITION BY post_id ORDER BY target, page) = 1""",
+    "ingest_items": INGEST,
+    "ingest_status": f"""WITH items AS ({INGEST}),
+found AS (SELECT source_id, count(*) AS items FROM items GROUP BY 1),
+lost AS (SELECT role AS source_id, count(*) AS rejects FROM conversations WHERE role = 'system' OR {squeezed('text')} = '' GROUP BY 1)
+SELECT source_id, coalesce(items, 0) AS items, coalesce(rejects, 0) AS rejects,
+  CASE WHEN rejects IS NULL THEN 'ok' WHEN items > 0 THEN 'partial' ELSE 'failed' END AS outcome
+FROM found FULL JOIN lost USING (source_id)""",
     "translation_attach": f"""WITH {TRANSLATED} SELECT url, language,
   CASE WHEN translation_status = 'machine_translated' THEN cached ELSE title END AS title, translation_status FROM translated""",
     "translation_queue": f"""WITH {TRANSLATED} SELECT content_key, arg_min(title, arrival_seq) AS original_title, min(arrival_seq) AS arrival_seq

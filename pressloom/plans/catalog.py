@@ -22,6 +22,7 @@ from pressloom.operators import stats as ST
 from pressloom.operators import store as S
 from pressloom.operators import translate as TR
 from pressloom.operators.dedup import merge_duplicates, merged_sources
+from pressloom.plans import ingest as IN
 from pressloom.plans import tables as T
 from pressloom.plans.jobs import written
 from pressloom.rules import LATIN
@@ -318,6 +319,24 @@ def posts_dedup(spark, d):
     return posts.dedup_posts(posts.accepted(_posts(spark, d))).select("post_id", "target", "page", "title")
 
 
+def _ingested(spark, d):
+    fed = feeds.feed_items(feeds.read_entries(spark, T.land_feeds(spark, d)))
+    noticed, _, _ = IN.notice_feed(T.notice_pages(spark, d))
+    listed = IN.listing_of(T.table(spark, d, "pages"), LINK_PATH, LINK_WORDS)
+    posted, rejects = IN.post_feed(T.responses_view(spark, d))
+    named = {"feed": fed, "notice": noticed, "listing": listed}
+    parts = [IN.items_of(found, F.lit(name)) for name, found in named.items()]
+    return IN.ingest([*parts, IN.items_of(posted, F.col("target"), IN.POST)]), rejects
+
+
+def ingest_items(spark, d):
+    return _ingested(spark, d)[0].select("source_id", "title", "url", "summary", "published")
+
+
+def ingest_status(spark, d):
+    return IN.outcomes(*_ingested(spark, d))
+
+
 # --- translation ---------------------------------------------------------------------------
 
 
@@ -483,7 +502,7 @@ QUERIES = [
     drop_funnel, dedup_titles, dedup_sources, candidate_pool, edition_day, cap_market, daily_edition, run_stats,
     distribution_counts, source_status, source_totals, market_coverage, store_projection, store_merge, store_violations,
     store_snapshot, stream_store_merge, stream_daily_counts, page_links, page_media, media_enrich, detail_enrich,
-    canonical_urls, clean_titles, feed_items, feed_media, notice_rows, notice_summary, posts_normalized, posts_rejected,
+    canonical_urls, clean_titles, feed_items, feed_media, ingest_items, ingest_status, notice_rows, notice_summary, posts_normalized, posts_rejected,
     posts_dedup, translation_attach, translation_queue, translation_stats, low_signal, market_fold, event_groups,
     event_primary, event_relevance, choose_events, brief_stats, trace_pool, event_members, event_sources, event_facts,
     fact_overlap, package_select, package_tags, package_digest, package_caption, package_cards, asset_match,

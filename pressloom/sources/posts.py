@@ -144,6 +144,14 @@ def rejected(posts: DataFrame) -> DataFrame:
     return posts.filter(F.col("reject").isNotNull()).groupBy("target", "reject").agg(F.count(F.lit(1)).alias("n"))
 
 
+def partial_pages(responses: DataFrame) -> DataFrame:
+    """Pages by target that hold posts and yet report an outcome: their posts stay, the target is not complete."""
+    payload = F.col("payload")
+    listed = F.coalesce(_json(payload, "$.result.statuses[0]"), _json(payload, "$.result[0]"))
+    told = responses.filter(_json(payload, "$.meta.outcome").isNotNull() & listed.isNotNull())
+    return told.groupBy("target").agg(F.count(F.lit(1)).alias("n"))
+
+
 def dedup_posts(posts: DataFrame) -> DataFrame:
     """Each post once, as first seen over the targets and pages of a source."""
     order = [F.col("target"), F.col("page"), F.col("position")]

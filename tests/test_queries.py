@@ -4,8 +4,10 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from checks.sql import ORACLE_SQL
 from checks.compare import compare, duck
+from pressloom.plans.catalog import queries
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are absent")
@@ -19,13 +21,13 @@ def con():
 
 
 def test_every_query_has_sql_unless_listed():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
-    assert set(oracle_sql()) <= set(queries())
+    assert set(queries()) - set(ORACLE_SQL) == ROWS_ONLY
+    assert set(ORACLE_SQL) <= set(queries())
 
 
 @pytest.mark.parametrize("name", list(queries()))
 def test_query_matches_sql(spark, con, name):
-    ok, note = compare(spark, name, queries()[name], oracle_sql().get(name), SF_DIR, con)
+    ok, note = compare(spark, name, queries()[name], ORACLE_SQL.get(name), SF_DIR, con)
     assert ok is not False, note
 
 
