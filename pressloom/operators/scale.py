@@ -53,12 +53,21 @@ def rank_in_groups(df: DataFrame, group: str, limits: dict[str, int], order: lis
 
 
 def cap_per_group(df: DataFrame, group: str, limits: dict[str, int], order: list[Column], salt_by: str) -> DataFrame:
-    """Keep at most ``limits[g]`` rows of each listed group; other groups pass whole."""
+    """Keep at most ``limits[g]`` rows of each listed group; other groups pass whole and unranked.
+
+    Salted parts of a listed group are thinned to the largest limit before they are shuffled; only those
+    leaders meet in the ranking of the whole group.
+    """
     if not limits:
         return df
-    limit = limit_of(F.col(group), limits)
-    ranked = rank_in_groups(df, group, limits, order, salt_by)
-    return ranked.filter(limit.isNull() | (F.col("group_rank") <= limit)).drop("group_rank")
+    listed = F.coalesce(F.col(group).isin(list(limits)), F.lit(False))
+    most = max(0, *limits.values())
+    salted = df.filter(listed).withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)))
+    part = Window.partitionBy(group, "_salt").orderBy(*order)
+    leaders = salted.withColumn("_place", F.row_number().over(part)).filter(F.col("_place") <= most)
+    ranked = leaders.withColumn("_place", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+    kept = ranked.filter(F.col("_place") <= limit_of(F.col(group), limits)).drop("_salt", "_place")
+    return kept.unionByName(df.filter(~listed))
 
 
 def first_by(value: Column, order: Column) -> Column:

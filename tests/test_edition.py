@@ -190,6 +190,7 @@ def test_ranking_helpers_with_a_hot_group(spark):
     top = cap_per_group(df, "g", {"hot": 4, "g1": 1}, [F.col("id").desc()], "id")
     got = [r.id for r in top.filter("g = 'hot'").collect()]
     assert sorted(got, reverse=True) == [2998, 2997, 2995, 2994]
+    assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
     assert top.filter("g = 'g1'").count() == 1
     assert top.filter("g NOT IN ('hot', 'g1')").count() == df.filter("g NOT IN ('hot', 'g1')").count()
     assert top_per_group(df, ["g"], [F.col("id")], 1500).filter("g = 'hot'").count() == 1500
