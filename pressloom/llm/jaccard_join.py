@@ -11,14 +11,18 @@ of several orders; only candidates are verified, on whole sets.
 3. ``occurrences``: all tokens are dealt to buckets by their leading bits, packed with the documents they
    occur in; a bucket counts texts per token. Tokens of a single text cannot be shared and go no further.
    What is left goes back to its document.
-4. Each document orders its shared tokens, rare ones first, under two orders (exact count with token; order of
-   magnitude of the count with a second hash). Its unique tokens come before all of them, so most
+4. Each document orders its shared tokens, rare ones first, under two orders (fine rank of the count with the
+   token; order of magnitude of the count with a second hash). Its unique tokens come before all of them, so most
    documents have no shared token in a prefix and leave here.
 5. Star rounds: in each group of documents with a common prefix token, all are compared with one pivot; verified
-   links are joined to components. A group of near copies is settled by these, without all its pairs.
+   links are joined to components. A group of near copies is settled by these, without all its pairs. In the second
+   round a text counts only with the tokens that other components hold too.
 6. A last round compares every candidate pair whose documents are still in different components. No pair that
    could link two components is left out.
 
+A pair is not compared where the sizes, the numbers of tokens that either text shares with any other, or parity
+sketches of the sets (a lower bound of their difference) rule the similarity out.
+
 Defined results: a document without words has an empty set, ``n_shingles`` 0 and is its own component; a null key
 keeps its row with a null component; equal rows repeated give equal rows; other columns are ignored.
 """
@@ -47,8 +51,6 @@ CHUNK_TOKENS = 1 << 21
 BUCKET_TOKENS = 1 << 21
 LEAST_BITS = 6
 TOKEN_BITS = 40
-FREQUENT = (1 << 31) - 1
-PIVOTS = 2
 
 
 def prefix_length(n: int) -> int:
@@ -60,8 +62,10 @@ def similar(size_a: Column, size_b: Column, common: Column) -> Column:
     return common * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (size_a + size_b)
 
 
-def sizes_fit(a: Column, b: Column) -> Column:
-    return F.least(a, b) * DENOMINATOR >= F.greatest(a, b) * NUMERATOR
+def can_link(n_a: Column, n_b: Column, shared_a: Column, shared_b: Column) -> Column:
+    """Whether two sets could be similar: by their sizes, and by how many of their tokens any other text has."""
+    sizes = F.least(n_a, n_b) * DENOMINATOR >= F.greatest(n_a, n_b) * NUMERATOR
+    return sizes & similar(n_a, n_b, F.least(shared_a, shared_b))
 
 
 def _chunks(batches, key: str, text: str):
@@ -109,40 +113,49 @@ def frequent_tokens(profiles: DataFrame, documents: int) -> np.ndarray:
     return np.sort(found.view(np.uint64))
 
 
-def _packed(bucket: int, frequent: bool, keys: np.ndarray, sizes: np.ndarray, order: np.ndarray, tokens: np.ndarray) -> tuple:
-    """One row of a bucket: its documents (key, set size, tokens here) and, per document in turn, its tokens.
+PACKED = "bucket int, kind int, header binary, body binary"
+# Kinds of packed rows: tokens still to be counted, frequent tokens, counted tokens, representatives.
+TOKENS, HOT, COUNTED, STANDS = range(4)
+MOST = 255
+# Bits of a document's parity sketch.
+PARITY = 1024
 
-    ``order`` gives each token's document; it ascends.
-    """
-    which, times = np.unique(order, return_counts=True)
-    header = np.concatenate([keys[which], sizes[which], times.astype(np.int64)]).astype("<i8").tobytes()
-    if frequent:
-        return bucket, True, header, tokens.astype("<u8").tobytes()
-    # 40 bits of a token beside those that the bucket stands for.
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    bucket, kind, header, body = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(kind, pa.int32()), pa.array(header, pa.binary()),
+                                       pa.array(body, pa.binary())], names=["bucket", "kind", "header", "body"])
+
+
+def _short(tokens: np.ndarray) -> bytes:
+    """40 bits of each token; the others are those that its bucket stands for."""
     low = (tokens & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
-    high = ((tokens >> np.uint64(32)) & np.uint64(0xFF)).astype("u1").tobytes()
-    return bucket, False, header, low + high
+    return low + ((tokens >> np.uint64(32)) & np.uint64(0xFF)).astype("u1").tobytes()
 
 
-def _unpacked(frequent: bool, header: bytes, body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys and set sizes per token, and the tokens."""
-    keys, sizes, times = np.frombuffer(header, dtype="<i8").reshape(3, -1)
-    if frequent:
-        tokens = np.frombuffer(body, dtype="<u8")
-    else:
-        n = len(body) // 5
-        tokens = np.frombuffer(body, dtype="<u4", count=n).astype(np.uint64) | (
-            np.frombuffer(body, dtype="u1", offset=4 * n).astype(np.uint64) << np.uint64(32))
-    return np.repeat(keys, times), np.repeat(sizes, times), tokens
+def _long(body: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(body, dtype="<u4", count=n).astype(np.uint64) | (
+        np.frombuffer(body, dtype="u1", count=n, offset=4 * n).astype(np.uint64) << np.uint64(32))
 
 
-PACKED = "bucket int, frequent boolean, header binary, body binary"
+def _dealt(kind: int, keys: np.ndarray, owner: np.ndarray, tokens: np.ndarray, bucket: int) -> tuple:
+    """A packed row: documents with the number of their tokens here, and the tokens of each in turn."""
+    which, times = np.unique(owner, return_counts=True)
+    header = keys[which].astype("<i8").tobytes() + times.astype("<u4").tobytes()
+    return bucket, kind, header, tokens.astype("<u8").tobytes() if kind == HOT else _short(tokens)
 
 
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    bucket, frequent, header, body = zip(*rows)
-    return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(frequent, pa.bool_()), pa.array(header, pa.binary()),
-                                       pa.array(body, pa.binary())], names=["bucket", "frequent", "header", "body"])
+def _undealt(kind: int, header: bytes, body: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Key and token of each occurrence."""
+    documents = len(header) // 12
+    keys = np.frombuffer(header, dtype="<i8", count=documents)
+    times = np.frombuffer(header, dtype="<u4", offset=8 * documents)
+    return np.repeat(keys, times), np.frombuffer(body, dtype="<u8") if kind == HOT else _long(body, len(body) // 5)
+
+
+def _place(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of a document."""
+    return (mix(keys.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
 
 
 def occurrences(docs: DataFrame, hot: np.ndarray, bits: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -159,22 +172,21 @@ def occurrences(docs: DataFrame, hot: np.ndarray, bits: int, key: str = "doc_id"
             number += 1
             named = np.array([value is not None for value in keys])
             ids = np.array([value or 0 for value in keys], dtype=np.int64)
-            sizes = np.array([len(s) for s in sets], dtype=np.int64)
             tokens = np.concatenate(sets)
-            owner = np.repeat(np.arange(len(keys)), sizes)
+            owner = np.repeat(np.arange(len(keys)), [len(s) for s in sets])
             keep = named[owner]
             tokens, owner = tokens[keep], owner[keep]
             if len(frequent) and len(tokens):
                 at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
                 is_hot = frequent[at] == tokens
                 if is_hot.any():
-                    yield _rows([_packed(number % buckets, True, ids, sizes, owner[is_hot], tokens[is_hot])])
+                    yield _rows([_dealt(HOT, ids, owner[is_hot], tokens[is_hot], number % buckets)])
                 tokens, owner = tokens[~is_hot], owner[~is_hot]
             place = (tokens >> np.uint64(64 - bits)).astype(np.int64)
             by_place = np.argsort(place, kind="stable")
             tokens, owner, place = tokens[by_place], owner[by_place], place[by_place]
             edges = np.searchsorted(place, np.arange(buckets + 1))
-            rows = [_packed(bucket, False, ids, sizes, owner[a:b], tokens[a:b])
+            rows = [_dealt(TOKENS, ids, owner[a:b], tokens[a:b], bucket)
                     for bucket, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a]
             for i in range(0, len(rows), 64):
                 yield _rows(rows[i:i + 64])
@@ -183,81 +195,126 @@ def occurrences(docs: DataFrame, hot: np.ndarray, bits: int, key: str = "doc_id"
 
 
 def shared_tokens(packed: DataFrame, bits: int) -> DataFrame:
-    """Tokens of two or more texts with their counts, packed by bucket of the document."""
+    """Tokens of two or more texts, packed by bucket of the document.
+
+    Each comes with a rank of its count, eight to an octave: any function of the token alone makes an order.
+    """
     buckets = 1 << bits
 
-    def back(keys: np.ndarray, sizes: np.ndarray, tokens: np.ndarray, counts: np.ndarray):
-        place = (mix(keys.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(place, kind="stable")
+    def back(source: int, keys: np.ndarray, tokens: np.ndarray, ranks: np.ndarray):
+        place = _place(keys, buckets)
+        order = np.lexsort((keys, place))
         edges = np.searchsorted(place[order], np.arange(buckets + 1))
         rows = []
         for bucket, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
             if b > a:
                 part = order[a:b]
-                rows.append((bucket, False, np.concatenate([keys[part], sizes[part]]).astype("<i8").tobytes(),
-                             tokens[part].astype("<u8").tobytes() + counts[part].astype("<u4").tobytes()))
+                rows.append((bucket, COUNTED, np.int32(source).tobytes() + keys[part].astype("<i8").tobytes(),
+                             _short(tokens[part]) + ranks[part].astype("u1").tobytes()))
         if rows:
             yield _rows(rows)
 
     def run(batches):
         held: dict[int, list] = {}
         for batch in batches:
-            for bucket, frequent, header, body in zip(*(column.to_pylist() for column in batch.columns)):
-                keys, sizes, tokens = _unpacked(frequent, header, body)
-                if frequent:
-                    yield from back(keys, sizes, tokens, np.full(len(tokens), FREQUENT, dtype=np.uint32))
-                else:
+            for bucket, kind, header, body in zip(*(column.to_pylist() for column in batch.columns)):
+                if kind != HOT:
                     held.setdefault(bucket, []).append((header, body))
+                    continue
+                keys, tokens = _undealt(kind, header, body)
+                source = (tokens >> np.uint64(64 - bits)).astype(np.int64)
+                for one in np.unique(source).tolist():
+                    own = source == one
+                    yield from back(one, keys[own], tokens[own], np.full(int(own.sum()), MOST))
         for bucket in list(held):
-            parts = [_unpacked(False, *part) for part in held.pop(bucket)]
-            keys, sizes, tokens = (np.concatenate(column) for column in zip(*parts))
+            parts = [_undealt(TOKENS, *part) for part in held.pop(bucket)]
+            keys, tokens = (np.concatenate(column) for column in zip(*parts))
             order = np.argsort(tokens, kind="stable")
-            keys, sizes, tokens = keys[order], sizes[order], tokens[order]
+            keys, tokens = keys[order], tokens[order]
             starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
             counts = np.diff(np.concatenate([starts, [len(tokens)]]))
             each = np.repeat(counts, counts)
             again = each > 1
-            whole = tokens[again] | (np.uint64(bucket) << np.uint64(64 - bits))
-            yield from back(keys[again], sizes[again], whole, each[again].astype(np.uint32))
+            yield from back(bucket, keys[again], tokens[again], np.minimum(8 * np.log2(each[again]), MOST - 1))
 
     return packed.repartition(buckets, "bucket").mapInArrow(run, PACKED)
 
 
+def packed_stands(stands: DataFrame, bits: int) -> DataFrame:
+    """Representatives (``stands``) with their set sizes, packed by bucket of the document."""
+    buckets = 1 << bits
+
+    def run(batches):
+        for batch in batches:
+            keys, sizes = batch.column("stands").to_numpy(), batch.column("n").to_numpy()
+            place = _place(keys, buckets)
+            rows = [(int(bucket), STANDS, keys[own].astype("<i8").tobytes(), sizes[own].astype("<i8").tobytes())
+                    for bucket in np.unique(place) for own in [place == bucket]]
+            if rows:
+                yield _rows(rows)
+
+    return stands.select("stands", "n").mapInArrow(run, PACKED)
+
+
+def _parity(tokens: np.ndarray) -> np.ndarray:
+    """Which of ``PARITY`` hash classes hold an odd number of the tokens, as bits."""
+    place = (mix(tokens ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(PARITY)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=PARITY) & 1).astype(np.uint8)).view(np.int64)
+
+
+def may_be_similar(a: str, b: str) -> Column:
+    """A bound on the symmetric difference: tokens of one text alone, and hash classes of unlike parity."""
+    apart = [F.bit_count(F.get(f"parity_{a}", i).bitwiseXOR(F.get(f"parity_{b}", i))) for i in range(PARITY // 64)]
+    unlike = sum(apart[1:], apart[0]) + F.col(f"alone_{a}") + F.col(f"alone_{b}")
+    return unlike * (DENOMINATOR + NUMERATOR) <= (F.col(f"n_{a}") + F.col(f"n_{b}")) * (DENOMINATOR - NUMERATOR)
+
+
 def members(returned: DataFrame, bits: int) -> DataFrame:
-    """Documents with a shared token in a prefix: key, set size, shared tokens, prefixes under two orders."""
+    """Representatives with a shared token in a prefix: key, set size, shared tokens, prefixes under two orders.
+
+    ``returned`` holds the counted tokens of all documents and the list of representatives.
+    """
 
     def run(batches):
         held: dict[int, list] = {}
         for batch in batches:
-            for bucket, _, header, body in zip(*(column.to_pylist() for column in batch.columns)):
-                held.setdefault(bucket, []).append((header, body))
+            for bucket, kind, header, body in zip(*(column.to_pylist() for column in batch.columns)):
+                held.setdefault(bucket, []).append((kind, header, body))
         for bucket in list(held):
-            columns = []
-            for header, body in held.pop(bucket):
-                keys, sizes = np.frombuffer(header, dtype="<i8").reshape(2, -1)
-                n = len(keys)
-                columns.append((keys, sizes, np.frombuffer(body, dtype="<u8", count=n), np.frombuffer(body, dtype="<u4", offset=8 * n)))
-            keys, sizes, tokens, counts = (np.concatenate(column) for column in zip(*columns))
+            columns, wanted = [], {}
+            for kind, header, body in held.pop(bucket):
+                if kind == STANDS:
+                    wanted.update(zip(np.frombuffer(header, dtype="<i8").tolist(), np.frombuffer(body, dtype="<i8").tolist()))
+                    continue
+                source, keys = np.frombuffer(header, dtype="<i4", count=1)[0], np.frombuffer(header, dtype="<i8", offset=4)
+                tokens = _long(body, len(keys)) | (np.uint64(source) << np.uint64(64 - bits))
+                columns.append((keys, tokens, np.frombuffer(body, dtype="u1", offset=5 * len(keys))))
+            if not columns:
+                continue
+            keys, tokens, ranks = (np.concatenate(column) for column in zip(*columns))
             order = np.lexsort((tokens, keys))
-            keys, sizes, tokens, counts = keys[order], sizes[order], tokens[order], counts[order]
+            keys, tokens, ranks = keys[order], tokens[order], ranks[order]
             edges = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
             out = []
             for a, b in zip(edges[:-1], edges[1:]):
+                n = wanted.get(int(keys[a]))
+                if n is None:
+                    continue
                 own, at = np.unique(tokens[a:b], return_index=True)
-                n, often = int(sizes[a]), counts[a:b][at]
                 room = prefix_length(n) - (n - len(own))
                 if room <= 0:
                     continue
+                often = ranks[a:b][at]
                 first = own[np.lexsort((own, often))[:room]]
-                size = np.floor(np.log2(np.maximum(often, 1).astype(np.float64)))
-                second = own[np.lexsort((mix(own ^ np.uint64(0x5851F42D4C957F2D)), size))[:room]]
-                out.append((int(keys[a]), n, own.view(np.int64), first.view(np.int64), np.sort(second).view(np.int64)))
+                second = own[np.lexsort((mix(own ^ np.uint64(0x5851F42D4C957F2D)), often >> 3))[:room]]
+                out.append((int(keys[a]), n, n - len(own), own.view(np.int64), first.view(np.int64), np.sort(second).view(np.int64), _parity(own)))
             for i in range(0, len(out), 512):
-                key, n, *lists = zip(*out[i:i + 512])
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(n, pa.int64()), *(
-                    pa.array(values, pa.list_(pa.int64())) for values in lists)], names=["doc_id", "n", "tokens", "first", "second"])
+                key, n, alone, *lists = zip(*out[i:i + 512])
+                yield pa.RecordBatch.from_arrays([*(pa.array(values, pa.int64()) for values in (key, n, alone)), *(
+                    pa.array(values, pa.list_(pa.int64())) for values in lists)],
+                    names=["doc_id", "n", "alone", "tokens", "first", "second", "parity"])
 
-    schema = "doc_id long, n long, tokens array<long>, first array<long>, second array<long>"
+    schema = ("doc_id long, n long, alone long, tokens array<long>, first array<long>, second array<long>, parity array<long>")
     return returned.repartition(1 << bits, "bucket").mapInArrow(run, schema)
 
 
@@ -272,30 +329,60 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def links_of(sets: DataFrame) -> DataFrame:
     """``node, component`` of the representatives that have a link, from their members table."""
-    postings = stored(sets.select("doc_id", "n", F.explode("first").alias("token")), "jaccard-postings")
-    found: DataFrame | None = None
+    postings = stored(sets.select("doc_id", "n", F.size("tokens").alias("s"), F.explode("first").alias("token")), "jaccard-postings")
     placed = postings.withColumn("component", F.col("doc_id"))
-    for pivot in range(PIVOTS):
-        chosen = placed.groupBy("token").agg(
-            F.min_by(F.struct("doc_id", "n", "component"), F.xxhash64("doc_id", F.lit(pivot))).alias("pivot"),
-            F.min("component").alias("low"), F.max("component").alias("high"))
-        mixed = chosen.filter(F.col("low") != F.col("high")).select("token", "pivot")
-        compared = placed.join(mixed, "token").filter(
-            (F.col("component") != F.col("pivot.component")) & sizes_fit(F.col("n"), F.col("pivot.n")))
-        new = stored(verified(_ordered(compared.select("doc_id", F.col("pivot.doc_id").alias("other"))), sets), "jaccard-links")
-        found = new if found is None else found.unionByName(new)
-        placed = _placed(postings, components(found))
-    # Groups that still hold several components: every candidate pair across them.
-    left = placed.select("token", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    right = placed.select("token", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    open_tokens = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(
+    first = star_links(placed, sets)
+    placed = _placed(postings, components(first))
+    # From here on a text counts only with tokens that other components hold too.
+    placed = stored(placed.drop("s").join(crossing(placed, sets), "doc_id"), "jaccard-crossing")
+    second = star_links(placed, sets)
+    found = first.unionByName(second)
+    placed = _placed(placed.drop("component"), components(found))
+    last = stored(verified(pairs_across(placed, sets), sets), "jaccard-links")
+    return components(found.unionByName(last))
+
+
+def mixed_tokens(placed: DataFrame) -> DataFrame:
+    """Tokens of which several components hold a prefix."""
+    return placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(
         F.col("low") != F.col("high")).select("token")
-    left = stored(left.join(open_tokens, "token"), "jaccard-open")
-    right = left.select("token", F.col("a").alias("b"), F.col("na").alias("nb"), F.col("ca").alias("cb"))
-    across = left.join(right, "token").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                                              & sizes_fit(F.col("na"), F.col("nb")))
-    last = verified(across.select("a", "b").distinct(), sets)
-    return components(found.unionByName(stored(last, "jaccard-links")))
+
+
+def star_links(placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Verified links of all texts of a token to one pivot: the text with the least share of tokens of its own."""
+    chosen = placed.groupBy("token").agg(
+        F.min_by(F.struct("doc_id", "n", "s", "component"), F.struct((F.col("n") - F.col("s")) / F.col("n"), F.xxhash64("doc_id"))).alias("pivot"),
+        F.min("component").alias("low"), F.max("component").alias("high"))
+    mixed = chosen.filter(F.col("low") != F.col("high")).select("token", "pivot")
+    compared = placed.join(mixed, "token").filter(
+        (F.col("component") != F.col("pivot.component")) & can_link(F.col("n"), F.col("pivot.n"), F.col("s"), F.col("pivot.s")))
+    return stored(verified(_ordered(compared.select("doc_id", F.col("pivot.doc_id").alias("other"))), sets), "jaccard-links")
+
+
+def crossing(placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """For texts that share a prefix token with another component: ``s``, their tokens that some other component holds.
+
+    No pair across components has more tokens in common than either of these numbers.
+    """
+    open_docs = placed.join(mixed_tokens(placed), "token").select("doc_id", "component").distinct()
+    held = sets.join(open_docs, "doc_id").select("doc_id", "component", F.explode("tokens").alias("token"))
+    held = stored(held, "jaccard-held")
+    return held.join(mixed_tokens(held), "token").groupBy("doc_id").agg(F.count(F.lit(1)).alias("s"))
+
+
+def pairs_across(placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Every candidate pair ``a, b`` of different components, once: at the first prefix token that both have."""
+    still = placed.join(mixed_tokens(placed), "token")
+    docs = still.groupBy("doc_id", "n", "s", "component").agg(F.collect_list("token").alias("tokens"))
+    docs = stored(docs.join(sets.select("doc_id", "alone", "parity"), "doc_id"), "jaccard-open")
+    columns = ["doc_id", "n", "s", "component", "alone", "parity"]
+    left = docs.select(*[F.col(name).alias(f"{name}_a") for name in [*columns, "tokens"]], F.explode("tokens").alias("token"))
+    right = docs.select(*[F.col(name).alias(f"{name}_b") for name in [*columns, "tokens"]], F.explode("tokens").alias("token"))
+    return left.join(right, "token").filter(
+        (F.col("doc_id_a") < F.col("doc_id_b")) & (F.col("component_a") != F.col("component_b"))
+        & can_link(F.col("n_a"), F.col("n_b"), F.col("s_a"), F.col("s_b")) & may_be_similar("a", "b")
+        & (F.col("token") == F.array_min(F.array_intersect("tokens_a", "tokens_b")))).select(
+        F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -304,7 +391,7 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 def _placed(postings: DataFrame, found: DataFrame) -> DataFrame:
     joined = postings.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    return stored(joined.select("doc_id", "n", "token", F.coalesce("component", "doc_id").alias("component")), "jaccard-placed")
+    return stored(joined.select("doc_id", "n", "s", "token", F.coalesce("component", "doc_id").alias("component")), "jaccard-placed")
 
 
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -321,8 +408,7 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     stands = stored(listed.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy(*alike).agg(F.min("doc_id").alias("stands")),
                     "jaccard-sets")
     returned = shared_tokens(occurrences(docs, hot, bits, key, text), bits)
-    kept = members(returned, bits).join(stands.select(F.col("stands").alias("doc_id")), "doc_id", "left_semi")
-    sets = stored(kept.dropDuplicates(["doc_id"]), "jaccard-members")
+    sets = stored(members(returned.unionByName(packed_stands(stands, bits)), bits), "jaccard-members")
     linked = links_of(sets)
     by_set = stands.join(linked.withColumnRenamed("node", "stands"), "stands", "left").select(
         *alike, F.coalesce("component", "stands").alias("component_id"))
