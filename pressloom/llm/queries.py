@@ -80,7 +80,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
-# What SQL can express. The others learn a model or draw at random, or their search is tested by brute force.
+_WORDS = r"list_filter(regexp_split_to_array({text}, '[ \t-\r]+'), lambda x: x <> '')"
+_SMALL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# Every node with each node that it reaches, and from that the smallest.
+_REACH = """pairs AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(node, root) AS (SELECT node, node FROM nodes UNION SELECT pairs.b, reach.root FROM reach JOIN pairs ON reach.node = pairs.a),
+roots AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node)"""
+
+# What SQL can express. The others learn a model or draw at random.
 ORACLE_SQL: dict[str, str] = {
     "op2_chat_format": r"""
 WITH turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
@@ -98,5 +105,45 @@ SELECT conv_id, (position - 1) // 32 AS part, count(*) AS n_turns, max(copies) A
   string_agg(concat('<|im_start|>', replace(coalesce(role, ''), '<|', '< |'), chr(10), replace(coalesce(text, ''), '<|', '< |'),
     '<|im_end|>', chr(10)), '' ORDER BY position) AS chat
 FROM placed JOIN kept USING (conv_id) GROUP BY conv_id, (position - 1) // 32
+""",
+    "op4_embedding_dedup": f"""
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+links AS (SELECT l.vec_id AS a, r.vec_id AS b FROM good l JOIN good r ON l.label = r.label AND l.vec_id <> r.vec_id
+  WHERE list_cosine_similarity(l.e, r.e) >= 0.93),
+nodes AS (SELECT vec_id AS node FROM embeddings), {_REACH},
+counts AS (SELECT a AS node, count(*) AS n FROM links GROUP BY a)
+SELECT node AS vec_id, coalesce(n, 0) AS n_links, component_id, node = component_id AS kept FROM roots LEFT JOIN counts USING (node)
+""",
+    "op6_jaccard_join": f"""
+WITH RECURSIVE words AS (SELECT doc_id, coalesce({_WORDS.format(text=_SMALL)}, []) AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]) END AS s FROM words),
+flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+common AS (SELECT l.doc_id AS a, r.doc_id AS b, l.n + r.n AS sizes, count(*) AS k FROM flat l JOIN flat r ON l.g = r.g AND l.doc_id < r.doc_id
+  GROUP BY ALL),
+links AS (SELECT a, b FROM common WHERE 100 * k >= 75 * (sizes - k)),
+nodes AS (SELECT doc_id AS node FROM documents), {_REACH}
+SELECT doc_id, len(s) AS n_shingles, component_id FROM sets JOIN roots ON node = doc_id
+""",
+    "op7_decontamination": f"""
+WITH words AS (SELECT doc_id, {_WORDS.format(text='lower(text)')} AS w FROM documents WHERE text IS NOT NULL),
+wanted AS (SELECT item_id, {_WORDS.format(text='lower(text)')} AS w FROM benchmark WHERE text IS NOT NULL),
+docs AS (SELECT doc_id, [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] AS s FROM words WHERE len(w) >= 5),
+items AS (SELECT item_id, [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] AS s FROM wanted WHERE len(w) >= 5),
+sizes AS (SELECT DISTINCT n, g FROM (SELECT len(s) AS n, unnest(s) AS g FROM items)),
+spread AS (SELECT doc_id, len(s) AS total, unnest(s) AS g, generate_subscripts(s, 1) - 1 AS place FROM docs),
+starts AS (SELECT DISTINCT doc_id, n, greatest(0, least(place, total - n)) AS start FROM spread JOIN sizes USING (g)),
+windows AS (SELECT doc_id, n, start, s[start + 1:start + n] AS s FROM starts JOIN docs USING (doc_id)),
+held AS (SELECT doc_id, n, start, len(s) AS size, unnest(s) AS g FROM windows),
+counted AS (SELECT doc_id, n, start, size, g, count(*) AS k FROM held GROUP BY ALL),
+weights AS (SELECT item_id, n, g, count(*) AS c FROM (SELECT item_id, len(s) AS n, unnest(s) AS g FROM items) GROUP BY ALL),
+common AS (SELECT doc_id, item_id, start, n, size, sum(least(k, c)) AS m FROM counted JOIN weights USING (n, g) GROUP BY ALL)
+SELECT doc_id, item_id, CAST(m AS DOUBLE) / (n + size - m) AS similarity, CAST(start AS INTEGER) AS first_word,
+  CAST(start + size + 3 AS INTEGER) AS last_word
+FROM common WHERE 100 * m >= 75 * (n + size - m)
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY CAST(m AS DOUBLE) / (n + size - m) DESC, start) = 1
 """,
 }
