@@ -6,8 +6,8 @@ of several orders; only candidates are verified, on whole sets.
 
 1. ``profile``: size and 128-bit signature of every shingle set, and the tokens that are frequent within a run
    of texts. Equal sets fall together by signature; one representative of each goes on.
-2. Frequent tokens (at least ``1 / HOT_SHARE`` of all texts) form a set of bounded size, which is broadcast. They
-   come last in every order, so that a line shared by many texts pairs none of them.
+2. Tokens that are frequent in runs of texts and in at least ``1 / HOT_SHARE`` of all form a set of bounded size,
+   which is broadcast. They come last in every order, so that a line shared by many texts pairs none of them.
 3. ``occurrences``: all tokens are dealt to buckets by their leading bits, packed with the documents they
    occur in; a bucket counts texts per token. Tokens of a single text cannot be shared and go no further.
    What is left goes back to its document.
@@ -43,11 +43,11 @@ from pressloom.llm.shingles import mix, shingle_sets
 
 # Similarity as a fraction of whole numbers, so that no rounding decides.
 NUMERATOR, DENOMINATOR = 75, 100
-# A token of at least this share of all texts is frequent: at most HOT_SHARE times the mean set size of them exist.
+# A token counts as frequent from this share of all texts on: at most HOT_SHARE times the mean set size of them exist.
 HOT_SHARE = 1024
 LEAST_HOT = 64
 # Tokens worked on together in a task, and tokens aimed at per bucket.
-CHUNK_TOKENS = 1 << 21
+CHUNK_TOKENS = 1 << 20
 BUCKET_TOKENS = 1 << 21
 LEAST_BITS = 6
 TOKEN_BITS = 40
@@ -94,7 +94,6 @@ def profile(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
                 [pa.array(keys, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(sums[:, 0]), pa.array(sums[:, 1]),
                  pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names=names)
             tokens, texts = np.unique(np.concatenate(sets), return_counts=True)
-            # What is frequent overall is so in some run; half the share leaves room for uneven runs.
             often = texts >= max(8, n // (2 * HOT_SHARE))
             yield pa.RecordBatch.from_arrays(
                 [*[pa.nulls(int(often.sum()), pa.int64())] * 4, pa.array(tokens[often].view(np.int64)), pa.array(texts[often].astype(np.int64))],
