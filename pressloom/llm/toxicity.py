@@ -86,8 +86,9 @@ def training_texts(docs: DataFrame, labels: DataFrame, key: str, text: str) -> D
     rate = min(1.0, SAMPLE / max(1, grades.count()))
     place = F.pmod(F.xxhash64(F.lit("toxicity sample"), F.col(key)), F.lit(1 << 30))
     drawn = grades.filter(place < F.lit(int(rate * (1 << 30)))).limit(2 * SAMPLE)
-    return stored(docs.filter(F.col(text).isNotNull()).select(key, F.col(text).alias("text"))
-                  .join(F.broadcast(drawn), key).select("grade", "text"), "toxicity-sample")
+    # A repeated row is one example, so that the sample keeps its bound.
+    found = docs.filter(F.col(text).isNotNull()).select(key, F.col(text).alias("text")).join(F.broadcast(drawn), key)
+    return stored(found.dropDuplicates([key]).select("grade", "text"), "toxicity-sample")
 
 
 def choose_features(sample: DataFrame) -> list[str]:
