@@ -13,7 +13,8 @@ drawn blocks are dealt to the shards in permuted order, hence disjointly, and sh
 
 Defined results: null or empty texts have size 0 and nothing taken from them; null sources are one source,
 the last in order; an empty table gives an empty mix; repeated rows are taken as one document several times
-listed (same hash), each row counting by itself.
+listed (same hash), each row counting by itself; rows with a null key are permuted by a hash of their text.
+Rows are told apart by a number of their own, ``ROW``, never by their key.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ BLOCK_WORDS = 1 << 14
 MOST_BLOCKS = 1 << 18
 # Shards below one task's subtree of the splitting tree.
 SUBTREE = 64
+# The number of a row: given once, in stored form, so that every later reader sees the same one.
+ROW = "_row"
 
 
 def source_targets(totals: DataFrame, weights: tuple[float, ...], share: float, cap: float) -> DataFrame:
@@ -115,14 +118,16 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1
          key: str = "doc_id", text: str = "text", source: str = "source") -> tuple[DataFrame, DataFrame]:
     """What the mix takes of each row, and the sources with their targets and block quotas.
 
-    The first frame has ``key, size, rank, row_hash, blocks, whole, edge, taken_part, taken``; the second one row per
-    source. Both are written to the shared folder. A row is taken ``whole`` times in full, and ``taken_part`` words
-    more in the following pass.
+    The first frame has ``ROW, key, size, rank, row_hash, blocks, whole, edge, taken_part, taken``; the second one row
+    per source. A row is taken ``whole`` times in full, and ``taken_part`` words more in the following pass. The numbers
+    in ``ROW`` are those of ``docs``, if it has them.
     """
     prepare(docs.sparkSession)
+    named = F.when(F.col(key).isNull(), F.xxhash64(F.lit(seed), F.col(text))).otherwise(F.xxhash64(F.lit(seed), F.col(key)))
     sized = stored(docs.select(
+        (F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()).alias(ROW),
         F.col(key).alias(key), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"),
-        F.xxhash64(F.lit(seed), F.col(key)).alias("row_hash"),
+        named.alias("row_hash"),
     ), "mix-sizes")
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     everything = Window.partitionBy(F.lit(0))
@@ -150,7 +155,7 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1
     cut = placed.join(edges, "rank", "left")
     in_edge = F.coalesce(F.col("block") == F.col("edge"), F.lit(False))
     # Only the rows of an edge block, one block per source, are put in order.
-    order = Window.partitionBy("rank").orderBy("row_hash", key).rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy("rank").orderBy("row_hash", key, "size", ROW).rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("size").over(order), F.lit(0))
     last = cut.filter(in_edge).withColumn("taken_part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("room") - before)))
     full = cut.filter(~in_edge).withColumn(
@@ -162,22 +167,12 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1
     return rows, sources
 
 
-def mix_report(docs: DataFrame, **options) -> DataFrame:
-    """One row per document: ``doc_id, size, source_size, target, taken``."""
-    rows, _ = plan(docs, **options)
-    key = options.get("key", "doc_id")
-    return rows.select(key, "size", "source_size", "target", "taken")
+def drawn(rows: DataFrame, sources: DataFrame, shards: int, seed: int) -> DataFrame:
+    """The mix without its texts, written to the shared folder: ``ROW, _pass, _size, shard, position, taken_words``.
 
-
-def mixed(docs: DataFrame, shards: int = 64, seed: int = SEED, key: str = "doc_id", text: str = "text",
-          **options) -> DataFrame:
-    """The mix itself: the rows of ``docs`` as often as they are taken, with ``shard``, ``position`` and ``taken_words``.
-
-    Rows are dealt to shards by whole blocks and ordered by ``position`` within a shard (a seeded shuffle). A row that
-    is cut keeps its first ``taken_words`` words.
+    A row per copy that is dealt to a shard. ``rows`` and ``sources`` are those of ``plan``; a copy is in the mix only
+    if the tree gave its block to a shard.
     """
-    rows, sources = plan(docs, seed=seed, key=key, text=text, **options)
-    rows = stored(rows.select(key, "rank", "row_hash", "blocks", "whole", "taken_part", "size"), "mix-rows")
     quotas = shard_quotas(sources.select("rank", "draws"), shards, seed)
     upto = Window.partitionBy("rank").orderBy("shard")
     dealt = quotas.withColumn("stop", F.sum("n").over(upto)).filter(F.col("n") > 0)
@@ -186,11 +181,36 @@ def mixed(docs: DataFrame, shards: int = 64, seed: int = SEED, key: str = "doc_i
                    "mix-blocks")
     passes = F.transform(F.sequence(F.lit(0), F.col("whole")), lambda i: F.struct(
         i.alias("pass"), F.when(i < F.col("whole"), F.col("size")).otherwise(F.col("taken_part")).alias("taken_words")))
-    copies = rows.select(key, "rank", "row_hash", "blocks", "size", F.inline(passes)).filter(F.col("taken_words") > 0)
+    copies = rows.select(ROW, "rank", "row_hash", "blocks", "size", F.inline(passes)).filter(F.col("taken_words") > 0)
     copies = copies.withColumn("draw", F.col("pass") * F.col("blocks") + permuted(F.col("pass"), F.col("blocks"), F.col("row_hash")))
-    copies = copies.join(dealt, ["rank", "draw"]).select(
-        F.col(key).alias("_key"), F.col("pass").alias("_pass"), F.col("size").alias("_size"), "shard",
-        F.xxhash64(F.lit(seed), "row_hash", "pass").alias("position"), "taken_words").distinct()
+    return stored(copies.join(dealt, ["rank", "draw"]).select(
+        ROW, F.col("pass").alias("_pass"), F.col("size").alias("_size"), "shard",
+        F.xxhash64(F.lit(seed), "row_hash", "pass").alias("position"), "taken_words"), "mix-drawn")
+
+
+def mix_report(docs: DataFrame, shards: int = 64, seed: int = SEED, key: str = "doc_id", **options) -> DataFrame:
+    """One row per document: ``doc_id, size, source_size, target, taken``.
+
+    ``taken`` counts the words of the copies that were drawn and dealt to the shards.
+    """
+    rows, sources = plan(docs, seed=seed, key=key, **options)
+    rows = stored(rows.select(ROW, key, "rank", "row_hash", "blocks", "whole", "taken_part", "size", "source_size", "target"),
+                  "mix-rows")
+    taken = drawn(rows, sources, shards, seed).groupBy(ROW).agg(F.sum("taken_words").alias("taken"))
+    return rows.join(taken, ROW, "left").select(
+        key, "size", "source_size", "target", F.coalesce(F.col("taken"), F.lit(0)).cast("long").alias("taken"))
+
+
+def mixed(docs: DataFrame, shards: int = 64, seed: int = SEED, key: str = "doc_id", text: str = "text",
+          **options) -> DataFrame:
+    """The mix itself: the rows of ``docs`` as often as they are taken, with ``shard``, ``position`` and ``taken_words``.
+
+    Rows are dealt to shards by whole blocks and ordered by ``position`` within a shard (a seeded shuffle). A row that
+    is cut keeps its first ``taken_words`` words.
+    """
+    rows, sources = plan(docs, seed=seed, key=key, text=text, **options)
+    rows = stored(rows.select(ROW, F.col(key).alias("_key"), "rank", "row_hash", "blocks", "whole", "taken_part", "size"), "mix-rows")
+    copies = drawn(rows, sources, shards, seed).join(rows.select(ROW, "_key"), ROW).drop(ROW).distinct()
     out = docs.join(copies, F.col(key) == F.col("_key"))
     first = F.concat_ws(" ", F.slice(F.split(F.ltrim(F.col(text), F.lit(" \t\n\r\v\f")), GAP), 1, F.col("taken_words").cast("int")))
     shown = F.when(F.col("taken_words") < F.col("_size"), first).otherwise(F.col(text))

@@ -173,6 +173,16 @@ def test_mix_deals_whole_blocks_to_shards(spark, monkeypatch):
     assert mixing.mix_report(empty).count() == 0 and mixing.mixed(empty.drop("size")).count() == 0
 
 
+def test_mix_report_counts_what_was_dealt(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 200)
+    df = spark.createDataFrame(mix_rows(5), DOCS)
+    whole = mixing.mix_report(df, shards=6).agg(F.sum("taken")).first()[0]
+    # A tree that forgets the blocks of one shard must show in the report.
+    quotas = mixing.shard_quotas
+    monkeypatch.setattr(mixing, "shard_quotas", lambda *a: quotas(*a).filter("shard <> 2"))
+    assert 0 < mixing.mix_report(df, shards=6).agg(F.sum("taken")).first()[0] < whole
+
+
 def test_pipeline_against_brute_force(spark):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
