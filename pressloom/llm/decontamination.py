@@ -4,7 +4,8 @@ A benchmark item of ``n`` shingles (five words each) is held against windows of
 
 1. Windows: sliding a window to the right until it starts at a shingle that some item of its size holds loses no
    common shingle, so these starts (and the last window of a text) hold the best window of every item.
-2. Each window and item gets a 64-bit SimHash in which a shingle weighs as often as it occurs.
+2. Each window and item gets a 64-bit SimHash over the set of its numbered shingles: the second, third, ... occurrence
+   of a shingle is an element of its own. So weighted similarity is set similarity, and no element outweighs others.
 3. Fingerprints are cut into ``BLOCKS`` blocks. Within distance ``RADIUS`` one block at least differs in at most
    ``RADIUS // BLOCKS`` bits, so items are indexed under all block values that near, windows are looked up by their
    own, and no fingerprint within the radius is missed.
@@ -77,6 +78,20 @@ def fingerprints(shingles: DataFrame, keys: list[str]) -> DataFrame:
     return counted.select(*keys, "held", *blocks)
 
 
+def occurrences(shingles: DataFrame, keys: list[str]) -> DataFrame:
+    """A row ``shingle`` per element of the array ``shingles`` of each row, told apart by number of occurrence.
+
+    First occurrences keep their hash. Only rows with a repeated shingle are counted shingle by shingle.
+    """
+    plain = F.size(F.array_distinct("shingles")) == F.size("shingles")
+    single = shingles.filter(plain).select(*keys, F.explode("shingles").alias("shingle"))
+    counted = (shingles.filter(~plain).select(*keys, F.explode("shingles").alias("shingle"))
+               .groupBy(*keys, "shingle").agg(F.count(F.lit(1)).cast("int").alias("k")))
+    numbered = counted.select(*keys, "shingle", F.explode(F.sequence(F.lit(1), F.col("k"))).alias("i"))
+    element = F.when(F.col("i") == 1, F.col("shingle")).otherwise(F.xxhash64("shingle", "i"))
+    return single.unionByName(numbered.select(*keys, element.alias("shingle")))
+
+
 def near_values() -> list[int]:
     """What to flip in a block: all patterns of at most ``RADIUS // BLOCKS`` bits."""
     return [sum(1 << i for i in places) for k in range(RADIUS // BLOCKS + 1) for places in combinations(range(BITS), k)]
@@ -134,9 +149,8 @@ def _leaks_of(docs: DataFrame, items: DataFrame, width: int, doc_key: str, text:
     windows = hits.select("key", "n", start.alias("start"), F.slice("shingles", start + 1, F.col("n")).alias("shingles"))
     windows = stored(windows.dropDuplicates(["key", "n", "start"]), "leak-windows")
     window = ["key", "n", "start"]
-    held = windows.select(*window, F.explode("shingles").alias("shingle"))
-    of_windows = fingerprints(held, window)
-    of_items = fingerprints(items.select("item", "row", "n", F.explode("shingles").alias("shingle")), ["item", "row", "n"])
+    of_windows = fingerprints(occurrences(windows, window), window)
+    of_items = fingerprints(occurrences(items, ["item", "row", "n"]), ["item", "row", "n"])
     of_items = of_items.select("item", "row", "n", *[F.col(f"b{i}").alias(f"c{i}") for i in range(BLOCKS)])
     flips = F.array(*[F.lit(value) for value in near_values()])
     index = of_items.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))))

@@ -125,6 +125,21 @@ def fill(sizes, weights=(5, 2, 1)):
     return target
 
 
+def test_leaks_of_items_that_repeat_a_shingle_and_were_edited(spark):
+    draw = random.Random(4)
+    vocabulary = [f"v{i}" for i in range(5000)]
+    items, docs = [], []
+    for i in range(24):
+        # A run of equal shingles in the item; the copy has other words in its place.
+        n, r = [(196, 20), (400, 44)][i % 2]
+        body = draw.sample(vocabulary, n - r)
+        items.append((i, " ".join(body[:n // 2] + ["_"] * r + body[n // 2:])))
+        docs.append((i, " ".join(body[:n // 2] + draw.sample(vocabulary, r) + body[n // 2:]), "x"))
+    want = leaked([(a, b) for a, b, _ in docs], items)
+    got = decontamination.leaks(spark.createDataFrame(docs, TEXTS).drop("item_id"), spark.createDataFrame(items, ITEMS)).collect()
+    assert len(want) == 24 and {(row.doc_id, row.item_id): pytest.approx(row.similarity) for row in got} == want
+
+
 DOCS = "doc_id long, text string, source string, size string"
 
 
