@@ -208,10 +208,10 @@ def mixed(docs: DataFrame, shards: int = 64, seed: int = SEED, key: str = "doc_i
     Rows are dealt to shards by whole blocks and ordered by ``position`` within a shard (a seeded shuffle). A row that
     is cut keeps its first ``taken_words`` words.
     """
+    docs = stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "mix-docs")
     rows, sources = plan(docs, seed=seed, key=key, text=text, **options)
-    rows = stored(rows.select(ROW, F.col(key).alias("_key"), "rank", "row_hash", "blocks", "whole", "taken_part", "size"), "mix-rows")
-    copies = drawn(rows, sources, shards, seed).join(rows.select(ROW, "_key"), ROW).drop(ROW).distinct()
-    out = docs.join(copies, F.col(key) == F.col("_key"))
+    rows = stored(rows.select(ROW, "rank", "row_hash", "blocks", "whole", "taken_part", "size"), "mix-rows")
+    out = docs.join(drawn(rows, sources, shards, seed), ROW)
     first = F.concat_ws(" ", F.slice(F.split(F.ltrim(F.col(text), F.lit(" \t\n\r\v\f")), GAP), 1, F.col("taken_words").cast("int")))
     shown = F.when(F.col("taken_words") < F.col("_size"), first).otherwise(F.col(text))
-    return out.withColumn(text, shown).drop("_key", "_size", "_pass")
+    return out.withColumn(text, shown).drop(ROW, "_size", "_pass")

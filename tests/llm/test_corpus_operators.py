@@ -198,6 +198,29 @@ def test_mix_report_counts_what_was_dealt(spark, monkeypatch):
     assert 0 < mixing.mix_report(df, shards=6).agg(F.sum("taken")).first()[0] < whole
 
 
+def test_mix_keeps_rows_with_null_and_repeated_keys(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 300)
+    rows = [(None if i % 3 == 0 else i % 40, f"n{i} " + "x " * (i % 50), "ab"[i % 2]) for i in range(400)] + [(7, "n7 same", "a")] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    report = mixing.mix_report(df, shards=5).collect()
+    assert len(report) == len(rows)
+    mix = mixing.mixed(df, shards=5).collect()
+    by_key, by_source, drawn = {}, {}, {}
+    for row in mix:
+        assert len(words(row.text)) == row.taken_words
+        by_key[row.doc_id] = by_key.get(row.doc_id, 0) + row.taken_words
+        by_source[row.source] = by_source.get(row.source, 0) + row.taken_words
+        drawn[row.text.split()[0]] = drawn.get(row.text.split()[0], 0) + 1
+    want = {}
+    for row in report:
+        want[row.doc_id] = want.get(row.doc_id, 0) + row.taken
+    assert None in by_key and by_key == {key: n for key, n in want.items() if n}
+    sizes = {name: sum(len(words(text)) for _, text, source in rows if source == name) for name in "ab"}
+    assert all(abs(by_source[name] - total) <= 1 for name, total in fill(sizes).items())
+    # No source is taken more than twice over (``cap``), nor is any of its rows; "n7" has six rows.
+    assert all(n <= (12 if name == "n7" else 2) for name, n in drawn.items())
+
+
 def test_pipeline_against_brute_force(spark):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
