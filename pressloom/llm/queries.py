@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pressloom.llm.centroid_clustering import clusters
 from pressloom.llm.chat_format import formatted
 from pressloom.llm.common import table
 from pressloom.llm.decontamination import leaks
 from pressloom.llm.embedding_dedup import near_duplicates
+from pressloom.llm.exact_dedup import exact_groups
 from pressloom.llm.jaccard_join import groups
 from pressloom.llm.language_id import language_report
 from pressloom.llm.license_scan import licence_lines
 from pressloom.llm.mixing import mix_report
 from pressloom.llm.secret_scan import secret_spans
+from pressloom.llm.token_alignment import alignment
 from pressloom.llm.token_counts import token_counts
 from pressloom.llm.toxicity import learn, severity
 
@@ -67,6 +70,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return severity(docs, learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters(table(spark, sf_dir, "embeddings"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_chat_format": op2_chat_format,
@@ -78,6 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array({text}, '[ \t-\r]+'), lambda x: x <> '')"
@@ -87,6 +106,31 @@ _REACH = """pairs AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach(node, root) AS (SELECT node, node FROM nodes UNION SELECT pairs.b, reach.root FROM reach JOIN pairs ON reach.node = pairs.a),
 roots AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node)"""
 
+
+
+def _clustering_sql(rounds: int = 3) -> str:
+    """Rounds of assignment and floored means, each a pair of materialised steps."""
+    steps = [
+        """points AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS p FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+centroids_0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256(concat('1:', vec_id)), p) - 1 AS cluster, p AS c FROM points
+  QUALIFY row_number() OVER (ORDER BY sha256(concat('1:', vec_id)), p) <= 16)"""]
+    for i in range(rounds + 1):
+        steps.append(f"""placed_{i} AS MATERIALIZED (
+  SELECT vec_id, p, cluster, c, CAST(list_sum(list_transform(list_zip(p, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS distance
+  FROM points CROSS JOIN centroids_{i} QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) = 1)""")
+        if i < rounds:
+            steps.append(f"""parts_{i} AS (SELECT cluster, generate_subscripts(p, 1) AS place, unnest(p) AS x FROM placed_{i}),
+sums_{i} AS (SELECT cluster, place, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM parts_{i} GROUP BY cluster, place),
+means_{i} AS (SELECT cluster, list((s - (s % n + n) % n) // n ORDER BY place) AS c FROM sums_{i} GROUP BY cluster),
+centroids_{i + 1} AS MATERIALIZED (SELECT cluster, coalesce(m.c, o.c) AS c FROM centroids_{i} o LEFT JOIN means_{i} m USING (cluster))""")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256 FROM placed_{rounds}"""
+
+
 # What SQL can express. The others learn a model or draw at random.
 ORACLE_SQL: dict[str, str] = {
     "op2_chat_format": r"""
@@ -145,5 +189,11 @@ SELECT doc_id, item_id, CAST(m AS DOUBLE) / (n + size - m) AS similarity, CAST(s
   CAST(start + size + 3 AS INTEGER) AS last_word
 FROM common WHERE 100 * m >= 75 * (n + size - m)
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY CAST(m AS DOUBLE) / (n + size - m) DESC, start) = 1
+""",
+    "op11_centroid_clustering": _clustering_sql(),
+    "op12_exact_dedup": f"""
+WITH texts AS (SELECT doc_id, coalesce({_SMALL}, '') AS small FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept,
+  sha256(small) AS text_sha256 FROM texts WINDOW same AS (PARTITION BY small)
 """,
 }
