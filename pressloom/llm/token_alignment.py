@@ -47,6 +47,7 @@ MEMO_LINKS = 1 << 22
 SPAN_START = re.compile(r"(?<=\S)(?=[ \n])")
 SPACE_MARK = "▁"
 COLUMNS = ["n_a", "n_b", "n_groups", "n_links"]
+PACKED = ["sizes", "spans", "links", "pairs"]
 
 
 def pair_id(a: np.ndarray, b: np.ndarray, bits: int = 32) -> np.ndarray:
@@ -270,7 +271,9 @@ def packed(docs: DataFrame, byte_file: str, piece_file: str, key: str = "doc_id"
 
 def unpacked(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Per packed row: spans by text, spans by number, links by span, and the linked pairs."""
-    for sizes, spans, links, pairs, narrow in zip(*(batch.column(name).to_pylist() for name in ("sizes", "spans", "links", "pairs", "narrow"))):
+    for i in range(batch.num_rows):
+        sizes, spans, links, pairs = (batch.column(name)[i].as_buffer() for name in PACKED)
+        narrow = batch.column("narrow")[i].as_py()
         ids = np.frombuffer(pairs, "<u4" if narrow else "<i8").astype(np.int64)
         yield (*(np.frombuffer(values, "<i4").astype(np.int64) for values in (sizes, spans, links)),
                pair_id(ids >> 16, ids & 0xFFFF) if narrow else ids)
@@ -284,7 +287,7 @@ def pair_counts(rows: DataFrame) -> DataFrame:
             for _, spans, links, pairs in unpacked(batch):
                 yield summed(pairs, np.repeat(np.bincount(spans, minlength=len(links)), links))
 
-    parts = rows.select("sizes", "spans", "links", "pairs", "narrow").mapInArrow(counted, "pair long, n long")
+    parts = rows.select(*PACKED, "narrow").mapInArrow(counted, "pair long, n long")
     pairs = stored(parts.groupBy("pair").agg(F.sum("n").alias("n")).select(
         F.shiftright("pair", 32).cast("int").alias("a"), F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("b"), "n"), "token-pairs")
     # At most one row per A id meets in the window of a B id: the vocabulary bounds it.
@@ -307,14 +310,16 @@ def alignment(docs: DataFrame, byte_file: str, piece_file: str, key: str = "doc_
         ids = pair_id(held["a"].to_numpy(np.int64), held["b"].to_numpy(np.int64))
         order = np.argsort(ids)
         shared = spark.sparkContext.broadcast((ids[order], held["n"].to_numpy(np.int64)[order], held["best"].to_numpy(bool)[order]))
-        rows = rows.mapInArrow(scored(shared), rows.schema)
+        # After the last block the packed columns have done their part.
+        kept = rows.columns if place < blocks - 1 else [name for name in rows.columns if name not in (*PACKED, "narrow")]
+        rows = rows.mapInArrow(scored(shared, kept), rows.select(*kept).schema)
     shown = ["keys", *COLUMNS, *scores, "groups_sha256"]
     out = rows.select(F.inline(F.arrays_zip(*shown)))
     return out.select(F.col("keys").alias(key), *COLUMNS, *scores, "groups_sha256")
 
 
-def scored(block):
-    """Add what one block of pairs gives to ``n_best`` and ``count_sum`` of every text."""
+def scored(block, kept: list[str]):
+    """Add what one block of pairs gives to ``n_best`` and ``count_sum`` of every text; returns the columns ``kept``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, counts, best = block.value
@@ -328,7 +333,7 @@ def scored(block):
                     by_span = np.diff(np.concatenate([[0], np.cumsum(held)])[np.cumsum(links)], prepend=0)
                     total = np.concatenate([[0], np.cumsum(by_span[spans])])
                     found[name].append(total[np.cumsum(sizes)] - total[np.cumsum(sizes) - sizes])
-            columns = {name: batch.column(name) for name in batch.schema.names}
+            columns = {name: batch.column(name) for name in kept}
             for name, values in found.items():
                 before = batch.column(name).to_pylist()
                 columns[name] = pa.array([list(x + np.array(y, np.int64)) for x, y in zip(values, before)], pa.list_(pa.int64()))
