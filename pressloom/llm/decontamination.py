@@ -15,7 +15,8 @@ A benchmark item of ``n`` shingles (five words each) is held against windows of
 The radius lies four standard deviations above the distance expected of a pair at exactly 0.75.
 
 Items are taken in blocks of bounded size, each broadcast against all texts, so a benchmark of any size is
-worked off exactly. Defined results: null or empty texts and items match nothing; an item of fewer than five
+worked off exactly. The index has as many rows for an item of one shingle as for a long one, so it has a bound of
+its own, beyond which it is joined without a broadcast. Defined results: null or empty texts and items match nothing; an item of fewer than five
 words is one shingle of all its words; a text shorter than an item is one window; repeated items each match;
 repeated rows of a text give one result per key; extra columns are ignored.
 """
@@ -28,7 +29,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import GAP, stored
+from pressloom.llm.common import GAP, names_each_row, numbered, stored
 from pressloom.operators.scale import computed_once
 
 SHINGLE = 5
@@ -38,6 +39,8 @@ BLOCKS = 8
 BITS = 64 // BLOCKS
 # Shingles of the items that are broadcast at a time.
 BLOCK_SHINGLES = 1_000_000
+# Rows of the index of fingerprints that are broadcast at most; a larger index is a table that is joined by its keys.
+INDEX_ROWS = 1_000_000
 BLANK = " \t\n\r\v\f"
 
 
@@ -119,15 +122,17 @@ def leaks(docs: DataFrame, bench: DataFrame, doc_key: str = "doc_id", item_key:
     """
     items = stored(item_shingles(bench.select(item_key, item_text), item_key, item_text).withColumn(
         "row", F.monotonically_increasing_id()), "leak-items")
-    total = items.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    total, rows = items.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     parts = max(1, -(-int(total) // BLOCK_SHINGLES))
+    # Every item is listed under the values near each of its blocks. All items count, so no block has more rows.
+    small = rows * BLOCKS * len(near_values()) <= INDEX_ROWS
     widths = sorted(row[0] for row in items.select("width").distinct().collect())
     found = []
     for part in range(parts):
         block = items.filter(F.pmod(F.xxhash64("row"), F.lit(parts)) == part)
         for width in widths:
             own = block.filter(F.col("width") == width)
-            found.append(_leaks_of(docs.select(doc_key, text), own, width, doc_key, text))
+            found.append(_leaks_of(docs.select(doc_key, text), own, width, doc_key, text, small))
     kind = docs.schema[doc_key].dataType
     if not found:
         spark = docs.sparkSession
@@ -140,7 +145,7 @@ def leaks(docs: DataFrame, bench: DataFrame, doc_key: str = "doc_id", item_key:
                        start.alias("first_word"), (start + F.col("best.held") + F.col("best.width") - 2).cast("int").alias("last_word"))
 
 
-def _leaks_of(docs: DataFrame, items: DataFrame, width: int, doc_key: str, text: str) -> DataFrame:
+def _leaks_of(docs: DataFrame, items: DataFrame, width: int, doc_key: str, text: str, small: bool) -> DataFrame:
     """Verified windows of one block of items of one shingle width."""
     sizes = items.select("n", F.explode("shingles").alias("shingle")).distinct()
     spread = computed_once(hashed_words(docs, doc_key, text), {"shingles": grams(F.col("hashes"), width)}).drop("hashes")
@@ -157,7 +162,8 @@ def _leaks_of(docs: DataFrame, items: DataFrame, width: int, doc_key: str, text:
     own = F.element_at(F.array(*[F.col(f"c{i}") for i in range(BLOCKS)]), F.col("block") + 1)
     index = index.withColumn("value", own).withColumn("value", F.explode(F.transform(flips, lambda flip: F.col("value").bitwiseXOR(flip))))
     probes = of_windows.select("*", F.posexplode(F.array(*[F.col(f"b{i}") for i in range(BLOCKS)])).alias("block", "value"))
-    near = probes.join(F.broadcast(index), ["n", "block", "value"]).filter(distance("b", "c") <= RADIUS)
+    index = F.broadcast(index) if small else stored(index, "leak-index")
+    near = probes.join(index, ["n", "block", "value"]).filter(distance("b", "c") <= RADIUS)
     candidates = near.select(*window, "item", "row", "held").distinct()
     # Exact weighted similarity of the candidates.
     counts = windows.select(*window, F.explode("shingles").alias("shingle")).groupBy(*window, "shingle").agg(F.count(F.lit(1)).alias("k"))
@@ -169,7 +175,11 @@ def _leaks_of(docs: DataFrame, items: DataFrame, width: int, doc_key: str, text:
     return alike.select("key", "item", "start", "held", F.lit(width).alias("width"), (F.col("common") / either).alias("similarity"))
 
 
-def clean(docs: DataFrame, bench: DataFrame, doc_key: str = "doc_id", **options) -> DataFrame:
-    """The documents without a leaked item; rows with a null key stay."""
-    dropped = leaks(docs, bench, doc_key, **options).select(doc_key).distinct()
-    return docs.join(dropped, doc_key, "left_anti")
+def clean(docs: DataFrame, bench: DataFrame, doc_key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows without a leaked item, columns as given; rows whose key is null or shared are searched one by one too."""
+    if names_each_row(docs, doc_key):
+        dropped = leaks(docs, bench, doc_key, text=text, **options).select(doc_key).distinct()
+        return docs.join(dropped, doc_key, "left_anti").select(docs.columns)
+    given = numbered(docs, doc_key, text)
+    dropped = leaks(given, bench, "row", text="text", **options).select("row").distinct()
+    return given.join(dropped, "row", "left_anti").select("doc.*")

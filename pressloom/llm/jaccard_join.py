@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import prepare, stored
+from pressloom.llm.common import names_each_row, numbered, prepare, stored
 from pressloom.llm.graph import components
 from pressloom.llm.shingles import mix, shingle_sets
 
@@ -417,6 +417,15 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents whose key is the smallest of their group; rows with a null key stay."""
-    dropped = groups(docs, key, text).filter(F.col("component_id") != F.col(key)).select(key).distinct()
-    return docs.join(dropped, key, "left_anti")
+    """One row of each group of linked texts: the one with the smallest key, columns as given.
+
+    Where the key is null, repeats or is no integer, rows get a number of their own: then each row is a text by itself,
+    null keys come last, and of rows that share the smallest key one stays. Texts without words all stay.
+    """
+    if names_each_row(docs, key):
+        dropped = groups(docs, key, text).filter(F.col("component_id") != F.col(key)).select(key).distinct()
+        return docs.join(dropped, key, "left_anti").select(docs.columns)
+    given = numbered(docs, key, text)
+    found = groups(given, "row", "text").join(given.select("row", "key"), "row")
+    first = F.min(F.struct(F.col("key").isNull().alias("unnamed"), "key", "row"))["row"].alias("row")
+    return given.join(found.groupBy("component_id").agg(first).select("row"), "row", "left_semi").select("doc.*")

@@ -2,15 +2,18 @@
 
 A paragraph is a line. Its word n-grams (one to three words) are sparse features of a softmax regression over
 licence families and an ``unknown`` class. Training rows are the notices below, each also with single words left
-out, and a bounded sample of lines of the corpus itself as ``unknown``; a quarter is kept back to calibrate the
-probabilities by one temperature. Features must hold an anchor: a word of the notices that at most one in a
-thousand sampled lines has. A line without an anchor has no feature and is ``unknown``, so the scan first finds
-lines with an anchor and scores only these, whole.
+out, and a bounded sample of lines of the corpus itself as ``unknown``, without those that hold a licence word: how
+often a licence stands in a corpus must not make it unknown. A quarter is kept back to calibrate the probabilities by
+one temperature; how right they are on these rows is part of the model (``reliability``). Features must hold an anchor,
+one of a fixed list of words. A line without an anchor has no feature and is ``unknown``, so the scan first
+finds lines with an anchor and scores only these, whole, however many there are.
 
-A predicted family is confirmed by the best word-set similarity with one of its own notices.
+A predicted family is confirmed by the best word-set similarity with one of its own notices, or where line and notice
+share ``LEAST_COMMON`` words that are most of either: a footer that holds a notice, a line of a wrapped one.
 
 Defined results: null and empty texts have no paragraph; a line that is ``unknown`` is not returned; equal lines
-are returned each under their own number (from 0); repeated rows give each finding once; null keys are kept.
+are returned each under their own number (from 0); repeated rows give each finding once; null keys are kept; texts
+are read whole, however long; an empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -41,6 +44,8 @@ NOTICES = {
         "This work is licensed under the GNU General Public License, version 3.", "Released under the GNU General Public License.",
         "GNU General Public License version 2 or later", "SPDX-License-Identifier: GPL-3.0-or-later", "Licensed under the GPL v3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
+        "it under the terms of the GNU General Public License as published by the Free Software Foundation",
+        "You should have received a copy of the GNU General Public License along with this program.",
     ],
     "LGPL": [
         "Licensed under the GNU Lesser General Public License, version 3.", "GNU Lesser General Public License version 2.1",
@@ -66,6 +71,7 @@ NOTICES = {
     "CC-BY-SA": [
         "Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
         "Text is available under the Creative Commons Attribution-ShareAlike License", "SPDX-License-Identifier: CC-BY-SA-4.0",
+        "Content is available under CC BY-SA 4.0 unless otherwise noted.",
     ],
     "CC-BY-NC": [
         "Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
@@ -80,7 +86,7 @@ NOTICES = {
     ],
     "Proprietary": [
         "All rights reserved. No part of this publication may be reproduced without written permission.", "Proprietary and confidential.",
-        "Unauthorized copying of this file, via any medium, is strictly prohibited.",
+        "Unauthorized copying of this file, via any medium, is strictly prohibited.", "All rights reserved.",
     ],
 }
 # Lines that speak of licences without granting one.
@@ -91,15 +97,26 @@ NO_NOTICES = [
     "He gave permission to copy the notes.", "Licensed plumbers are listed below.", "The software is free of charge for a month.",
     "The license plate was missing.", "What license does this project use?", "Attribution of the painting is disputed.",
 ]
+# Words that speak of a licence wherever they stand, and further words without which no notice is found.
+LICENCE_WORDS = {
+    "license", "licensed", "licence", "licenced", "spdx", "gnu", "gpl", "lgpl", "agpl", "bsd", "apache", "mozilla", "mpl", "cc", "cc0",
+    "commons", "sharealike", "noncommercial", "unlicense", "unencumbered", "reserved",
+}
+ANCHORS = LICENCE_WORDS | {
+    "affero", "attribution", "confidential", "copyright", "creative", "domain", "granted", "hereby", "permission", "permitted", "prohibited",
+    "proprietary", "redistribute", "redistribution", "reproduced", "sublicense", "unauthorized", "waived", "warranty",
+}
 UNKNOWN = "unknown"
 CLASSES = [*NOTICES, UNKNOWN]
 LONGEST = 3
 # Bounds of the corpus sample: texts drawn and lines kept of them.
 SAMPLE_TEXTS = 2000
 SAMPLE_LINES = 4000
-ANCHOR_RATE = 0.001
 LEAST_PROBABILITY = 0.5
 LEAST_SIMILARITY = 0.6
+# What a line and a notice share: at least so many words, and this part of one of them.
+LEAST_COMMON = 6
+LEAST_PART = 0.7
 RIDGE = 1e-3
 STEPS = 200
 
@@ -143,26 +160,18 @@ def sampled_lines(docs: DataFrame, key: str, text: str) -> list[str]:
 
 def train(lines: list[str], seed: int = 3) -> dict:
     """The classifier from the notices and sampled lines: anchors, n-gram weights, biases, temperature."""
-    notices = [(set(line_words(notice)), family) for family, listed in NOTICES.items() for notice in listed]
     examples: list[tuple[list[str], int]] = []
     for family, listed in NOTICES.items():
         for words in map(line_words, listed):
             examples += [(words, CLASSES.index(family))] * 3
             examples += [(words[:i] + words[i + 1:], CLASSES.index(family)) for i in range(len(words)) if len(words) > 4]
-    plain = []
-    for words in map(line_words, lines):
-        held = set(words)
-        # Sampled lines that repeat a notice are no examples of the unknown class.
-        if held and max(similarity(held, notice) for notice, _ in notices) < 0.5:
-            plain.append(words)
-    plain += [line_words(line) for line in NO_NOTICES for _ in range(3)]
+    # A sampled line that speaks of licences may be a notice in other words, so it is no example of anything.
+    plain = [words for words in map(line_words, lines) if words and LICENCE_WORDS.isdisjoint(words)]
+    # Only the lines below show the unknown class with a licence word, so they are a quarter of it at least.
+    times = max(3, -(-len(plain) // (3 * len(NO_NOTICES))))
+    plain += [line_words(line) for line in NO_NOTICES for _ in range(times)]
     examples += [(words, len(CLASSES) - 1) for words in plain]
-    rate: dict[str, int] = {}
-    for words in plain[:len(plain) - 3 * len(NO_NOTICES)]:
-        for word in set(words):
-            rate[word] = rate.get(word, 0) + 1
-    most = max(1.0, ANCHOR_RATE * len(plain))
-    anchors = {word for notice, _ in notices for word in notice if rate.get(word, 0) <= most}
+    anchors = ANCHORS
     vocabulary = sorted(set(chain.from_iterable(line_grams(line_words(x), anchors) for listed in NOTICES.values() for x in listed)))
     index = {gram: i for i, gram in enumerate(vocabulary)}
     x = np.zeros((len(examples), len(vocabulary)), dtype=np.float32)
@@ -175,8 +184,13 @@ def train(lines: list[str], seed: int = 3) -> dict:
     scores = x[back] @ weights + biases
     # One temperature for all classes: the likeliest on the rows kept back.
     temperature = min((float(t) for t in np.geomspace(0.25, 4, 33)), key=lambda t: loss(scores / t, y[back]))
+    scores = scores / temperature
+    chances = np.exp(scores - scores.max(axis=1, keepdims=True))
+    sure = (chances / chances.sum(axis=1, keepdims=True)).max(axis=1)
+    right = scores.argmax(axis=1) == y[back]
+    reliability = {"rows": int(back.sum()), "mean_probability": float(sure.mean()), "right": float(right.mean())}
     weights, biases = softmax_fit(x, y)
-    return {"anchors": sorted(anchors), "vocabulary": vocabulary, "weights": weights / temperature, "biases": biases / temperature}
+    return {"reliability": reliability, "anchors": sorted(anchors), "vocabulary": vocabulary, "weights": weights / temperature, "biases": biases / temperature}
 
 
 def loss(scores: np.ndarray, y: np.ndarray) -> float:
@@ -204,10 +218,16 @@ def softmax_fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return weights, biases
 
 
-def licence_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def matches(common: int, line: int, notice: int) -> bool:
+    """Whether a line and a notice of so many words, with so many in common, are the same notice."""
+    alike = common / (line + notice - common) >= LEAST_SIMILARITY
+    return alike or common >= LEAST_COMMON and common >= LEAST_PART * min(line, notice)
+
+
+def licence_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", model: dict | None = None) -> DataFrame:
     """``doc_id, paragraph, family, probability, similarity, confirmed`` for every line classed as a licence."""
     spark = docs.sparkSession
-    model = train(sampled_lines(docs, key, text))
+    model = model or train(sampled_lines(docs, key, text))
     anchors = small_table(spark, [{"word": word} for word in model["anchors"]], "word string")
     words = lines_of(docs, key, text).select("key", "paragraph", "line", F.explode(words_column(F.col("line"))).alias("word"))
     # Both tables below are as large as the notices above, whatever the corpus.
@@ -233,10 +253,11 @@ def licence_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     held = F.array_distinct(F.filter(words_column(F.col("line")), lambda word: word != ""))
     common = F.size(F.array_intersect("held", "notice"))
     alike = common / (F.size("held") + F.size("notice") - common)
+    most = (common >= LEAST_COMMON) & (common >= F.least(F.size("held"), F.size("notice")) * F.lit(LEAST_PART))
     compared = (classed.withColumn("held", held).join(F.broadcast(notices), "family")
-                .groupBy("key", "paragraph", "line", "family", "probability").agg(F.max(alike).alias("similarity")))
-    return compared.select(F.col("key").alias(key), "paragraph", "family", "probability", "similarity",
-                           (F.col("similarity") >= LEAST_SIMILARITY).alias("confirmed"))
+                .groupBy("key", "paragraph", "line", "family", "probability").agg(
+                    F.max(alike).alias("similarity"), F.max((alike >= LEAST_SIMILARITY) | most).alias("confirmed")))
+    return compared.select(F.col("key").alias(key), "paragraph", "family", "probability", "similarity", "confirmed")
 
 
 def _joined(n: int):

@@ -14,7 +14,9 @@ drawn blocks are dealt to the shards in permuted order, hence disjointly, and sh
 Defined results: null or empty texts have size 0 and nothing taken from them; null sources are one source,
 the last in order; an empty table gives an empty mix; repeated rows are taken as one document several times
 listed (same hash), each row counting by itself; rows with a null key are permuted by a hash of their text.
-Rows are told apart by a number of their own, ``ROW``, never by their key.
+Rows are told apart by a number of their own, never by their key or any column of the caller: other columns, whatever
+their names, change nothing. In the mix the columns ``shard``, ``position`` and ``taken_words`` are the mix's own; columns
+of these names in the input give way to them. A cut text keeps its blanks and line breaks up to its last word.
 """
 
 from __future__ import annotations
@@ -115,18 +117,18 @@ def shard_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
 
 
 def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, seed: int = SEED,
-         key: str = "doc_id", text: str = "text", source: str = "source") -> tuple[DataFrame, DataFrame]:
+         key: str = "doc_id", text: str = "text", source: str = "source", row: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """What the mix takes of each row, and the sources with their targets and block quotas.
 
     The first frame has ``ROW, key, size, rank, row_hash, blocks, whole, edge, taken_part, taken``; the second one row
-    per source. A row is taken ``whole`` times in full, and ``taken_part`` words more in the following pass. The numbers
-    in ``ROW`` are those of ``docs``, if it has them.
+    per source. A row is taken ``whole`` times in full, and ``taken_part`` words more in the following pass. ``row`` is
+    the number of a row where the caller has numbered the rows.
     """
     prepare(docs.sparkSession)
+    number = F.monotonically_increasing_id() if row is None else row
     named = F.when(F.col(key).isNull(), F.xxhash64(F.lit(seed), F.col(text))).otherwise(F.xxhash64(F.lit(seed), F.col(key)))
     sized = stored(docs.select(
-        (F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()).alias(ROW),
-        F.col(key).alias(key), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"),
+        number.alias(ROW), F.col(key).alias("key"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"),
         named.alias("row_hash"),
     ), "mix-sizes")
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -155,7 +157,7 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1
     cut = placed.join(edges, "rank", "left")
     in_edge = F.coalesce(F.col("block") == F.col("edge"), F.lit(False))
     # Only the rows of an edge block, one block per source, are put in order.
-    order = Window.partitionBy("rank").orderBy("row_hash", key, "size", ROW).rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy("rank").orderBy("row_hash", "key", "size", ROW).rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("size").over(order), F.lit(0))
     last = cut.filter(in_edge).withColumn("taken_part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("room") - before)))
     full = cut.filter(~in_edge).withColumn(
@@ -194,11 +196,11 @@ def mix_report(docs: DataFrame, shards: int = 64, seed: int = SEED, key: str = "
     ``taken`` counts the words of the copies that were drawn and dealt to the shards.
     """
     rows, sources = plan(docs, seed=seed, key=key, **options)
-    rows = stored(rows.select(ROW, key, "rank", "row_hash", "blocks", "whole", "taken_part", "size", "source_size", "target"),
+    rows = stored(rows.select(ROW, "key", "rank", "row_hash", "blocks", "whole", "taken_part", "size", "source_size", "target"),
                   "mix-rows")
     taken = drawn(rows, sources, shards, seed).groupBy(ROW).agg(F.sum("taken_words").alias("taken"))
     return rows.join(taken, ROW, "left").select(
-        key, "size", "source_size", "target", F.coalesce(F.col("taken"), F.lit(0)).cast("long").alias("taken"))
+        F.col("key").alias(key), "size", "source_size", "target", F.coalesce(F.col("taken"), F.lit(0)).cast("long").alias("taken"))
 
 
 def mixed(docs: DataFrame, shards: int = 64, seed: int = SEED, key: str = "doc_id", text: str = "text",
@@ -208,10 +210,22 @@ def mixed(docs: DataFrame, shards: int = 64, seed: int = SEED, key: str = "doc_i
     Rows are dealt to shards by whole blocks and ordered by ``position`` within a shard (a seeded shuffle). A row that
     is cut keeps its first ``taken_words`` words.
     """
-    docs = stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "mix-docs")
-    rows, sources = plan(docs, seed=seed, key=key, text=text, **options)
+    # The caller's columns travel inside one column, so that no name of theirs meets a name of the plan.
+    given = stored(docs.select(F.monotonically_increasing_id().alias(ROW), F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("doc")), "mix-docs")
+    own = {name: F.col("doc")[name] for name in docs.columns}
+    named = {"key": own[key], "text": own[text], "source": own[options.pop("source", "source")]}
+    rows, sources = plan(given.select(ROW, *[value.alias(name) for name, value in named.items()]), seed=seed, key="key", text="text",
+                         source="source", row=F.col(ROW), **options)
     rows = stored(rows.select(ROW, "rank", "row_hash", "blocks", "whole", "taken_part", "size"), "mix-rows")
-    out = docs.join(drawn(rows, sources, shards, seed), ROW)
-    first = F.concat_ws(" ", F.slice(F.split(F.ltrim(F.col(text), F.lit(" \t\n\r\v\f")), GAP), 1, F.col("taken_words").cast("int")))
-    shown = F.when(F.col("taken_words") < F.col("_size"), first).otherwise(F.col(text))
-    return out.withColumn(text, shown).drop(ROW, "_size", "_pass")
+    out = given.join(drawn(rows, sources, shards, seed), ROW)
+    shown = F.when(F.col("taken_words") < F.col("_size"), first_words(own[text], F.col("taken_words"))).otherwise(own[text])
+    mine = ["shard", "position", "taken_words"]
+    kept = [(shown if name == text else value).alias(name) for name, value in own.items() if name not in mine]
+    return out.select(*kept, *mine)
+
+
+def first_words(text: Column, words: Column) -> Column:
+    """A text up to the end of its n-th word, everything before it as it stands."""
+    blanks = F.lit(" \t\n\r\v\f")
+    rest = F.get(F.split(F.ltrim(text, blanks), GAP, words.cast("int") + 1), words.cast("int"))
+    return F.rtrim(F.substring(text, F.lit(1), F.length(text) - F.length(F.coalesce(rest, F.lit("")))), blanks)

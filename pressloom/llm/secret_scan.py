@@ -6,8 +6,15 @@ its right side as a chain of literals and names (``"ab" + key``). Literals of pl
 constants, so that ``k = "…"`` followed by ``password = k`` leads back to the first literal. A literal counts as
 a secret by the score of its target name times the score of its value.
 
-Defined results: a null text is empty; an empty text has no spans; repeated rows give repeated rows. Spans
-are in code points, the end is exclusive. Base spans always stay; the lexer adds literals that no base span
+Literals that stand side by side, or in brackets one below the other, are one value, as in ``("ab" "cd")``; a word
+followed by a bracket is a call and no literal; the text of a sensitive element of markup (``<password>…</password>``)
+counts as assigned to its name. A value that grows step by step out of earlier ones is scored at each of its first
+``STEPWISE`` steps, then whenever the number of steps has doubled, and in its last form, so that a chain of any
+length takes time in proportion to the text.
+
+Defined results: a null text is empty; an empty text has no spans; repeated rows give repeated rows; texts are
+read whole, however long; an empty table gives an empty result; in a scan other columns are ignored, and redaction
+returns them as they are, whatever their names. Spans are in code points, the end is exclusive. Base spans always stay; the lexer adds literals that no base span
 covers, with kind ``literal`` (its own assignment) or ``constant`` (reached through a name).
 """
 
@@ -41,6 +48,13 @@ REFERENCE = re.compile(r"\$?\{?([A-Za-z_][\w.]*)\}?")
 BARE = re.compile(r"""[^\s"'`#;,(){}\[\]<>|]+""")
 PLUS = re.compile(r"[ \t]*(?:\+|\.\.)[ \t]*\n?[ \t]*")
 SPACE = re.compile(r"[ \t]*")
+# What may stand between two literals of one value: blanks, and within brackets line breaks too.
+BRACKET = re.compile(r"\([ \t]*\n?[ \t]*(?=[rbfuRBFU@]{0,2}[\"'`])")
+BESIDE = re.compile(r"[ \t]*(?=[\"'])")
+BESIDE_IN_BRACKETS = re.compile(r"\s*(?=[\"'])")
+ELEMENT = re.compile(r"<([A-Za-z_][\w.:-]*)>[ \t]*([^<>\s][^<>\n]*?)[ \t]*</\1>")
+# Steps of a growing value that are each scored.
+STEPWISE = 16
 NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 SENSITIVE = {
@@ -95,7 +109,17 @@ def value_score(value: str) -> float:
     return min(1.0, n / 12) * min(1.0, entropy_of(value) / 2.5)
 
 
-def literals_of(part: tuple[int, int] | list) -> list[tuple[int, int, str]]:
+class Built(list):
+    """The parts of a value that is built from literals and earlier values."""
+
+    def __init__(self, parts: list):
+        super().__init__(parts)
+        # Steps of its longest line of earlier values, and whether a sensitive value was built from it.
+        self.steps = 1 + max((part.steps for part in parts if isinstance(part, Built)), default=0)
+        self.lives_on = False
+
+
+def literals_of(part: tuple[int, int] | Built) -> list[tuple[int, int, str]]:
     """The spans of a part of a chain: its own literal, or each literal behind a name once, in order of use.
 
     Names share the parts of the names they are built from, so that a chain of any length takes little room.
@@ -113,6 +137,12 @@ def literals_of(part: tuple[int, int] | list) -> list[tuple[int, int, str]]:
     return list(found)
 
 
+def secret_of(text: str, parts: Built, weight: float) -> list[tuple[int, int, str]]:
+    """The spans of a value that counts as a secret, else none."""
+    spans = [span for part in parts for span in literals_of(part)]
+    return spans if weight * value_score("".join(text[a:b] for a, b, _ in spans)) >= LEAST_SCORE else []
+
+
 def target_before(text: str, at: int) -> tuple[int, str]:
     """The name that ends before position ``at``, and where it starts (itself ``at`` if there is none)."""
     i = at - 1
@@ -131,9 +161,17 @@ def target_before(text: str, at: int) -> tuple[int, str]:
 
 def assigned(text: str) -> list[tuple[int, int, str]]:
     """Secret literals as ``(start, end, kind)``, in the order they are found."""
-    constants: dict[str, list] = {}
+    constants: dict[str, Built] = {}
     found: dict[tuple[int, int, str], None] = {}
+    # The last value of each sensitive name, where it was not scored yet.
+    waiting: dict[str, tuple[Built, float]] = {}
     done = 0
+
+    def settle(name: str) -> None:
+        built, weight = waiting.pop(name)
+        if not built.lives_on:
+            found.update(dict.fromkeys(secret_of(text, built, weight)))
+
     for operator in OPERATOR.finditer(text):
         if operator.start() < done:
             continue  # inside a literal that was read already
@@ -149,46 +187,68 @@ def assigned(text: str) -> list[tuple[int, int, str]]:
                 name = target_before(text, i)[1] or name
         weight = name_score(name)
         at = SPACE.match(text, operator.end()).end()
-        parts: list[tuple[int, int] | list] = []
+        parts: list[tuple[int, int] | Built] = []
         known, quoted_text = True, False
+        bracket = BRACKET.match(text, at)
+        beside = BESIDE_IN_BRACKETS if bracket else BESIDE
+        at = bracket.end() if bracket else at
         while True:
             if literal := LITERAL.match(text, at):
                 parts.append(literal.span(literal.lastindex))
                 quoted_text = quoted_text or literal.lastindex <= 2
                 at = literal.end()
-            elif (reference := REFERENCE.match(text, at)) and reference[1] in constants:
+            elif (reference := REFERENCE.match(text, at)) and reference[1] in constants and text[reference.end():reference.end() + 1] != "(":
                 parts.append(constants[reference[1]])
                 at = reference.end()
             elif not parts and weight >= LEAST_SCORE and (block := BLOCK_SCALAR.match(text, at)) and (pem := PEM.match(text, block.end())):
                 parts.append(pem.span())
                 at = pem.end()
-            elif not parts and weight >= LEAST_SCORE and (bare := BARE.match(text, at)) and not BARE_VARIABLE.fullmatch(bare[0]):
+            elif not parts and weight >= LEAST_SCORE and (bare := BARE.match(text, at)) \
+                    and text[bare.end():bare.end() + 1] != "(" and not BARE_VARIABLE.fullmatch(bare[0]):
                 # Configuration files leave values unquoted; only a sensitive name makes a bare word a literal.
                 parts.append(bare.span())
                 at = bare.end()
             else:
                 known = False
                 break
-            if not (plus := PLUS.match(text, at)):
+            if plus := PLUS.match(text, at):
+                at = plus.end()
+            elif literal and (gap := beside.match(text, at)) and LITERAL.match(text, gap.end()):
+                at = gap.end()
+            else:
                 break
-            at = plus.end()
         if not parts:
             continue
+        parts = Built(parts)
+        if weight:
+            for part in parts:
+                if isinstance(part, Built):
+                    part.lives_on = True
+        if name in waiting:
+            settle(name)
         if known:
             constants[name] = parts
         secret = False
-        if weight:
-            spans = [span for part in parts for span in literals_of(part)]
-            value = "".join(text[a:b] for a, b, _ in spans)
-            secret = weight * value_score(value) >= LEAST_SCORE
-            if secret:
-                found.update(dict.fromkeys(spans))
+        if weight and (parts.steps <= STEPWISE or parts.steps & (parts.steps - 1) == 0):
+            spans = secret_of(text, parts, weight)
+            secret = bool(spans)
+            found.update(dict.fromkeys(spans))
+        elif weight:
+            waiting[name] = (parts, weight)
         # A text in three quotes that is no secret itself may hold assignments.
         if isinstance(parts[-1], tuple) and (secret or not quoted_text):
             done = max(done, at)
+    for name in list(waiting):
+        settle(name)
     return list(found)
 
 
+def in_elements(text: str) -> list[tuple[int, int, str]]:
+    """Secret texts of markup elements whose name says so."""
+    return [(*element.span(2), "literal") for element in ELEMENT.finditer(text)
+            if (weight := name_score(element[1])) and weight * value_score(element[2]) >= LEAST_SCORE]
+
+
 def scan(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
     """Base spans, and all spans of a text, each ordered by start and then kind as listed."""
     base = []
@@ -205,6 +265,8 @@ def scan(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, st
         for a, b, kind in assigned(text):
             if b > a:
                 added.add((a, b, kind))
+    if "</" in text:
+        added.update(in_elements(text))
     if added:
         # A sweep from the left: what a base span covers is not listed again.
         reach, i, more = 0, 0, []

@@ -283,6 +283,7 @@ def pair_counts(rows: DataFrame) -> DataFrame:
     """``a, b, n, best``: how many links hold each id pair, and whether that is the most of its B id."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loaded.cache_clear()
         for batch in batches:
             for _, spans, links, pairs in unpacked(batch):
                 yield summed(pairs, np.repeat(np.bincount(spans, minlength=len(links)), links))
@@ -322,6 +323,8 @@ def scored(block, kept: list[str]):
     """Add what one block of pairs gives to ``n_best`` and ``count_sum`` of every text; returns the columns ``kept``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The vocabularies and the table of spans have done their part in this worker.
+        loaded.cache_clear()
         ids, counts, best = block.value
         for batch in batches:
             found = {"n_best": [], "count_sum": []}

@@ -3,13 +3,16 @@
 Grades follow the labels: 0 clean, 1 toxic in an otherwise good text, 2 toxic in a poor text. The model is
 ``P(grade <= k) = sigmoid(threshold_k - w . x)`` with ordered thresholds and one weight vector for all of
 them. Features are the logarithms of the rates of words and of word beginnings (4 to 6 letters); those are
-kept whose presence differs most between toxic and clean training texts. Fitting takes a bounded, hash-drawn sample of labelled rows;
-every text is then scored whole.
+kept whose presence differs most between toxic and clean training texts. Fitting takes a bounded, hash-drawn sample of
+labelled rows: each grade gives its share of ``SAMPLE`` rows, and a rare one up to ``SAMPLE / GRADES``, so that it is
+learned from however rare it is; rows weigh as many labels as they stand for, so that the thresholds keep the
+frequencies of all labels. Every text is then scored whole.
 
 Defined results: null or text without letters has no features and gets the grade of the thresholds alone;
 documents without a label are scored like any other; labels without a document, or with null grades, are
-left out of training; a label repeated with both values counts as toxic; without two grades to learn from,
-severity is 0 everywhere; repeated rows give repeated rows.
+left out of training; a label repeated with both values counts as toxic; only where all labelled texts have one grade
+is there no model, and severity is 0 everywhere; repeated rows give repeated rows; texts are scored whole, however
+long; an empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 from pressloom.llm.common import prepare, stored, with_text
 
 GRADES = 3
-# Bounds of fitting: labelled rows drawn, and features kept.
+# Bounds of fitting: labelled rows drawn in proportion (with those of rare grades at most twice as many), and features kept.
 SAMPLE = 8000
 FEATURES = 2048
 LEAST_TEXTS = 4
@@ -80,15 +83,23 @@ def graded(labels: DataFrame, key: str = "doc_id") -> DataFrame:
     return by_key.select(key, F.when(F.col("toxic") <= 0, 0).when(poor, 2).otherwise(1).alias("grade"))
 
 
-def training_texts(docs: DataFrame, labels: DataFrame, key: str, text: str) -> DataFrame:
-    """``grade, text`` of at most about ``SAMPLE`` labelled documents; only their keys are broadcast."""
+def training_texts(docs: DataFrame, labels: DataFrame, key: str, text: str) -> tuple[DataFrame, dict[int, float]]:
+    """``grade, text`` of at most about ``2 * SAMPLE`` labelled documents, and the share drawn of each grade.
+
+    Only the keys of the drawn labels are broadcast.
+    """
     grades = graded(labels, key)
-    rate = min(1.0, SAMPLE / max(1, grades.count()))
+    counts = {row["grade"]: row["count"] for row in grades.groupBy("grade").count().collect()}
+    whole = max(1, sum(counts.values()))
+    rates = {grade: min(1.0, max(SAMPLE / GRADES / n, SAMPLE / whole)) for grade, n in counts.items()}
+    rate = F.lit(0.0)
+    for grade, share in rates.items():
+        rate = F.when(F.col("grade") == grade, F.lit(share)).otherwise(rate)
     place = F.pmod(F.xxhash64(F.lit("toxicity sample"), F.col(key)), F.lit(1 << 30))
-    drawn = grades.filter(place < F.lit(int(rate * (1 << 30)))).limit(2 * SAMPLE)
+    drawn = grades.filter(place < rate * F.lit(float(1 << 30))).limit(3 * SAMPLE)
     # A repeated row is one example, so that the sample keeps its bound.
     found = docs.filter(F.col(text).isNotNull()).select(key, F.col(text).alias("text")).join(F.broadcast(drawn), key)
-    return stored(found.dropDuplicates([key]).select("grade", "text"), "toxicity-sample")
+    return stored(found.dropDuplicates([key]).select("grade", "text"), "toxicity-sample"), rates
 
 
 def choose_features(sample: DataFrame) -> list[str]:
@@ -120,13 +131,16 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1.0 + np.tanh(0.5 * x))
 
 
-def fit(rows: list[tuple[list[int], list[float]]], grades: np.ndarray, features: int) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and ordered thresholds by gradient steps with momentum (Adam) on the penalised likelihood."""
+def fit(rows: list[tuple[list[int], list[float]]], grades: np.ndarray, features: int, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and ordered thresholds by gradient steps with momentum (Adam) on the penalised likelihood.
+
+    ``counts`` says how many labels each row stands for, in relation to the mean.
+    """
     x = np.zeros((len(rows), features), dtype=np.float32)
     for i, (places, values) in enumerate(rows):
         x[i, places] = values
     levels = np.arange(GRADES - 1)
-    below = (grades[:, None] <= levels).mean(axis=0).clip(1e-4, 1 - 1e-4)
+    below = np.average(grades[:, None] <= levels, axis=0, weights=counts).clip(1e-4, 1 - 1e-4)
     start = np.log(below / (1 - below))
     # Thresholds as a first value and positive gaps keep their order.
     theta = np.concatenate([np.zeros(features), [start[0]], np.log(np.maximum(np.diff(start), 1e-2))])
@@ -140,6 +154,8 @@ def fit(rows: list[tuple[list[int], list[float]]], grades: np.ndarray, features:
         slope = upto * (1 - upto)
         at = np.arange(n)
         likelihood = np.maximum(upto[at, grades + 1] - upto[at, grades], 1e-9)
+        # Rows enter the gradient as often as they count.
+        likelihood = likelihood / counts
         push = (slope[at, grades + 1] - slope[at, grades]) / likelihood
         by_threshold = np.zeros(GRADES - 1)
         for level in levels:
@@ -154,11 +170,11 @@ def fit(rows: list[tuple[list[int], list[float]]], grades: np.ndarray, features:
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> dict | None:
-    """The fitted model: kept features, weights and thresholds; None where only one grade occurs."""
-    sample = training_texts(docs, labels, key, text)
-    vocabulary = choose_features(sample)
-    if not vocabulary:
+    """The fitted model: kept features, weights and thresholds; None where all labelled texts have one grade."""
+    sample, rates = training_texts(docs, labels, key, text)
+    if len(sample.select("grade").distinct().collect()) < 2:
         return None
+    vocabulary = choose_features(sample)
     extractor = Extractor(vocabulary)
 
     def sparse(batches):
@@ -169,10 +185,12 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
                 "held": pa.array([held for held, _ in found], pa.list_(pa.int32())),
                 "values": pa.array([values for _, values in found], pa.list_(pa.float64()))})
 
-    # At most 2 * SAMPLE rows of short index lists come to the driver.
+    # About 2 * SAMPLE rows at most of short index lists come to the driver.
     rows = sample.select("grade", "text").mapInArrow(sparse, "grade int, held array<int>, values array<double>").collect()
     rows.sort()
-    weights, thresholds = fit([(row[1], row[2]) for row in rows], np.array([row[0] for row in rows]), len(vocabulary))
+    grades = np.array([row[0] for row in rows])
+    counts = np.array([1.0 / rates[grade] for grade in grades])
+    weights, thresholds = fit([(row[1], row[2]) for row in rows], grades, len(vocabulary), counts / counts.mean())
     return {"vocabulary": vocabulary, "weights": weights, "thresholds": thresholds}
 
 

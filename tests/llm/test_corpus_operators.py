@@ -7,7 +7,7 @@ import pytest
 from brute import jaccard_groups, leaked, words
 from pyspark.sql import functions as F
 
-from pressloom.llm import chat_format, decontamination, mixing, secret_scan
+from pressloom.llm import chat_format, decontamination, jaccard_join, mixing, secret_scan
 from pressloom.llm.common import stored
 
 TEXTS = "doc_id long, text string, item_id string"
@@ -54,6 +54,8 @@ def test_leaks_in_blocks_and_of_nothing(spark, monkeypatch):
     monkeypatch.setattr(decontamination, "BLOCK_SHINGLES", 100)
     got = {(row.doc_id, row.item_id) for row in decontamination.leaks(df.drop("item_id"), bench).collect()}
     assert got == set(leaked(docs, items))
+    monkeypatch.setattr(decontamination, "INDEX_ROWS", 100)
+    assert {(row.doc_id, row.item_id) for row in decontamination.leaks(df.drop("item_id"), bench).collect()} == got
     assert decontamination.leaks(df, spark.createDataFrame([], ITEMS)).count() == 0
     assert decontamination.leaks(spark.createDataFrame([], TEXTS), bench).count() == 0
 
@@ -221,6 +223,39 @@ def test_mix_keeps_rows_with_null_and_repeated_keys(spark, monkeypatch):
     assert all(n <= (12 if name == "n7" else 2) for name, n in drawn.items())
 
 
+CLASHES = ["_row", "_pass", "_size", "row", "key", "doc", "size", "rank", "block", "edge", "room", "taken", "target", "whole", "draw", "source_size", "n", "a", "b"]
+
+
+def test_mix_ignores_columns_of_its_own_names(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 300)
+    rows = [(i, f"n{i}\t" + "x\ny " * (i % 9) + " ", "ab"[i % 2]) for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    clash = df.withColumns({name: F.lit(7) for name in [*CLASHES, "shard", "position", "taken_words"]})
+    assert sorted(mixing.mix_report(clash).collect()) == sorted(mixing.mix_report(df).collect())
+    mix = mixing.mixed(clash, shards=3)
+    assert mix.columns == [*df.columns, *CLASHES, "shard", "position", "taken_words"]
+    texts = dict((key, text) for key, text, _ in rows)
+    for row in mix.collect():
+        assert row._row == row.size == 7 and len(words(row.text)) == row.taken_words
+        # A cut text is the beginning of its document, blanks and line breaks included.
+        assert row.text == texts[row.doc_id] or texts[row.doc_id].startswith(row.text)
+
+
+def test_stages_take_rows_with_null_shared_and_text_keys(spark):
+    body = " ".join(f"w{i}" for i in range(40))
+    rows = [(None, body), (None, body), (None, body), (4, body + " end"), (4, "other " + " ".join(f"v{i}" for i in range(30))), (9, body), (None, ""), (5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({name: F.lit("own") for name in ["row", "doc", "key", "component_id", "n_shingles"]})
+    one = jaccard_join.one_of_each(df)
+    assert one.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in one.collect()), key=str) == sorted([rows[3], rows[4], rows[6], rows[7]], key=str)
+    bench = spark.createDataFrame([(1, body)], "item_id long, text string")
+    clean = decontamination.clean(df, bench)
+    assert clean.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=str) == sorted([rows[4], rows[6], rows[7]], key=str)
+    named = spark.createDataFrame([("b", body), ("a", body), ("c", "x y")], "doc_id string, text string")
+    assert {r.doc_id for r in jaccard_join.one_of_each(named).collect()} == {"a", "c"}
+
+
 def test_pipeline_against_brute_force(spark):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
