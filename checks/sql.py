@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pressloom.plans.catalog import BUDGETS, LINK_WORDS
+from pressloom.plans.catalog import BUDGETS, INGEST_SOURCES, LINK_WORDS
 from pressloom.plans.tables import POLICY
 from pressloom.rules.latin import LATIN
-from pressloom.rules.pack import DISTRIBUTION_RANK, EVENT_RANK
+from pressloom.rules.pack import DISTRIBUTION_RANK, EVENT_RANK, MARKETS
 
 NOW = "TIMESTAMP '2024-01-02 18:00:00'"
 TODAY = "DATE '2024-01-03'"
@@ -45,8 +45,7 @@ def rank(column: str, ranks: dict, default: int) -> str:
 
 
 def title_of(text: str) -> str:
-    line = f"split_part({text}, chr(10), 1)"
-    return f"CASE WHEN length({line}) > 100 THEN substr({line}, 1, 100) || '…' ELSE {line} END"
+    return f"split_part({text}, chr(10), 1)"
 
 
 ITEMS = f"""items AS (
@@ -182,6 +181,7 @@ status AS (
     CASE WHEN p.status <> 'error' THEN {iso('f.latest')} END AS latest_published_at
   FROM registry r JOIN reports p USING (source_id) LEFT JOIN fetched f USING (source_id) WHERE r.enabled)"""
 
+_ASKS = f"drop_reason IS NULL AND enrich_media AND {day('published_ts')} = {TODAY} AND (image_url = '' OR contains(heading, 'er') OR contains(heading, 'le'))"
 _RUN_METRICS = [
     ("stored_records", "(SELECT count(*) FROM labelled)"),
     ("new_records", "(SELECT count(*) FROM labelled WHERE is_new)"),
@@ -191,6 +191,7 @@ _RUN_METRICS = [
     ("dropped_not_today", "(SELECT count(*) FROM pool) - (SELECT count(*) FROM today)"),
     ("dropped_capacity", "(SELECT count(*) FROM today) - (SELECT count(*) FROM edition)"),
     ("carried_forward", "(SELECT count(*) FROM edition WHERE is_carried_forward)"),
+    ("media_enrichment_requests", f"(SELECT least({POLICY.max_media_enrichments}, count(*)) FROM labelled WHERE {_ASKS})"),
 ] + [(f"dropped_{r}", f"(SELECT count(*) FROM labelled WHERE drop_reason = '{r}')") for r in ("excluded", "source_filter", "undated", "stale")]
 
 
@@ -271,6 +272,17 @@ SELECT l.url, CASE WHEN l.image_url <> '' THEN l.image_url WHEN w.url IS NOT NUL
   '' AS video_url
 FROM labelled l LEFT JOIN wanted w ON l.url = w.url LEFT JOIN captured c ON l.url = c.url WHERE l.drop_reason IS NULL"""
 
+# Two runs, each with its own budget, over pages that no earlier run asked for.
+WRITE_BACK = f"""{LABEL_CTE}, {CAPTURED},
+wanted AS (SELECT url FROM labelled WHERE {_ASKS} ORDER BY source_order, arrival_seq LIMIT {2 * POLICY.max_media_enrichments}),
+raw AS (
+  SELECT i.source_id, i.url, CASE WHEN n_chars % 3 = 1 THEN 'https://img.example.com/logo.png' ELSE image_url END AS image_url
+  FROM items i JOIN documents d ON d.doc_id = i.arrival_seq)
+SELECT r.source_id, r.url, CASE WHEN r.image_url NOT LIKE '%.jpg' AND w.url IS NOT NULL AND c.image_url <> '' THEN c.image_url ELSE r.image_url END AS image_url,
+  CAST(NULL AS VARCHAR) AS video_url,
+  CASE WHEN w.url IS NOT NULL THEN 1 ELSE 0 END AS requests, '2024-01-02T18:00:00Z' AS last_seen_at
+FROM raw r LEFT JOIN wanted w ON r.url = w.url LEFT JOIN captured c ON r.url = c.url"""
+
 DETAIL = f"""WITH {ITEMS}, {REGISTRY}, {CAPTURED},
 list AS (
   SELECT i.url, i.title, i.summary, coalesce({iso('i.published_ts')}, '') AS published, i.published_ts IS NULL OR r.read_details AS needed
@@ -291,7 +303,6 @@ SELECT page_id, scheme || '://' || host || rtrim(path, '/') || CASE WHEN q <> ''
 CLEAN_TITLES = rf"""SELECT page_id, {_PAGE_TITLE} AS title,
   substr(regexp_replace(lower({_PAGE_TITLE}), '[^\p{{L}}\p{{N}}_]+', '', 'g'), 1, 160) AS title_key FROM pages"""
 
-MISSING = f"""SELECT doc_id AS edition, {title_of('text')} AS title FROM documents WHERE NOT contains(text, {title_of('text')})"""
 
 # --- feeds, notices, posts ----------------------------------------------------------------
 
@@ -489,7 +500,11 @@ _BRIEF_METRICS = [
     ("brief_events", "(SELECT count(*) FROM chosen WHERE selected)"),
     ("more_events", "(SELECT count(*) FROM chosen WHERE NOT selected)"),
     ("merged_source_items", "(SELECT sum(group_size - 1) FROM events_of)"),
-]
+    ("items", "(SELECT count(*) FROM chosen WHERE selected)"),
+    ("translated_home_items", "0"),
+    ("original_english_home_items", "0"),
+] + [(f"distribution_{d}", f"(SELECT count(*) FROM chosen WHERE selected AND distribution = '{d}')") for d in DISTRIBUTION_RANK] + [
+    (f"market_{m}", f"(SELECT count(*) FROM chosen WHERE selected AND market = '{m}')") for m in MARKETS]
 
 # --- content pack -------------------------------------------------------------------------
 
@@ -535,10 +550,18 @@ _CHANNEL = ("CASE distribution WHEN 'cinema' THEN '院线电影' WHEN 'cinema_fi
             "WHEN 'film_unspecified' THEN '电影·渠道待确认' WHEN 'series' THEN '剧集' ELSE '影视动态' END")
 _LEAD180 = f"CASE WHEN length({squeezed('summary')}) <= 180 THEN {squeezed('summary')} ELSE rtrim(substr({squeezed('summary')}, 1, 180), '，。；、 ') || '…' END"
 
+MISSING = f"""SELECT doc_id AS edition, {title_of('text')} AS title FROM (SELECT *, text AS summary FROM documents)
+WHERE NOT contains({_LEAD180}, {title_of('text')})"""
+
 _LABELS = case([("reason = 'anniversary'", "'纪念日回顾'"), ("reason = 'advance_teaser'", "'消息尚未公布'"),
                 ("reason = 'promotion'", "'促销互动'"), ("reason = 'background_roundup'", "'背景整理'"),
                 ("reason = 'outside_film_tv'", "'非影视业务动态'")], "'低信息量线索'")
 
+
+def _person(family: str, number: str) -> str:
+    return f"'{family}' || translate(CAST({number} AS VARCHAR), '0123456789', '零一二三四五六七八九')"
+
+
 ORACLE_SQL: dict[str, str] = {
     "source_registry": f"""WITH {REGISTRY} SELECT source_id, name, publisher_id, source_class, market, infer_market, entry_type, language,
   distribution, content_priority, include_keywords, exclude_keywords, filter_scope, max_age_hours, carry_forward_days, source_order
@@ -580,6 +603,8 @@ SELECT *, CASE WHEN items > 0 THEN NULL WHEN configured_sources = 0 THEN 'no_sou
   '{{"id":"' || source_id || '","url":"' || url || '"}}' AS sources FROM observed""",
     "store_merge": STORE_SQL,
     "store_snapshot": STORE_SQL,
+    "store_lookup": f"""SELECT s.* FROM ({STORE_SQL}) s JOIN (WITH {OBSERVED} SELECT DISTINCT source_id, url FROM observed
+  WHERE arrival_seq >= 990000 * 4294967296) k USING (source_id, url)""",
     "stream_store_merge": STORE_SQL,
     "store_violations": f"""WITH {OBSERVED}, faulty AS (SELECT source_id, {_FAULTY} AS url FROM observed)
 SELECT source_id, url, CASE WHEN url LIKE 'ftp%' THEN 'not_an_article_url' ELSE 'credentials_in_url' END AS violation FROM faulty
@@ -589,6 +614,7 @@ UNION ALL SELECT source_id, url, 'duplicate_key' FROM faulty GROUP BY 1, 2 HAVIN
     "page_links": PAGE_LINKS,
     "page_media": f"WITH {CAPTURED} SELECT page_id, url, image_url, '' AS video_url FROM captured",
     "media_enrich": MEDIA,
+    "media_write_back": WRITE_BACK,
     "detail_enrich": DETAIL,
     "canonical_urls": CANONICAL,
     "clean_titles": CLEAN_TITLES,
@@ -607,10 +633,23 @@ QUALIFY row_number() OVER (PARTITION BY post_id ORDER BY target, page) = 1""",
     "ingest_items": INGEST,
     "ingest_status": f"""WITH items AS ({INGEST}),
 found AS (SELECT source_id, count(*) AS items FROM items GROUP BY 1),
-lost AS (SELECT role AS source_id, count(*) AS rejects FROM conversations WHERE role = 'system' OR {squeezed('text')} = '' GROUP BY 1)
+lost AS (SELECT role AS source_id, count(*) AS rejects FROM conversations WHERE role = 'system' OR {squeezed('text')} = '' GROUP BY 1),
+known AS (SELECT unnest({INGEST_SOURCES!r}) AS source_id)
 SELECT source_id, coalesce(items, 0) AS items, coalesce(rejects, 0) AS rejects,
-  CASE WHEN rejects IS NULL THEN 'ok' WHEN items > 0 THEN 'partial' ELSE 'failed' END AS outcome
-FROM found FULL JOIN lost USING (source_id)""",
+  CASE WHEN items IS NULL AND rejects IS NULL THEN 'silent' WHEN rejects IS NULL THEN 'ok' WHEN items > 0 THEN 'partial' ELSE 'failed' END AS outcome
+FROM found FULL JOIN lost USING (source_id) FULL JOIN known USING (source_id)""",
+    "hashtag_titles": rf"""WITH tagged AS (
+  SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '#' || substr({title_of('text')}, 1, 20) || '# ' || text ELSE text END AS text FROM documents)
+SELECT doc_id, CASE WHEN regexp_matches(text, '#[^#\n]{{3,60}}#') THEN trim(regexp_extract(text, '#([^#\n]{{3,60}})#', 1))
+  ELSE rtrim(substr(regexp_extract(text, '^([^。！？!?；;\n]*)', 1), 1, 70), '，。；、 ') END AS title FROM tagged""",
+    "mail_dates": f"""SELECT event_id, {iso("date_trunc('second', CAST(ts AS TIMESTAMP)) - to_minutes(" + case(
+        [("event_id % 6 = 2", "-300"), ("event_id % 6 = 3", "-420"), ("event_id % 6 = 4", "480"), ("event_id % 6 = 5", "-210")], "0") + ")")} AS published_at
+FROM events""",
+    "cast_names": f"""WITH people AS (SELECT doc_id, {_person('张', 'doc_id % 97')} AS a, {_person('李', 'n_chars % 89')} AS b,
+  {_person('王', '(doc_id + n_chars) % 83')} AS c FROM documents)
+SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN a || ',' || b || ',' || c WHEN 1 THEN a || ',' || b ELSE a || ',' || c END AS names FROM people""",
+    "edition_sink": f"""{MERGE_CTE} SELECT id, url, language, CAST({day('published_ts')} AS VARCHAR) AS edition_date FROM merged
+WHERE {day('published_ts')} <> DATE '2024-01-02' OR {_SPOKEN}""",
     "translation_attach": f"""WITH {TRANSLATED} SELECT url, language,
   CASE WHEN translation_status = 'machine_translated' THEN cached ELSE title END AS title, translation_status FROM translated""",
     "translation_queue": f"""WITH {TRANSLATED} SELECT content_key, arg_min(title, arrival_seq) AS original_title, min(arrival_seq) AS arrival_seq
@@ -650,6 +689,8 @@ SELECT place, id, CASE WHEN work <> '' THEN '《' || work || '》' ELSE raw END
     "asset_match": ASSETS,
     "publish_once": f"""{EDITION_CTE}, {DIGESTS} SELECT digest, CAST(min(source_day + INTERVAL 1 DAY)::DATE AS VARCHAR) AS publish_date FROM digests
 WHERE digest NOT IN (SELECT digest FROM digests WHERE source_day < DATE '2024-01-02') GROUP BY 1""",
+    "stream_publish": f"""{EDITION_CTE}, {DIGESTS} SELECT digest, CAST(min(source_day + INTERVAL 1 DAY)::DATE AS VARCHAR) AS publish_date
+FROM digests GROUP BY 1""",
     "edition_index": f"""{MERGE_CTE} SELECT CAST({day('published_ts')} AS VARCHAR) AS d,
   '周' || substr('一二三四五六日', CAST(isodow({day('published_ts')}) AS INTEGER), 1) AS w, count(*) AS n FROM merged
 WHERE {day('published_ts')} <> DATE '2024-01-01' GROUP BY 1, 2""",

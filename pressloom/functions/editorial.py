@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import BooleanType
 
 from pressloom.functions import text as X
 from pressloom.rules.pack import OBSERVATION, RulePack
@@ -181,6 +181,20 @@ _DIRECTOR = r"导演([一-鿿]{2,4})凭借(?:动画)?电影《([^》]+)》(?:斩
 _SUBMISSIONS = r"(?U)收到\d+部影片报名[^。]{0,20}?覆盖\d+个国家和地区"
 
 
+# Wording of the factual line of a template, in order of use.
+_HK_SAYS = ("《", "》將於", "上映")
+_WINNER_SAYS = ("凭《", "》获")
+_GOLDEN_EAGLE = "金鹰奖"
+_TRAILERS = (("先导片", "，并发布先导片"), ("预告片?", "，并发布预告"))
+_MATERIAL_SAYS = ("发布“", "”")
+_RELEASED_SAYS = "发布"
+_CHAMPION = "播放量冠军"
+_HONOR_SAYS = ("获“", "”")
+_DIRECTOR_SAYS = ("《", "》导演", "获得")
+_CALL = "征片"
+_SHORT_SUBJECT = r"^(?:影片|电影|该剧)"
+
+
 def _template_line(row: dict[str, Column], pack: RulePack) -> Column:
     """The factual line of a fixed template, or null where the scored sentence decides."""
     kind, headline, copy = row["kind"], row["headline"], row["copy"]
@@ -191,40 +205,40 @@ def _template_line(row: dict[str, Column], pack: RulePack) -> Column:
         F.transform(
             F.regexp_extract_all(prize_text, F.lit(_WINNER), F.lit(0)),
             lambda hit: F.concat(
-                F.regexp_extract(hit, _WINNER, 1), F.lit("凭《"), F.regexp_extract(hit, _WINNER, 2),
-                F.lit("》获"), F.regexp_extract(hit, _WINNER, 3),
+                F.regexp_extract(hit, _WINNER, 1), F.lit(_WINNER_SAYS[0]), F.regexp_extract(hit, _WINNER, 2),
+                F.lit(_WINNER_SAYS[1]), F.regexp_extract(hit, _WINNER, 3),
             ),
         )
     )
     with_trailer = (
-        F.when(headline.contains("先导片"), F.lit("，并发布先导片"))
-        .when(headline.rlike("预告片?"), F.lit("，并发布预告"))
+        F.when(headline.rlike(_TRAILERS[0][0]), F.lit(_TRAILERS[0][1]))
+        .when(headline.rlike(_TRAILERS[1][0]), F.lit(_TRAILERS[1][1]))
         .otherwise(F.lit(""))
     )
     asset = work.isNotNull() & kind.isin("trailer", "poster", "music_asset")
     return (
         F.when(row["from_blog"] & copy.rlike(_HK_RELEASE),
-               F.concat(F.lit("《"), F.regexp_extract(copy, _HK_RELEASE, 1), F.lit("》將於"),
-                        F.regexp_extract(copy, _HK_RELEASE, 2), F.lit("上映")))
+               F.concat(F.lit(_HK_SAYS[0]), F.regexp_extract(copy, _HK_RELEASE, 1), F.lit(_HK_SAYS[1]),
+                        F.regexp_extract(copy, _HK_RELEASE, 2), F.lit(_HK_SAYS[2])))
         .when(row["from_blog"], headline)
-        .when((kind == "award") & headline.contains("金鹰奖") & (F.size(winners) > 0),
+        .when((kind == "award") & headline.contains(_GOLDEN_EAGLE) & (F.size(winners) > 0),
               F.array_join(F.slice(winners, 1, 2), "，"))
         .when(asset & headline.rlike(_MATERIAL),
-              F.concat(named, F.lit("发布“"), F.regexp_extract(headline, _MATERIAL, 1), F.lit("”"),
+              F.concat(named, F.lit(_MATERIAL_SAYS[0]), F.regexp_extract(headline, _MATERIAL, 1), F.lit(_MATERIAL_SAYS[1]),
                        F.regexp_extract(headline, _MATERIAL, 2)))
         .when(asset & headline.rlike(_RELEASED),
-              F.concat(named, F.lit("发布"), F.trim(F.regexp_extract(headline, _RELEASED, 1))))
+              F.concat(named, F.lit(_RELEASED_SAYS), F.trim(F.regexp_extract(headline, _RELEASED, 1))))
         .when((kind == "filing") & row["from_social"],
               F.concat(headline, F.coalesce(F.concat(F.lit("，"), X.first_match(copy, _COMPANY)), F.lit(""))))
         .when((kind == "box_office") & row["from_social"] & headline.rlike(pack.fact_words), headline)
-        .when((row["distribution"] == "series") & headline.contains("播放量冠军"),
+        .when((row["distribution"] == "series") & headline.contains(_CHAMPION),
               F.coalesce(X.first_match(copy, _PLAYS), headline))
         .when((kind == "award") & work.isNotNull() & copy.rlike(_HONOR),
-              F.concat(named, F.lit("获“"), F.regexp_extract(copy, _HONOR, 1), F.lit("”"), with_trailer))
+              F.concat(named, F.lit(_HONOR_SAYS[0]), F.regexp_extract(copy, _HONOR, 1), F.lit(_HONOR_SAYS[1]), with_trailer))
         .when((kind == "award") & copy.rlike(_DIRECTOR),
-              F.concat(F.lit("《"), F.regexp_extract(copy, _DIRECTOR, 2), F.lit("》导演"),
-                       F.regexp_extract(copy, _DIRECTOR, 1), F.lit("获得"), F.regexp_extract(copy, _DIRECTOR, 3)))
-        .when(headline.contains("征片") & copy.rlike(_SUBMISSIONS), X.first_match(copy, _SUBMISSIONS))
+              F.concat(F.lit(_DIRECTOR_SAYS[0]), F.regexp_extract(copy, _DIRECTOR, 2), F.lit(_DIRECTOR_SAYS[1]),
+                       F.regexp_extract(copy, _DIRECTOR, 1), F.lit(_DIRECTOR_SAYS[2]), F.regexp_extract(copy, _DIRECTOR, 3)))
+        .when(headline.contains(_CALL) & copy.rlike(_SUBMISSIONS), X.first_match(copy, _SUBMISSIONS))
     )
 
 
@@ -245,7 +259,7 @@ def with_core_sentence(df, pack: RulePack):
     staged = staged.withColumn("_clause", F.when(long, _best(chosen, c("kind"), pack)))
     if pack.templates:
         work = X.first_match(c("copy"), _WORK, 1)
-        bare = F.regexp_replace(c("_clause"), r"^(?:影片|电影|该剧)", "")
+        bare = F.regexp_replace(c("_clause"), _SHORT_SUBJECT, "")
         with_work = F.concat(F.lit("《"), work, F.lit("》"), bare)
         staged = staged.withColumn(
             "_clause", F.when(work.isNotNull() & ~c("_clause").contains(work), with_work).otherwise(c("_clause"))
@@ -274,18 +288,46 @@ def with_core_sentence(df, pack: RulePack):
     return staged.withColumn("core_sentence", line).drop("_parts", "_best", "_clause", "_fact")
 
 
-@pandas_udf(DoubleType())
-def _sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
+@pandas_udf(BooleanType())
+def _ratio_below(left: pd.Series, right: pd.Series, threshold: pd.Series) -> pd.Series:
     return pd.Series(
-        [None if a is None or b is None else difflib.SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right)],
-        dtype="float64",
+        [None if a is None or b is None else difflib.SequenceMatcher(None, a, b).ratio() < t
+         for a, b, t in zip(left, right, threshold)],
+        dtype="object",
     )
 
 
-def factual_overlap(left: Column, right: Column) -> Column:
-    """Share of common text of two normalised lines; only pairs without containment go to Python."""
-    empty = (left == "") | (right == "")
-    contained = right.contains(left) | left.contains(right)
-    undecided = ~empty & ~contained
-    ratio = _sequence_ratio(F.when(undecided, left), F.when(undecided, right))
-    return F.when(empty, F.lit(0.0)).when(contained, F.lit(1.0)).otherwise(ratio)
+def _common_at_most(left: Column, right: Column) -> Column:
+    """Characters that both lines hold, each as often as the poorer line has it."""
+    def times(text: Column, char: Column) -> Column:
+        return F.length(text) - F.length(F.replace(text, char, F.lit("")))
+
+    chars = F.array_distinct(F.split(left, ""))
+    return F.aggregate(chars, F.lit(0), lambda total, char: total + F.when(char == "", 0).otherwise(
+        F.least(times(left, char), times(right, char))).cast("int"))
+
+
+def overlap_decision(left: Column, right: Column, threshold: float) -> Column:
+    """What decides whether two normalised lines overlap less than ``threshold``: ``empty`` and ``lengths`` and
+    ``letters`` (less), ``contained`` (not less), or ``ratio`` (only the sequence ratio can tell)."""
+    both = F.length(left) + F.length(right)
+    # The ratio is 2 m / both, where m matched characters come in order from both lines.
+    return (
+        F.when(left.isNull() | right.isNull(), F.lit(None).cast("string"))
+        .when((left == "") | (right == ""), F.lit("empty"))
+        .when(right.contains(left) | left.contains(right), F.lit("contained"))
+        .when(2 * F.least(F.length(left), F.length(right)) < both * F.lit(threshold), F.lit("lengths"))
+        .when(2 * _common_at_most(left, right) < both * F.lit(threshold), F.lit("letters"))
+        .otherwise(F.lit("ratio"))
+    )
+
+
+def overlap_below(left: Column, right: Column, threshold: float) -> Column:
+    """Whether two normalised lines have less than ``threshold`` of their text in common.
+
+    Bounds on lengths and letters decide most pairs in the JVM; only the others are sent to Python.
+    """
+    decision = overlap_decision(left, right, threshold)
+    undecided = decision == "ratio"
+    ratio = _ratio_below(F.when(undecided, left), F.when(undecided, right), F.lit(threshold))
+    return F.when(decision == "contained", F.lit(False)).when(~undecided, F.lit(True)).otherwise(ratio)

@@ -21,6 +21,11 @@ CAST_PATTERNS = [
     r"(?U)[（(]([一-鿿·]{2,4})\s*饰",
     r"(?U)(?:^|[！!。；，,\s])([一-鿿·]{2,4})《",
 ]
+# What a headline says before a work, and what stands where nothing is known.
+WORK_KIND = r"^(电影|电视剧|剧集|网剧|优酷|爱奇艺|腾讯视频)"
+NO_SUMMARY = "来源未提供可用摘要"
+CONFIRMED, UNCONFIRMED = "已确认", "待确认"
+SINGLE_SOURCE = "单源待确认"
 NAME_BREAK = r"(?U)[、，,／/和与×\s]+"
 EDGE = " ，,·｜|-—"
 # Labels shown to readers.
@@ -61,12 +66,12 @@ def first_sentence(value: Column, limit: int = 76) -> Column:
     sentence = F.element_at(F.split(text, r"(?<=[。！？])", 2), 1)
     cut = F.concat(X.trim_right(F.substring(sentence, 1, limit), "，、； "), F.lit("…"))
     shown = F.when(F.length(sentence) > limit, cut).otherwise(sentence)
-    return F.when(shown == "", F.lit("来源未提供可用摘要")).otherwise(shown)
+    return F.when(shown == "", F.lit(NO_SUMMARY)).otherwise(shown)
 
 
 def status_label(confidence: Column) -> Column:
     confirmed = F.coalesce(confidence.isin("official", "multi_source"), F.lit(False))
-    return F.when(confirmed, F.lit("已确认")).otherwise(F.lit("待确认"))
+    return F.when(confirmed, F.lit(CONFIRMED)).otherwise(F.lit(UNCONFIRMED))
 
 
 def card_title(title: Column, pack: RulePack) -> Column:
@@ -84,7 +89,7 @@ def card_event(title: Column, card: Column) -> Column:
         place > 0,
         F.concat(F.substring(raw, F.lit(1), place - 1), F.substring(raw, place + F.length(card), F.length(raw))),
     ).otherwise(raw)
-    bare = F.regexp_replace(F.btrim(rest, F.lit(EDGE)), r"^(电影|电视剧|剧集|网剧|优酷|爱奇艺|腾讯视频)", "")
+    bare = F.regexp_replace(F.btrim(rest, F.lit(EDGE)), WORK_KIND, "")
     return F.when(raw == card, F.lit("")).otherwise(F.btrim(bare, F.lit(EDGE)))
 
 
@@ -96,7 +101,7 @@ def mapped(value: Column, labels: dict[str, str], default: str) -> Column:
 
 
 def evidence_label(confidence: Column, labels: dict[str, str]) -> Column:
-    return mapped(F.coalesce(confidence, F.lit("single_source")), labels, "单源待确认")
+    return mapped(F.coalesce(confidence, F.lit("single_source")), labels, SINGLE_SOURCE)
 
 
 def hashtag_headline(value: Column) -> Column:

@@ -10,20 +10,29 @@ from pressloom.functions import text as X
 from pressloom.functions.classify import ranked
 from pressloom.functions.package import TRACE_LABELS, TRACE_MORE, TRACE_OTHER, mapped
 from pressloom.functions.times import civil_day, iso_day
-from pressloom.operators.scale import SALTS, computed_once, first_by, limit_of, rank_in_groups
-from pressloom.rules.pack import EVENT_RANK, OBSERVATION, SPECIFIC_MARKETS, RulePack
+from pressloom.operators import phrases
+from pressloom.operators.scale import SALTS, computed_once, first_by, limit_of, written
+from pressloom.operators.stats import metric_rows
+from pressloom.rules.pack import DISTRIBUTION_RANK, EVENT_RANK, MARKETS, OBSERVATION, SPECIFIC_MARKETS, RulePack
 
 EVENT_KEY = ["day", "topic", "event_market"]
 PRIMARY_FIELDS = [
     "id", "title", "summary", "url", "published_ts", "market", "confidence", "distribution",
     "entry_type", "image_url", "video_url", "title_c", "summary_c", "original_c", "kind", "headline",
-    "copy", "raw_title", "raw_summary", "evidence_rank", "from_social", "from_blog", "event_market",
+    "copy", "raw_title", "raw_summary", "evidence_rank", "from_social", "from_blog", "event_market", "translation_status",
 ]
 # Texts that decide the facts of a whole group.
 _STREAMED = r"同步网播|同步上线网播"
 _GROSS = r"(?U)(?:最终票房|票房)[^。；，,]{0,18}?\d+(?:\.\d+)?亿"
 _ENTRIES = r"(?U)\d+部作品入围"
-_QUOTED = r"《([^》]+)》"
+# Wording of the facts of a whole group.
+_STREAMED_FACT = "同步网播"
+_AWARD_LIST_FACT = "第35届电视剧飞天奖提名名单公布，"
+_SONG_FACT = "同一歌曲的MV及歌词海报已发布"
+_SONG_WORDS = ("MV", "歌词海报")
+_RUN_END_TITLE = ("《", "》今日下映")
+# Characters of the longest opening word and gap before the number of a gross.
+_GROSS_REACH = 4 + 18
 
 
 def analyse(items: DataFrame, pack: RulePack) -> DataFrame:
@@ -32,7 +41,7 @@ def analyse(items: DataFrame, pack: RulePack) -> DataFrame:
     ``items`` come from the edition: they carry ``position`` and the merged evidence columns.
     """
     c = F.col
-    for name in ("original_title", "original_summary"):
+    for name in ("original_title", "original_summary", "translation_status"):
         if name not in items.columns:
             items = items.withColumn(name, F.lit(None).cast("string"))
     lead = F.concat_ws(" ", c("title"), F.substring(X.text_or_empty(c("summary")), 1, 140))
@@ -136,12 +145,11 @@ def _partial_aggregates(pack: RulePack, place: Column) -> list[Column]:
     ]
     if pack.templates:
         out += [
-            *_first("gross", X.first_match(c("raw_summary"), _GROSS), place),
             *_first("entries", X.first_match(c("raw_summary"), _ENTRIES), place),
-            *_first("run_work", X.first_match(c("raw_summary"), _QUOTED, 1), place),
             F.max(c("raw_summary").rlike(_STREAMED)).alias("streamed"),
-            F.max(c("raw_title").contains("MV") | c("raw_summary").contains("MV")).alias("has_mv"),
-            F.max(c("raw_title").contains("歌词海报") | c("raw_summary").contains("歌词海报")).alias("has_lyrics"),
+            # A word may begin in the headline and end in the summary that follows it.
+            F.max(F.concat("raw_title", "raw_summary").contains(_SONG_WORDS[0])).alias("has_mv"),
+            F.max(F.concat("raw_title", "raw_summary").contains(_SONG_WORDS[1])).alias("has_lyrics"),
         ]
     return out
 
@@ -170,7 +178,7 @@ def group_events(analysed: DataFrame, pack: RulePack) -> DataFrame:
         shifted = F.struct(F.when(moved, 1).otherwise(0).alias("folded"), c(f"{place_column}.position").alias("position"))
         return F.when(c(place_column).isNotNull(), shifted)
 
-    firsts = ["image", "video"] + (["gross", "entries", "run_work"] if pack.templates else [])
+    firsts = ["image", "video"] + (["entries"] if pack.templates else [])
     flags_or = ["streamed", "has_mv", "has_lyrics"] if pack.templates else []
     shifted_order = F.struct(c("primary_order.rank").alias("rank"), later("primary_order.place").alias("place"))
     folded = folded.withColumn("_order", shifted_order)
@@ -217,41 +225,64 @@ def _second_fact(analysed: DataFrame, events: DataFrame, pack: RulePack) -> Data
     primaries = events.filter(special).select(
         *EVENT_KEY, c("kind").alias("primary_kind"), c("core_sentence").alias("primary_fact")
     )
-    overlap = E.factual_overlap(X.normalized(c("core_sentence")), X.normalized(c("primary_fact")))
+    differs = E.overlap_below(X.normalized(c("core_sentence")), X.normalized(c("primary_fact")), 0.45)
     return (
         facts.join(primaries, EVENT_KEY)
         .filter((c("kind") != c("primary_kind")) & (c("core_sentence") != ""))
-        .withColumn("overlap", overlap)
-        .filter("overlap < 0.45")
+        .withColumn("differs", differs)
+        .filter("differs")
         .groupBy(*EVENT_KEY)
         .agg(F.min_by("core_sentence", "fact_order").alias("second_fact"))
     )
 
 
+def _run_end_phrases(analysed: DataFrame) -> DataFrame:
+    """``gross`` and ``run_work`` of each run-end event, from the joined summaries of its records.
+
+    Neither a streaming note nor an entry count holds a blank, so these never reach across records and stay flags
+    and firsts of the aggregate.
+    """
+    c = F.col
+    fold = market_fold(analysed).select("day", "topic", c("from_market").alias("event_market"), "to_market")
+    records = analysed.filter(c("reason").isNull() & (c("kind") == "run_end")).join(fold, EVENT_KEY, "left").select(
+        "day", "topic", F.coalesce("to_market", "event_market").alias("event_market"),
+        F.struct(c("to_market").isNotNull().alias("folded"), c("position").alias("position")).alias("place"),
+        c("raw_summary").alias("text"))
+    records = written(records, "run-end-records")
+    position = c("place.position")
+    minute = F.floor(position["recency"] / F.lit(60_000_000))
+    chunk = F.struct(c("place.folded"), position["market"], position["channel"], position["priority"], minute.alias("minute"))
+    gross = phrases.first_match(records, EVENT_KEY, chunk, _GROSS, _GROSS_REACH).withColumnRenamed("match", "gross")
+    work = phrases.first_quoted(records, EVENT_KEY).withColumnRenamed("match", "run_work")
+    return gross.join(work, EVENT_KEY, "full")
+
+
 def with_facts(events: DataFrame, analysed: DataFrame, pack: RulePack) -> DataFrame:
     """Headline, key points and summary of each event, extracted from its records."""
     c = F.col
     lined = E.with_core_sentence(events, pack)
     joined = lined.join(_second_fact(analysed, lined, pack), EVENT_KEY, "left")
+    if pack.templates:
+        joined = joined.join(_run_end_phrases(analysed), EVENT_KEY, "left")
     fact, group = c("core_sentence"), c("group_size") > 1
     work_title = c("kind").isin("award", "trailer", "poster", "music_asset") & fact.startswith("《") & (F.length(fact) <= 68)
     title = F.when(work_title, fact).otherwise(c("headline"))
     own = F.array_compact(F.array(fact, c("second_fact")))
     if pack.templates:
         run_end = c("kind") == "run_end"
-        details = F.array_compact(F.array(F.when(c("streamed"), F.lit("同步网播")), c("gross")))
+        details = F.array_compact(F.array(F.when(c("streamed"), F.lit(_STREAMED_FACT)), c("gross")))
         run_facts = F.when(F.size(details) > 0, F.array(F.array_join(details, "，"))).otherwise(F.array().cast("array<string>"))
         award_list = (c("kind") == "award") & title.contains(pack.award_series) & group
-        list_fact = F.concat(F.lit("第35届电视剧飞天奖提名名单公布，"), c("entries"))
+        list_fact = F.concat(F.lit(_AWARD_LIST_FACT), c("entries"))
         music = (c("kind") == "music_asset") & group
         facts = (
             F.when(run_end, run_facts)
             .when(award_list, F.array(F.coalesce(list_fact, fact)))
-            .when(music & c("has_mv") & c("has_lyrics"), F.array(F.lit("同一歌曲的MV及歌词海报已发布")))
+            .when(music & c("has_mv") & c("has_lyrics"), F.array(F.lit(_SONG_FACT)))
             .when(music, F.array(fact))
             .otherwise(own)
         )
-        title = F.when(run_end & c("run_work").isNotNull(), F.concat(F.lit("《"), c("run_work"), F.lit("》今日下映"))).otherwise(title)
+        title = F.when(run_end & c("run_work").isNotNull(), F.concat(F.lit(_RUN_END_TITLE[0]), c("run_work"), F.lit(_RUN_END_TITLE[1]))).otherwise(title)
     else:
         facts = own
     staged = joined.withColumns({"event_title": title, "facts": facts})
@@ -259,7 +290,7 @@ def with_facts(events: DataFrame, analysed: DataFrame, pack: RulePack) -> DataFr
 
     def keep(index: int) -> Column:
         line = F.get(c("facts"), F.lit(index))
-        return F.when(E.factual_overlap(X.normalized(line), plain_title) < 0.78, line)
+        return F.when(E.overlap_below(X.normalized(line), plain_title, 0.78), line)
 
     points = F.array_compact(F.array(keep(0), keep(1)))
     return (
@@ -294,48 +325,68 @@ def choose_events(events: DataFrame, budgets: dict[str, int]) -> DataFrame:
 
     The best events of a market fill its budget. If six or more places hold no series, the last one
     goes to the best series left. A market outside the map is unlimited.
+
+    Only slim rows (market, order, series flag, id) are ranked: thinned within salted parts of each market, then ranked
+    among those leaders. What comes out is at most one id per place of the budgets; the events themselves are
+    not shuffled, and those that are not chosen never carry a rank.
     """
     c = F.col
-    is_series = F.coalesce(c("distribution") == "series", F.lit(False))
-    order = [c("relevance"), c("id")]
+    table = written(events, "events")
     limit = limit_of(c("market"), budgets)
-    ranked_events = rank_in_groups(events, "market", budgets, order, "id", also=is_series)
-    # Only leaders carry a rank; they number at most one budget and one series per salt.
-    leaders = Window.partitionBy("market", F.when(c("group_rank").isNull(), F.pmod(F.xxhash64("id"), F.lit(SALTS))))
-    shown = F.coalesce(c("group_rank") <= limit, F.lit(False))
-    staged = ranked_events.withColumns(
-        {
-            "_series_shown": F.max(shown & is_series).over(leaders),
-            "_best_series": F.min(F.when(is_series, c("group_rank"))).over(leaders),
-        }
-    )
-    rescue = (limit >= 6) & ~c("_series_shown") & c("_best_series").isNotNull()
-    place = F.when(rescue & (c("group_rank") == limit), False).when(rescue & (c("group_rank") == c("_best_series")), True)
-    return staged.withColumn(
-        "selected", F.when(limit.isNull(), True).otherwise(place.otherwise(shown))
-    ).drop("_series_shown", "_best_series", "group_rank")
-
-
-def brief_stats(analysed: DataFrame, events: DataFrame, budgets: dict[str, int]) -> DataFrame:
-    """Counters of the brief as metric rows."""
+    selected = F.coalesce(c("_chosen"), F.lit(False))
+    if not budgets:
+        return table.withColumn("selected", F.lit(True))
+    most = max(0, *budgets.values())
+    slim = table.filter(limit.isNotNull()).select(
+        "market", "id", "relevance", F.coalesce(c("distribution") == "series", F.lit(False)).alias("is_series"),
+        F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt"))
+
+    def leaders(rows: DataFrame, keep: int) -> DataFrame:
+        order = [c("relevance"), c("id")]
+        for keys in (["market", "salt"], ["market"]):
+            place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+            rows = rows.withColumn("place", place).filter(c("place") <= keep)
+        return rows
+
+    best = leaders(slim, most).filter(c("place") <= limit)
+    shown = best.groupBy("market").agg(F.max("is_series").alias("series_shown"))
+    series = leaders(slim.filter("is_series"), 1).select("market", c("id").alias("series_id"))
+    # A handful of rows from here on: one per place, one per market.
+    rescue = series.join(shown, "market").filter((limit >= 6) & ~c("series_shown")).select("market", "series_id")
+    kept = best.join(F.broadcast(rescue), "market", "left").filter(c("series_id").isNull() | (c("place") < limit))
+    chosen = kept.select("id").unionByName(rescue.select(c("series_id").alias("id"))).withColumn("_chosen", F.lit(True))
+    return table.join(F.broadcast(chosen), "id", "left").select(
+        *[table[name] for name in table.columns], F.when(limit.isNull(), True).otherwise(selected).alias("selected"))
+
+
+def brief_stats(analysed: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Counters of the brief as metric rows.
+
+    ``chosen`` are all events with their label. Channels, market items and translation states are counted anew over
+    the events of the brief, with zero rows for absent channels and markets.
+    """
     c = F.col
     records = analysed.agg(
         F.count(F.lit(1)).alias("source_items"), F.count_if(c("reason").isNotNull()).alias("filtered_low_signal")
     )
-    limit = limit_of(c("market"), budgets).cast("bigint")
-    markets = events.groupBy("market").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(c("group_size") - 1).alias("merged")
-    ).withColumn("shown", F.least(c("n"), F.coalesce(limit, c("n"))))
-    groups = markets.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("available_events"),
-        F.coalesce(F.sum("shown"), F.lit(0)).alias("brief_events"),
-        F.coalesce(F.sum(c("n") - c("shown")), F.lit(0)).alias("more_events"),
-        F.coalesce(F.sum("merged"), F.lit(0)).alias("merged_source_items"),
+    shown = c("selected")
+
+    def shown_as(name: str, value: str) -> Column:
+        return F.count_if(shown & F.coalesce(c(name) == value, F.lit(False)))
+
+    groups = chosen.agg(
+        F.count(F.lit(1)).alias("available_events"),
+        F.count_if(shown).alias("brief_events"),
+        F.count_if(~shown).alias("more_events"),
+        F.coalesce(F.sum(c("group_size") - 1), F.lit(0)).alias("merged_source_items"),
+        F.count_if(shown).alias("items"),
+        *[shown_as("distribution", name).alias(f"distribution_{name}") for name in DISTRIBUTION_RANK],
+        *[shown_as("market", name).alias(f"market_{name}") for name in MARKETS],
+        shown_as("translation_status", "machine_translated").alias("translated_home_items"),
+        shown_as("translation_status", "original_english").alias("original_english_home_items"),
     )
-    from pressloom.operators.stats import metric_rows
-
     return metric_rows(records, {n: c(n) for n in records.columns}).unionByName(
-        metric_rows(groups, {n: c(n) for n in groups.columns})
+        metric_rows(groups, {n: c(f"`{n}`") for n in groups.columns})
     )
 
 

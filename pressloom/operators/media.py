@@ -6,14 +6,22 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pressloom.functions import text as X
 from pressloom.functions import times as D
+from pressloom.functions.urls import usable_news_image
 from pressloom.operators.candidates import utc
+from pressloom.operators.ledger import LedgerTable
+from pressloom.operators.scale import written
+from pressloom.operators.store import KEY, RecordStore
 from pressloom.policy import Policy
 from pressloom.rules.pack import RulePack
 from pressloom.sources.pages import page_media
 
+ATTEMPTS = T.StructType([
+    T.StructField("source_id", T.StringType()), T.StructField("url", T.StringType()), T.StructField("run_ts", T.TimestampType())])
+
 
 def wants_media(policy: Policy, pack: RulePack, now: dt.datetime) -> Column:
     """A fresh item of today that lacks an image, or a trailer item that lacks its video."""
@@ -29,31 +37,38 @@ def wants_media(policy: Policy, pack: RulePack, now: dt.datetime) -> Column:
     )
 
 
-def media_requests(labelled: DataFrame, policy: Policy, pack: RulePack, now: dt.datetime) -> DataFrame:
-    """The items whose page is read, in scan order; the budget counts attempts."""
+def media_requests(labelled: DataFrame, policy: Policy, pack: RulePack, now: dt.datetime,
+                   attempted: DataFrame | None = None) -> DataFrame:
+    """The items whose page is read, in scan order; the budget counts attempts.
+
+    ``attempted`` (``source_id, url``) holds the pages that earlier runs asked for: they are not asked for again.
+    """
     budget = max(0, policy.max_media_enrichments)
+    wanted = labelled.filter(wants_media(policy, pack, now))
+    if attempted is not None:
+        wanted = wanted.join(attempted.select(*KEY).distinct(), KEY, "left_anti")
     return (
-        labelled.filter(wants_media(policy, pack, now))
-        .select("source_id", "url", "source_order", "arrival_seq")
+        wanted.select(*KEY, "source_order", "arrival_seq")
         .orderBy("source_order", "arrival_seq")
         .limit(budget)
     )
 
 
-def enrich_media(labelled: DataFrame, pages: DataFrame, policy: Policy, pack: RulePack, now: dt.datetime) -> DataFrame:
-    """Fill missing media of the budgeted items from their captured page, never overwriting.
-
-    ``pages`` holds ``url, html``. Only the pages of budgeted items are parsed.
-    """
-    wanted = media_requests(labelled, policy, pack, now).select("source_id", "url")
+def found_media(wanted: DataFrame, pages: DataFrame) -> DataFrame:
+    """The media that the pages of the wanted items show; ``pages`` holds ``url, html``. Only their pages are parsed."""
     hits = pages.join(wanted.select("url").distinct(), "url", "left_semi")
     media = (
         page_media(hits)
         .groupBy("url")
-        .agg(F.max("image_url").alias("page_image"), F.max("video_url").alias("page_video"))
+        .agg(F.max("image_url").alias("image_url"), F.max("video_url").alias("video_url"))
     )
-    found = wanted.join(media, "url")
-    filled = labelled.join(found, ["source_id", "url"], "left")
+    return wanted.select(*KEY).join(media, "url").select(*KEY, "image_url", "video_url")
+
+
+def with_media(labelled: DataFrame, found: DataFrame) -> DataFrame:
+    """Fill missing media of items with what was found, never overwriting."""
+    offered = found.select(*KEY, F.col("image_url").alias("page_image"), F.col("video_url").alias("page_video"))
+    filled = labelled.join(offered, KEY, "left")
 
     def fill(name: str, page: str) -> Column:
         return F.coalesce(X.blank_to_null(F.col(name)), F.col(page), F.lit(""))
@@ -63,6 +78,28 @@ def enrich_media(labelled: DataFrame, pages: DataFrame, policy: Policy, pack: Ru
     ).drop("page_image", "page_video")
 
 
+def enrich_media(labelled: DataFrame, pages: DataFrame, policy: Policy, pack: RulePack, now: dt.datetime) -> DataFrame:
+    """J4 in one go: the budgeted items with the media of their captured pages."""
+    return with_media(labelled, found_media(media_requests(labelled, policy, pack, now), pages))
+
+
+class MediaRun:
+    """J4 with memory: what a run finds goes back into the store, and what it asked for into a ledger of attempts."""
+
+    def __init__(self, store: RecordStore, attempts: LedgerTable):
+        self.store = store
+        self.attempts = attempts
+
+    def enrich(self, labelled: DataFrame, pages: DataFrame, policy: Policy, pack: RulePack, now: dt.datetime) -> tuple[DataFrame, DataFrame]:
+        """The filled items, and the requests of this run. A page asked for by an earlier run costs no budget again."""
+        part = self.attempts.append(lambda earlier: media_requests(labelled, policy, pack, now, earlier).select(
+            *KEY, utc(now).alias("run_ts")))
+        asked = self.attempts.read_parts([part])
+        found = written(found_media(asked, pages), "found-media")
+        self.store.fill(found, {"image_url": ~usable_news_image(F.col("image_url"))})
+        return with_media(labelled, found), asked
+
+
 def enrich_details(items: DataFrame, details: DataFrame) -> DataFrame:
     """Complete list rows from their detail page.
 

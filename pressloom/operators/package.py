@@ -11,10 +11,11 @@ from pressloom.functions import package as P
 from pressloom.functions import text as X
 from pressloom.functions.classify import ranked
 from pressloom.functions.times import civil_day, iso_day
+from pressloom.operators.scale import written
 from pressloom.rules.pack import PACK_RANK, RulePack
 
 SHOWN_TAGS = 18
-# Leading characters of a work name that must occur in an asset name.
+# Characters of the piece by which a work name finds asset names.
 ANCHOR = 4
 
 
@@ -125,7 +126,7 @@ def daily_digests(pool: DataFrame, max_items: int = 5) -> DataFrame:
 
     c = F.col
     days = pool.withColumn("source_day", civil_day(c("published_ts")))
-    best = top_per_group(days, ["source_day"], pack_order(), max_items)
+    best = top_per_group(days, ["source_day"], pack_order(), max_items, ["id"])
     ids = F.transform(F.array_sort(F.collect_list(F.struct("rank", "id"))), lambda x: x["id"])
     return best.groupBy("source_day").agg(ids.alias("ids")).select(
         iso_day(c("source_day")).alias("source_date"),
@@ -135,23 +136,42 @@ def daily_digests(pool: DataFrame, max_items: int = 5) -> DataFrame:
     )
 
 
+def grams_of(text: Column, sizes: Column) -> Column:
+    """All different pieces of a text of the given sizes."""
+    return F.array_distinct(F.flatten(F.transform(sizes, lambda size: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1))), lambda start: F.substring(text, start, size)))))
+
+
+def rarest_anchors(names: DataFrame, asset_grams: DataFrame) -> DataFrame:
+    """``name, anchor``: the piece of ``ANCHOR`` characters (a shorter name whole) that fewest assets hold.
+
+    A name with a piece that no asset holds is in no asset, and has no anchor.
+    """
+    c = F.col
+    frequency = asset_grams.groupBy("anchor").agg(F.count(F.lit(1)).alias("assets"))
+    size = F.least(F.length("name"), F.lit(ANCHOR))
+    pieces = names.select("name", F.explode(grams_of(c("name"), F.array(size))).alias("anchor"))
+    found = pieces.join(frequency, "anchor", "left").groupBy("name").agg(
+        F.min_by("anchor", F.struct("assets", "anchor")).alias("anchor"), F.count_if(c("assets").isNull()).alias("absent"))
+    return found.filter("absent = 0").select("name", "anchor")
+
+
 def asset_match(items: DataFrame, assets: DataFrame, pack: RulePack) -> DataFrame:
     """The asset of each item: first work name, in order, that an asset name contains.
 
-    "Contains" is an equality join on anchors: the first ``ANCHOR`` characters of a name (all of a shorter one)
-    meet the asset names that hold them anywhere, and only these are searched for the whole name. ``assets``
-    holds ``asset``; of several assets the first by name counts.
+    "Contains" is an equality join on anchors: of a name's pieces the one that fewest assets hold meets the assets that
+    hold it, and only these are searched for the whole name. So a beginning that all names share, or a piece that
+    all assets share, is no meeting point. ``assets`` holds ``asset``; of several assets the first by name counts.
     """
     c = F.col
     combined = F.concat(X.text_or_empty(c("title")), X.text_or_empty(c("summary")))
-    names = items.select("id", F.posexplode(P.project_names(combined, pack)).alias("pos", "name"))
-    names = names.withColumn("anchor", F.substring("name", 1, ANCHOR))
-    wanted = names.select("name", "anchor").distinct()
-    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(ANCHOR)), lambda size: F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length("asset") - size + 1, F.lit(1))), lambda start: F.substring("asset", start, size))))
-    anchored = assets.select("asset", F.explode(F.array_distinct(grams)).alias("anchor"))
-    # Spark's size estimate does not see that opening multiplies the names, so it must not decide on a broadcast.
-    parts = wanted.join(anchored.hint("merge"), "anchor").filter(F.contains("asset", "name")).groupBy("name").agg(
+    found = items.select("id", F.posexplode(P.project_names(combined, pack)).alias("pos", "name"))
+    names = written(found.filter(c("name") != ""), "work-names")
+    pieces = grams_of(c("asset"), F.sequence(F.lit(1), F.lit(ANCHOR)))
+    # Written: read twice, and its true size decides on the join.
+    asset_grams = written(assets.select("asset").distinct().select("asset", F.explode(pieces).alias("anchor")), "asset-grams")
+    anchored = rarest_anchors(names.select("name").distinct(), asset_grams)
+    parts = anchored.join(asset_grams, "anchor").filter(F.contains("asset", "name")).groupBy("name").agg(
         F.min("asset").alias("asset"))
     return names.join(parts, "name").groupBy("id").agg(
         F.min_by(F.struct("name", "asset"), c("pos")).alias("hit")

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pressloom.functions.package import weekday_label
 from pressloom.functions.times import iso_day
+from pressloom.operators.ledger import Batch, LedgerTable
+
+PUBLISHED = T.StructType([T.StructField("digest", T.StringType()), T.StructField("publish_date", T.StringType())])
+# Parts of a log before they are folded into one.
+FOLD_AT = 64
 
 
 def publish_once(manifests: DataFrame, published: DataFrame) -> DataFrame:
@@ -15,9 +21,21 @@ def publish_once(manifests: DataFrame, published: DataFrame) -> DataFrame:
     return fresh.groupBy("digest").agg(F.min("publish_date").alias("publish_date"))
 
 
-def append_published(manifests: DataFrame, published: DataFrame, path: str) -> None:
-    """Append new digests; calling it again adds nothing."""
-    publish_once(manifests, published).write.mode("append").parquet(path)
+class PublishLog:
+    """The published digests, each once, under a ledger of the batches that brought them."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.table = LedgerTable(spark, path, PUBLISHED)
+
+    def read(self) -> DataFrame:
+        return self.table.read()
+
+    def append(self, manifests: DataFrame, batch: Batch | None = None) -> None:
+        """Add the manifests whose digest is new; what is new is decided against the version this one follows."""
+        rows = manifests.select("digest", F.col("publish_date").cast("string").alias("publish_date"))
+        self.table.append(lambda logged: publish_once(rows, logged), batch)
+        if len(self.table.parts()) >= FOLD_AT:
+            self.table.compact(lambda logged: logged)
 
 
 def edition_index(editions: DataFrame, index: DataFrame) -> DataFrame:

@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pressloom.session import new_workspace
+
 SALTS = 1024
 
 
-def top_per_group(df: DataFrame, group: list[str], order: list[Column], limit: int, rank: str = "rank") -> DataFrame:
-    """The first ``limit`` rows of each group.
+def top_per_group(df: DataFrame, group: list[str], order: list[Column], limit: int, salt_by: list[str], rank: str = "rank") -> DataFrame:
+    """The first ``limit`` rows of each group; ``salt_by`` are columns that tell its rows apart.
 
     Salted parts of a group are thinned first, so that a hot group never reaches one task whole, whatever the
     limit; Spark thins each of them once more before the shuffle where the limit is small.
     """
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns[:8]), F.lit(SALTS)))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(SALTS)))
     by_salt = Window.partitionBy(*group, "_salt").orderBy(*order)
     thinned = salted.withColumn("_pre", F.row_number().over(by_salt)).filter(F.col("_pre") <= limit).drop("_salt", "_pre")
     window = Window.partitionBy(*group).orderBy(*order)
@@ -90,3 +92,11 @@ def with_columns_of(df: DataFrame, schema) -> DataFrame:
     have = set(df.columns)
     missing = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in have}
     return df.withColumns(missing) if missing else df
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The frame as a written table in the shared folder."""
+    spark = df.sparkSession
+    path = new_workspace(spark, label)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -43,9 +43,11 @@ def _outcome(policy: Policy, now: dt.datetime) -> Column:
     )
 
 
-def run_stats(labelled: DataFrame, policy: Policy, pack: RulePack, now: dt.datetime) -> DataFrame:
+def run_stats(labelled: DataFrame, policy: Policy, pack: RulePack, now: dt.datetime, requests: DataFrame | None = None) -> DataFrame:
     """A2: counters of a run. ``labelled`` keeps the records of disabled sources.
 
+    ``requests`` are the pages that the run asked for media; a run without pages asks for none.
+
     Record counters (drops before merging) and story counters come from one grouping and one scan:
     a dropped record joins the group of its reason, a candidate the group of its story.
     """
@@ -90,7 +92,11 @@ def run_stats(labelled: DataFrame, policy: Policy, pack: RulePack, now: dt.datet
             for reason in FUNNEL
         ],
     )
-    return metric_rows(row, {name: c(name) for name in row.columns})
+    if requests is None:
+        return metric_rows(row, {**{name: c(name) for name in row.columns}, "media_enrichment_requests": F.lit(0)})
+    asked = requests.agg(F.count(F.lit(1)).alias("media_enrichment_requests"))
+    return metric_rows(row, {name: c(name) for name in row.columns}).unionByName(
+        metric_rows(asked, {name: c(name) for name in asked.columns}))
 
 
 def distribution_counts(edition: DataFrame) -> DataFrame:

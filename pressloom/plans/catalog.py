@@ -22,14 +22,15 @@ from pressloom.operators import stats as ST
 from pressloom.operators import store as S
 from pressloom.operators import translate as TR
 from pressloom.operators.dedup import merge_duplicates, merged_sources
+from pressloom.operators.ledger import LedgerTable
+from pressloom.operators.scale import computed_once, written
 from pressloom.plans import ingest as IN
 from pressloom.plans import tables as T
-from pressloom.plans.jobs import written
 from pressloom.rules import LATIN
 from pressloom.session import new_workspace, tune
 from pressloom.sources import feeds, notices, pages, posts
 from pressloom.sources.registry import enabled_sources
-from pressloom.streaming import daily_counts, store_stream
+from pressloom.streaming import daily_counts, publish_stream, store_stream
 
 NOW, POLICY = T.NOW, T.POLICY
 BUDGETS = {"m-cn": 9, "m-hmt": 4, "m-intl": 12}
@@ -151,11 +152,22 @@ def daily_edition(spark, d):
     )
 
 
+def edition_sink(spark, d):
+    """Every civil day as an edition; then one day again, for fewer languages, which replaces that day only."""
+    editions = _merged(spark, d).withColumn("edition_date", D.civil_day(F.col("published_ts")))
+    path = new_workspace(spark, "editions")
+    ED.write_edition(editions, path)
+    again = ED.filter_language(spark.read.parquet(path), POLICY).filter("edition_date = '2024-01-02'")
+    ED.write_edition(written(again, "edition-again"), path)
+    return spark.read.parquet(path).select("id", "url", "language", D.iso_day(F.col("edition_date")).alias("edition_date"))
+
+
 # --- counters ------------------------------------------------------------------------------
 
 
 def run_stats(spark, d):
-    return ST.run_stats(_labelled(spark, d, keep_disabled=True), POLICY, LATIN, NOW)
+    labelled = _labelled(spark, d, keep_disabled=True)
+    return ST.run_stats(labelled, POLICY, LATIN, NOW, M.media_requests(labelled, POLICY, LATIN, NOW))
 
 
 def distribution_counts(spark, d):
@@ -180,6 +192,7 @@ def market_coverage(spark, d):
 
 # --- store ---------------------------------------------------------------------------------
 
+STORE_BUCKETS = 16
 STORE_COLUMNS = ["source_id", "url", "title", "summary", "content_priority"]
 
 
@@ -216,19 +229,28 @@ def store_violations(spark, d):
 
 
 def store_snapshot(spark, d):
-    """Two runs through the snapshot table: the early arrivals, then the late ones."""
+    """Two runs through the store: the early arrivals, then the late ones."""
     rows = S.observations(T.observations_view(spark, d))
     late = F.col("arrival_seq") >= 500_000 * 4294967296
-    store = S.SnapshotTable(spark, new_workspace(spark, "store"))
+    store = S.RecordStore(spark, new_workspace(spark, "store"), STORE_BUCKETS)
     store.merge(rows.filter(~late))
     store.merge(rows.filter(late))
     return _store_rows(store.read())
 
 
+def store_lookup(spark, d):
+    """The stored records that the late purchases belong to, read from their buckets only."""
+    rows = S.observations(T.observations_view(spark, d))
+    store = S.RecordStore(spark, new_workspace(spark, "store"), STORE_BUCKETS)
+    store.merge(rows)
+    late = F.col("arrival_seq") >= 990_000 * 4294967296
+    return _store_rows(store.records_of(rows.filter(late)))
+
+
 def stream_store_merge(spark, d):
     """The merge as a stream over the files of the events table."""
     source = T.stream_table(spark, d, "events")
-    store = S.SnapshotTable(spark, new_workspace(spark, "stream-store"))
+    store = S.RecordStore(spark, new_workspace(spark, "stream-store"), STORE_BUCKETS)
     store_stream.run_store_stream(T.observations_of(source), store, new_workspace(spark, "stream-check"))
     return _store_rows(store.read())
 
@@ -259,6 +281,21 @@ def media_enrich(spark, d):
     return filled.filter("drop_reason IS NULL").select("url", "image_url", "video_url")
 
 
+def media_write_back(spark, d):
+    """Two runs over the stored records: each asks for new pages only, and what they show is in the store afterwards."""
+    store = S.RecordStore(spark, new_workspace(spark, "media-store"), STORE_BUCKETS)
+    store.merge(T.items_view(spark, d))
+    run = M.MediaRun(store, LedgerTable(spark, new_workspace(spark, "media-attempts"), M.ATTEMPTS))
+    found = T.captured_pages(spark, d).select("url", "html")
+    for _ in range(2):
+        labelled = C.label_records(store.read(), T.registry_view(spark, d), POLICY, LATIN, NOW)
+        run.enrich(labelled, found, POLICY, LATIN, NOW)
+    asked = run.attempts.read().groupBy(*S.KEY).agg(F.count(F.lit(1)).alias("requests"))
+    return store.read().join(asked, S.KEY, "left").select(
+        "source_id", "url", "image_url", "video_url", F.coalesce("requests", F.lit(0)).alias("requests"),
+        D.iso_stamp(F.col("last_seen_at")).alias("last_seen_at"))
+
+
 def detail_enrich(spark, d):
     reg = enabled_sources(T.registry_view(spark, d)).select("source_id", "read_details")
     items = T.items_view(spark, d).join(reg, "source_id").select(
@@ -279,6 +316,11 @@ def clean_titles(spark, d):
     )
 
 
+def mail_dates(spark, d):
+    dated = computed_once(T.mail_dates_view(spark, d), {"published_ts": D.published_at(F.col("mail_date"))})
+    return dated.select("event_id", D.iso_stamp(F.col("published_ts")).alias("published_at"))
+
+
 # --- feeds, notices, posts -----------------------------------------------------------------
 
 
@@ -319,6 +361,10 @@ def posts_dedup(spark, d):
     return posts.dedup_posts(posts.accepted(_posts(spark, d))).select("post_id", "target", "page", "title")
 
 
+def hashtag_titles(spark, d):
+    return T.tagged_view(spark, d).select("doc_id", P.hashtag_headline(F.col("text")).alias("title"))
+
+
 def _ingested(spark, d):
     fed = feeds.feed_items(feeds.read_entries(spark, T.land_feeds(spark, d)))
     noticed, _, _ = IN.notice_feed(T.notice_pages(spark, d))
@@ -329,12 +375,16 @@ def _ingested(spark, d):
     return IN.ingest([*parts, IN.items_of(posted, F.col("target"), IN.POST)]), rejects
 
 
+INGEST_SOURCES = ["feed", "notice", "listing", "user", "assistant", "system", "bureau"]
+
+
 def ingest_items(spark, d):
     return _ingested(spark, d)[0].select("source_id", "title", "url", "summary", "published")
 
 
 def ingest_status(spark, d):
-    return IN.outcomes(*_ingested(spark, d))
+    registered = spark.createDataFrame([(name,) for name in INGEST_SOURCES], "source_id string")
+    return IN.outcomes(*_ingested(spark, d), registered)
 
 
 # --- translation ---------------------------------------------------------------------------
@@ -345,9 +395,9 @@ def _translated(spark, d):
     lang = T.table(spark, d, "documents").select(
         F.concat(F.lit("https://"), "source", F.lit(".example.com/a/"), "doc_id").alias("url"),
         F.col("doc_id").alias("arrival_seq"), F.col("lang").alias("language"), F.col("text").alias("summary"),
-        T.post_title(F.col("text")).alias("title"),
+        T.headline(F.col("text")).alias("title"),
     )
-    return TR.with_translation(lang, T.cache_view(spark, d), T.CACHE_MODEL)
+    return TR.with_translation(lang, TR.read_cache(spark, T.land_cache(spark, d), T.CACHE_MODEL), T.CACHE_MODEL)
 
 
 def translation_attach(spark, d):
@@ -397,7 +447,7 @@ def choose_events(spark, d):
 
 def brief_stats(spark, d):
     analysed = _analysed_table(spark, d)
-    return V.brief_stats(analysed, V.group_events(analysed, LATIN), BUDGETS)
+    return V.brief_stats(analysed, V.choose_events(V.relevance(V.group_events(analysed, LATIN), LATIN), BUDGETS))
 
 
 def trace_pool(spark, d):
@@ -424,10 +474,11 @@ def event_facts(spark, d):
 
 
 def fact_overlap(spark, d):
-    """Overlap of each record's factual line with its headline."""
-    lined = E.with_core_sentence(_analysed(spark, d), LATIN)
-    overlap = E.factual_overlap(X.normalized(F.col("core_sentence")), X.normalized(F.col("headline")))
-    return lined.select("id", "core_sentence", "headline", overlap.alias("overlap"))
+    """Whether each record's factual line says something else than its headline, and what decided it."""
+    lined = written(E.with_core_sentence(_analysed(spark, d), LATIN).select("id", "core_sentence", "headline"), "lines")
+    line, headline = X.normalized(F.col("core_sentence")), X.normalized(F.col("headline"))
+    return lined.select("id", "core_sentence", "headline", E.overlap_decision(line, headline, 0.78).alias("decided_by"),
+                        E.overlap_below(line, headline, 0.78).alias("differs"))
 
 
 # --- content pack and publishing -----------------------------------------------------------
@@ -458,6 +509,10 @@ def package_cards(spark, d):
     return PK.package_cards(_pack(spark, d), LATIN)
 
 
+def cast_names(spark, d):
+    return T.cast_view(spark, d).select("doc_id", F.array_join(P.actor_names(F.col("text")), ",").alias("names"))
+
+
 def asset_match(spark, d):
     items = T.items_view(spark, d).select(C.K.record_id(F.col("source_id"), F.col("url")).alias("id"), "title", "summary")
     assets = T.table(spark, d, "benchmark").select(F.col("text").alias("asset"))
@@ -474,6 +529,18 @@ def publish_once(spark, d):
     return PB.publish_once(manifests, log)
 
 
+def stream_publish(spark, d):
+    """The publish log as a stream over manifest files; a second checkpoint brings all of them again and adds nothing."""
+    landing = new_workspace(spark, "manifests")
+    _digests(spark, d).repartition("source_date").write.parquet(landing)
+    schema = spark.read.parquet(landing).schema
+    log = PB.PublishLog(spark, new_workspace(spark, "publish-log"))
+    for check in ("publish-check", "publish-check-again"):
+        arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
+        publish_stream.run_publish_stream(arriving, log, new_workspace(spark, check))
+    return log.read()
+
+
 def edition_index(spark, d):
     pool = _merged(spark, d, ["published_ts"])
     editions = pool.select(D.civil_day(F.col("published_ts")).alias("edition_date"))
@@ -490,23 +557,24 @@ def edition_diff(spark, d):
 
 
 def missing_titles(spark, d):
-    """Headlines that the page of their own text does not hold: those cut with an ellipsis."""
+    """Headlines that the page of their own record does not hold: pages here show the excerpt of a text only."""
     raw = T.table(spark, d, "documents")
-    expected = raw.select(F.col("doc_id").alias("edition"), T.post_title(F.col("text")).alias("title"))
-    shown = raw.select(F.col("doc_id").alias("edition"), PB.escaped(F.col("text")).alias("page"))
+    expected = raw.select(F.col("doc_id").alias("edition"), T.headline(F.col("text")).alias("title"))
+    shown = raw.select(F.col("doc_id").alias("edition"), PB.escaped(X.excerpt(F.col("text"))).alias("page"))
     return PB.missing_titles(expected, shown)
 
 
 QUERIES = [
     source_registry, items_with_source, filter_excluded, filter_source_keywords, filter_freshness, filter_language,
-    drop_funnel, dedup_titles, dedup_sources, candidate_pool, edition_day, cap_market, daily_edition, run_stats,
+    drop_funnel, dedup_titles, dedup_sources, candidate_pool, edition_day, cap_market, daily_edition, edition_sink, run_stats,
     distribution_counts, source_status, source_totals, market_coverage, store_projection, store_merge, store_violations,
-    store_snapshot, stream_store_merge, stream_daily_counts, page_links, page_media, media_enrich, detail_enrich,
-    canonical_urls, clean_titles, feed_items, feed_media, ingest_items, ingest_status, notice_rows, notice_summary, posts_normalized, posts_rejected,
+    store_snapshot, store_lookup, stream_store_merge, stream_daily_counts, page_links, page_media, media_enrich, media_write_back,
+    detail_enrich,
+    canonical_urls, clean_titles, mail_dates, feed_items, feed_media, hashtag_titles, ingest_items, ingest_status, notice_rows, notice_summary, posts_normalized, posts_rejected,
     posts_dedup, translation_attach, translation_queue, translation_stats, low_signal, market_fold, event_groups,
     event_primary, event_relevance, choose_events, brief_stats, trace_pool, event_members, event_sources, event_facts,
-    fact_overlap, package_select, package_tags, package_digest, package_caption, package_cards, asset_match,
-    publish_once, edition_index, edition_diff, missing_titles,
+    fact_overlap, package_select, package_tags, package_digest, package_caption, package_cards, cast_names, asset_match,
+    publish_once, stream_publish, edition_index, edition_diff, missing_titles,
 ]
 
 

@@ -56,13 +56,18 @@ def ingest(parts: list[DataFrame]) -> DataFrame:
     return every.sparkSession.read.parquet(path)
 
 
-def outcomes(items: DataFrame, rejects: DataFrame) -> DataFrame:
-    """Per source: items, rejects, and ``ok``, ``partial`` or ``failed``."""
+def outcomes(items: DataFrame, rejects: DataFrame, registered: DataFrame) -> DataFrame:
+    """Per registered source: items, rejects, and ``ok``, ``partial``, ``failed`` or ``silent``.
+
+    A source that gave neither items nor rejects stays visible; rows of a source that is not registered count too.
+    """
     found = items.groupBy("source_id").agg(F.count(F.lit(1)).alias("items"))
     lost = rejects.groupBy("source_id").agg(F.sum("n").alias("rejects"))
-    joined = found.join(lost, "source_id", "full").select(
+    known = registered.select("source_id").distinct().withColumn("registered", F.lit(True))
+    joined = found.join(lost, "source_id", "full").join(known, "source_id", "full").select(
         "source_id", F.coalesce("items", F.lit(0)).alias("items"), F.coalesce("rejects", F.lit(0)).alias("rejects"))
-    outcome = F.when(F.col("rejects") == 0, "ok").when(F.col("items") > 0, "partial").otherwise("failed")
+    silent = (F.col("items") == 0) & (F.col("rejects") == 0)
+    outcome = F.when(silent, "silent").when(F.col("rejects") == 0, "ok").when(F.col("items") > 0, "partial").otherwise("failed")
     return joined.withColumn("outcome", outcome)
 
 

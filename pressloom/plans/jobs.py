@@ -10,7 +10,6 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from pressloom.functions.times import civil_day
 from pressloom.operators import candidates as C
@@ -21,25 +20,17 @@ from pressloom.operators import stats as ST
 from pressloom.operators import store as S
 from pressloom.operators.candidates import utc
 from pressloom.operators.dedup import merge_duplicates, merged_sources
-from pressloom.operators.media import enrich_media
+from pressloom.operators.media import MediaRun, enrich_media, media_requests
+from pressloom.operators.scale import written
 from pressloom.operators.translate import MODEL, with_translation
 from pressloom.policy import Policy
 from pressloom.rules.pack import RulePack
-from pressloom.session import new_workspace
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """The frame as a written table in the shared folder."""
-    spark = df.sparkSession
-    path = new_workspace(spark, label)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
-def collect_job(table: S.SnapshotTable, fetched: DataFrame, now: dt.datetime) -> DataFrame:
+def collect_job(store: S.RecordStore, fetched: DataFrame, now: dt.datetime) -> DataFrame:
     """Persist what was fetched before any selection; sources that failed lose nothing."""
     records = S.observations(S.project_news(fetched, keep=["arrival_seq"]), now)
-    return table.read(table.merge(records))
+    return store.read(store.merge(records))
 
 
 @dataclass(frozen=True)
@@ -52,10 +43,17 @@ class Edition:
 
 
 def edition_job(records: DataFrame, registry: DataFrame, policy: Policy, pack: RulePack, now: dt.datetime,
-                pages: DataFrame | None = None) -> Edition:
-    """Stored records to the edition of the day, the uncapped pool, source links and counters."""
+                pages: DataFrame | None = None, media: MediaRun | None = None) -> Edition:
+    """Stored records to the edition of the day, the uncapped pool, source links and counters.
+
+    With ``media``, the media found on ``pages`` go back into the store and no page is asked for twice.
+    """
     labelled = C.label_records(records, registry, policy, pack, now, keep_disabled=True)
-    if pages is not None:
+    requests = None
+    if pages is not None and media is not None:
+        labelled, requests = media.enrich(labelled, pages, policy, pack, now)
+    elif pages is not None:
+        requests = media_requests(labelled, policy, pack, now)
         labelled = enrich_media(labelled, pages, policy, pack, now)
     found = C.candidate_columns(labelled, pack)
     merged = written(merge_duplicates(found, pack), "merged")
@@ -65,7 +63,7 @@ def edition_job(records: DataFrame, registry: DataFrame, policy: Policy, pack: R
         items=items,
         pool=ED.candidate_pool(merged, policy),
         sources=merged_sources(found),
-        stats=ST.run_stats(labelled, policy, pack, now),
+        stats=ST.run_stats(labelled, policy, pack, now, requests),
     )
 
 
@@ -84,13 +82,13 @@ def brief_job(items: DataFrame, policy: Policy, pack: RulePack, cache: DataFrame
         items = with_translation(items, cache, model)
     analysed = written(V.analyse(items, pack), "analysed")
     events = V.with_facts(written(V.group_events(analysed, pack), "groups"), analysed, pack)
-    chosen = written(V.choose_events(V.relevance(events, pack), policy.editorial_budget), "events")
+    chosen = V.choose_events(V.relevance(events, pack), policy.editorial_budget)
     return Brief(
         events=chosen,
         filtered=V.low_signal(analysed),
         members=V.event_members(analysed),
         trace=V.trace_pool(chosen, analysed),
-        stats=V.brief_stats(analysed, chosen, policy.editorial_budget),
+        stats=V.brief_stats(analysed, chosen),
     )
 
 

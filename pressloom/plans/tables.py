@@ -42,10 +42,9 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
     return df.repartition(int(parts), *ROW_KEYS[name]) if spread and parts and name in ROW_KEYS else df
 
 
-def post_title(text: Column) -> Column:
-    """Headline of a text the way posts get one: the first line, cut at 100 characters."""
-    line = F.substring_index(text, "\n", 1)
-    return F.when(F.length(line) > 100, F.concat(F.substring(line, 1, 100), F.lit("…"))).otherwise(line)
+def headline(text: Column) -> Column:
+    """Headline of a record: its whole first line. Only posts have theirs cut (``sources/posts.py``)."""
+    return F.substring_index(text, "\n", 1)
 
 
 def items_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +58,7 @@ def items_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
         F.col("source").alias("source_id"),
         F.concat(F.lit("https://"), "source", F.lit(".example.com/a/"), "doc_id").alias("url"),
-        post_title(F.col("text")).alias("title"),
+        headline(F.col("text")).alias("title"),
         F.col("text").alias("summary"),
         published.alias("published"),
         image.alias("image_url"),
@@ -217,6 +216,55 @@ def cache_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.select(content_key(F.col("title"), F.col("summary"), CACHE_MODEL).alias("key"), title.alias("title"), "summary").distinct()
 
 
+def land_cache(spark: SparkSession, sf_dir: str) -> str:
+    """Write the cache as a file that also holds entries of another version and of another model; returns the folder."""
+    from pressloom.session import new_workspace
+
+    folder = new_workspace(spark, "cache")
+    right = cache_view(spark, sf_dir)
+    stale = F.concat(F.lit("译旧 "), "title")
+    rows = right.select(F.lit(1).alias("schema_version"), F.lit(CACHE_MODEL).alias("model"), "key", "title", "summary")
+    old = right.select(F.lit(2).alias("schema_version"), F.lit(CACHE_MODEL).alias("model"), "key", stale.alias("title"), "summary")
+    other = right.select(F.lit(1).alias("schema_version"), F.lit("other").alias("model"), "key", stale.alias("title"), "summary")
+    rows.unionByName(old).unionByName(other).write.json(folder)
+    return folder
+
+
+def cast_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Announcements of a cast out of ``documents``: three ways to name people who are called by numbers."""
+    def person(family: str, number: Column) -> Column:
+        return F.concat(F.lit(family), F.translate(number.cast("string"), "0123456789", "零一二三四五六七八九"))
+
+    n, size = F.col("doc_id"), F.col("n_chars")
+    first, second, third = person("张", n % 97), person("李", size % 89), person("王", (n + size) % 83)
+    text = (
+        F.when(n % 3 == 0, F.concat(first, F.lit("、"), second, F.lit("、"), third, F.lit("领衔主演的影片开机。")))
+        .when(n % 3 == 1, F.concat(F.lit("新片定档，主演包括："), first, F.lit("、"), second, F.lit("、"), first, F.lit("。影片将映。")))
+        .otherwise(F.concat(F.lit("医生（"), first, F.lit(" 饰）与记者（"), third, F.lit("饰）相遇。")))
+    )
+    return table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+
+
+def tagged_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts out of ``documents``, half of them opened by a hashtag."""
+    tag = F.concat(F.lit("#"), F.substring(headline(F.col("text")), 1, 20), F.lit("# "))
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", F.when(F.col("doc_id") % 2 == 0, F.concat(tag, "text")).otherwise(F.col("text")).alias("text"))
+
+
+def mail_dates_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times of ``events`` as mail dates in several zones."""
+    n = F.col("event_id")
+    zone = F.lit("")
+    for rest, name in enumerate(MAIL_ZONES_SHOWN):
+        zone = F.when(n % len(MAIL_ZONES_SHOWN) == rest, F.lit(name)).otherwise(zone)
+    day = F.when(n % 2 == 0, F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss")).otherwise(F.date_format("ts", "d MMM yyyy HH:mm:ss"))
+    return table(spark, sf_dir, "events").select("event_id", F.trim(F.concat(day, F.lit(" "), zone)).alias("mail_date"))
+
+
+MAIL_ZONES_SHOWN = ["", "GMT", "EST", "PDT", "+0800", "-0330"]
+
+
 def land_feeds(spark: SparkSession, sf_dir: str) -> str:
     """Write every record as a feed item below the shared folder; returns the folder."""
     from pressloom.session import new_workspace

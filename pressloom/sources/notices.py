@@ -98,7 +98,7 @@ def notice_items(parsed: DataFrame, rows: DataFrame) -> DataFrame:
             "、",
         ).alias("count_copy"),
     )
-    samples = top_per_group(rows.select("url", "place", "title"), ["url"], [c("place")], SAMPLE).groupBy("url").agg(
+    samples = top_per_group(rows.select("url", "place", "title"), ["url"], [c("place")], SAMPLE, ["place"]).groupBy("url").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "title"))), lambda x: x["title"]), "、").alias("samples")
     )
     joined = parsed.drop("html").join(by_notice, "url").join(samples, "url")

@@ -46,13 +46,16 @@ def html_meta(document: Column, name: str) -> Column:
     return F.coalesce(X.first_match(document, named, 1), X.first_match(document, swapped, 1), F.lit(""))
 
 
-def _body_images(tags: Column) -> Column:
-    """Source attributes of all images inside an article body, in page order.
+def _body_images(tags: Column, page_url: Column) -> Column:
+    """Source attributes of an article body, in page order, up to the first image that is usable for certain.
 
-    One pass over the tags of a page: the body ends where its own element closes.
+    One pass over the tags of a page: the body ends where its own element closes. What is carried is one candidate; only
+    sources whose path holds an entity, which decoding may still change, are carried beside it, and nothing after
+    the candidate is looked at.
     """
     start = F.struct(
-        F.lit("").alias("element"), F.lit(0).alias("depth"), F.array().cast("array<string>").alias("images")
+        F.lit("").alias("element"), F.lit(0).alias("depth"), F.array().cast("array<string>").alias("unclear"),
+        F.lit(None).cast("string").alias("image"),
     )
 
     def step(state: Column, tag: Column) -> Column:
@@ -68,16 +71,20 @@ def _body_images(tags: Column) -> Column:
             F.nullif(attribute(tag, "_src"), F.lit("")),
         )
         found = inside & ~closing & (name == "img") & source.isNotNull()
-        return F.struct(
+        unclear = source.rlike("^[^?#]*&")
+        usable = ~unclear & U.usable_news_image(U.safe_url(source, page_url))
+        moved = F.struct(
             F.when(enters, name).otherwise(state["element"]).alias("element"),
             F.when(enters, F.lit(1))
             .when(same & opens, state["depth"] + 1)
             .when(same & closing, state["depth"] - 1)
             .otherwise(state["depth"]).alias("depth"),
-            F.when(found, F.concat(state["images"], F.array(source))).otherwise(state["images"]).alias("images"),
+            F.when(found & unclear, F.concat(state["unclear"], F.array(source))).otherwise(state["unclear"]).alias("unclear"),
+            F.when(found & usable, source).alias("image"),
         )
+        return F.when(state["image"].isNotNull(), state).otherwise(moved)
 
-    return F.aggregate(tags, start, step, lambda state: state["images"])
+    return F.aggregate(tags, start, step, lambda state: F.array_compact(F.concat(state["unclear"], F.array(state["image"]))))
 
 
 def page_media(pages: DataFrame) -> DataFrame:
@@ -91,7 +98,7 @@ def page_media(pages: DataFrame) -> DataFrame:
         declared, lambda tag: F.lower(F.coalesce(F.nullif(attribute(tag, "property"), F.lit("")), attribute(tag, "name"))))
     tags = F.regexp_extract_all(F.regexp_replace(c("html"), _NOT_CONTENT, " "), F.lit(_TAG), F.lit(0))
     staged = pages.withColumns({"_fields": fields, "_contents": F.transform(declared, lambda tag: attribute(tag, "content")),
-                                "_links": _body_images(tags)})
+                                "_links": _body_images(tags, c("url"))})
     staged = computed_once(staged, {"_contents": decoded_list(c("_contents")), "_links": decoded_list(c("_links"))})
     metas = F.zip_with("_fields", "_contents", lambda field, content: F.struct(field.alias("field"), F.trim(content).alias("content")))
     staged = staged.withColumn("_metas", F.filter(metas, lambda m: U.is_http(m["content"])))

@@ -155,4 +155,4 @@ def partial_pages(responses: DataFrame) -> DataFrame:
 def dedup_posts(posts: DataFrame) -> DataFrame:
     """Each post once, as first seen over the targets and pages of a source."""
     order = [F.col("target"), F.col("page"), F.col("position")]
-    return top_per_group(posts, ["post_id"], order, 1).drop("rank")
+    return top_per_group(posts, ["post_id"], order, 1, ["target", "page", "position"]).drop("rank")

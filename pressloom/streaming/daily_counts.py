@@ -4,8 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pressloom.functions import times as D
+from pressloom.operators.ledger import Batch, LedgerTable, run_batches
+
+COUNTS = T.StructType([
+    T.StructField("source_id", T.StringType()), T.StructField("civil_day", T.DateType()), T.StructField("arrivals", T.LongType())])
+# Parts that a sink holds before they are folded into one.
+FOLD_AT = 32
 
 
 def day_counts(events: DataFrame) -> DataFrame:
@@ -13,25 +20,27 @@ def day_counts(events: DataFrame) -> DataFrame:
     return events.groupBy("source_id", D.civil_day(F.col("ts")).alias("civil_day")).agg(F.count(F.lit(1)).alias("arrivals"))
 
 
-def run_daily_counts(events: DataFrame, sink: str, checkpoint: str) -> None:
-    """Write the counts of each batch below its own folder; a replay rewrites that folder.
+def total_counts(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("source_id", "civil_day").agg(F.sum("arrivals").alias("arrivals"))
+
+
+def run_daily_counts(events: DataFrame, sink: str, checkpoint: str, stream: str = "arrivals", fold_at: int = FOLD_AT) -> None:
+    """Add the counts of all waiting batches to the sink.
 
-    Counts add up, so nothing is held as state and an arrival counts however late it is.
+    Counts add up, so nothing is held as state and an arrival counts however late it is. The sink's ledger takes each
+    batch once. Several streams with inputs of their own may fill one sink under different names; a stream
+    whose checkpoint was replaced raises, since its input would be counted again.
     """
+    table = LedgerTable(events.sparkSession, sink, COUNTS)
 
-    def write_counts(batch: DataFrame, batch_id: int) -> None:
-        day_counts(batch).write.mode("overwrite").parquet(f"{sink}/update={batch_id:09d}")
+    def add(batch: DataFrame, checkpoint_id: str, number: int) -> None:
+        table.append(lambda _: day_counts(batch), Batch(stream, checkpoint_id, number))
+        if len(table.parts()) >= fold_at:
+            table.compact(total_counts)
 
-    query = (
-        events.writeStream.foreachBatch(write_counts)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    run_batches(events, checkpoint, add)
 
 
 def read_daily_counts(spark: SparkSession, sink: str) -> DataFrame:
     """The count of every source and day over all batches."""
-    updates = spark.read.option("basePath", sink).parquet(f"{sink}/update=*")
-    return updates.groupBy("source_id", "civil_day").agg(F.sum("arrivals").alias("arrivals"))
+    return total_counts(LedgerTable(spark, sink, COUNTS).read())

@@ -2,34 +2,23 @@
 
 from __future__ import annotations
 
-import json
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
+from pressloom.operators.store import RecordStore, observations, project_news
+from pressloom.operators.ledger import run_batches
 
-from pressloom.operators.store import SnapshotTable, observations, project_news
 
-
-def stream_id(spark: SparkSession, checkpoint: str) -> str:
-    """The identity that a checkpoint gives its query; a new checkpoint is a new stream."""
-    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
-
-
-def run_store_stream(arrivals: DataFrame, table: SnapshotTable, checkpoint: str) -> None:
+def run_store_stream(arrivals: DataFrame, store: RecordStore, checkpoint: str) -> None:
     """Merge all waiting arrivals and stop.
 
     ``arrivals`` is a streaming frame of raw items with ``run_ts`` and ``arrival_seq``. Each batch goes into the
-    newest snapshot, also where the store was filled before this checkpoint; the snapshot notes stream and batch, so
-    a replay after a lost driver changes nothing.
+    newest version, also where the store was filled before this checkpoint, and touches only the buckets of its
+    records; the version holds the batch's number under the checkpoint's identity, so a replay after a lost driver
+    changes nothing.
     """
 
-    def merge_batch(batch: DataFrame, batch_id: int) -> None:
+    def merge_batch(batch: DataFrame, checkpoint_id: str, number: int) -> None:
         records = observations(project_news(batch, keep=["run_ts", "arrival_seq"]))
-        table.merge(records, batch=(stream_id(table.spark, checkpoint), batch_id))
-
-    query = (
-        arrivals.writeStream.foreachBatch(merge_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+        store.merge(records, batch=(checkpoint_id, number))
+
+    run_batches(arrivals, checkpoint, merge_batch)

@@ -126,6 +126,28 @@ def test_media_budget_limits_pages_not_items(spark):
     assert sorted(r.url[-4:] for r in filled if r.image_url) == ["id=0", "id=1"]
 
 
+def test_found_media_stay_in_the_store_and_no_page_is_asked_for_twice(spark):
+    from pressloom.operators.ledger import LedgerTable
+    from pressloom.operators.media import ATTEMPTS, MediaRun
+    from pressloom.operators.store import RecordStore
+
+    store = RecordStore(spark, new_workspace(spark, "store"), 4)
+    store.merge(store_frame(spark, [news(n, arrival_seq=i + 1) for i, n in enumerate("abcd")]))
+    run = MediaRun(store, LedgerTable(spark, new_workspace(spark, "attempts"), ATTEMPTS))
+    pages = spark.createDataFrame([(f"https://example.com/article?id={n}", f'<meta property="og:image" content="https://e.com/{n}.jpg">')
+                                   for n in "abd"], "url string, html string")
+    policy = dataclasses.replace(POLICY, max_media_enrichments=3)
+    registry = registry_frame(spark, [source(enrich_media=True)])
+    asked = []
+    for _ in range(3):
+        edition = jobs.edition_job(store.read(), registry, policy, CHINESE, NOW, pages, run)
+        asked.append({r.metric: r.value for r in edition.stats.collect()}["media_enrichment_requests"])
+    assert asked == [3, 1, 0]
+    got = {r.url[-1]: (r.image_url, r.last_seen_at) for r in store.read().collect()}
+    seen = stamp("2026-09-23T03:00:00Z").replace(tzinfo=None)
+    assert got == {"a": ("https://e.com/a.jpg", seen), "b": ("https://e.com/b.jpg", seen), "c": ("", seen), "d": ("https://e.com/d.jpg", seen)}
+
+
 def test_known_media_is_not_overwritten_and_old_records_cost_no_budget(spark):
     rows = [news("a", image_url="https://example.com/own.jpg", title="电影预告"), news("b", last_seen_at=stamp("2026-09-22T00:00:00Z"))]
     pages = spark.createDataFrame([(r["url"], '<meta property="og:image" content="https://example.com/p.jpg"><meta property="og:video" content="https://e.com/v.mp4">') for r in rows], "url string, html string")
@@ -171,9 +193,9 @@ def test_edition_job_and_day_partition_sink(spark):
 
 
 def test_rolling_feed_accumulates_in_the_store(spark):
-    from pressloom.operators.store import SnapshotTable
+    from pressloom.operators.store import RecordStore
 
-    table = SnapshotTable(spark, new_workspace(spark, "store"))
+    table = RecordStore(spark, new_workspace(spark, "store"), 4)
     fields = ["source_id", "url", "title", "summary", "published", "arrival_seq"]
     first = store_frame(spark, [news("a")]).select(*fields)
     second = store_frame(spark, [news("b", arrival_seq=1)]).select(*fields)
@@ -193,6 +215,18 @@ def test_ranking_helpers_with_a_hot_group(spark):
     assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
     assert top.filter("g = 'g1'").count() == 1
     assert top.filter("g NOT IN ('hot', 'g1')").count() == df.filter("g NOT IN ('hot', 'g1')").count()
-    assert top_per_group(df, ["g"], [F.col("id")], 1500).filter("g = 'hot'").count() == 1500
-    plan = top_per_group(df, ["g"], [F.col("id")], 3)._jdf.queryExecution().executedPlan().toString()
+    assert top_per_group(df, ["g"], [F.col("id")], 1500, ["id"]).filter("g = 'hot'").count() == 1500
+    plan = top_per_group(df, ["g"], [F.col("id")], 3, ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_stories_that_part_after_a_hundred_characters_stay_two(spark):
+    from pressloom.plans import catalog
+
+    same = "A film opens in the old harbour town " * 4
+    rows = [(1, same + "on Monday\nbody", "en", "src0", 0), (2, same + "on Tuesday\nbody", "en", "src0", 0), (25, same + "on Monday\nother", "en", "src0", 0)]
+    folder = new_workspace(spark, "tables")
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    got = catalog.queries()["dedup_titles"](spark, folder).collect()
+    assert sorted(r.title for r in got) == sorted({text.split("\n")[0] for _, text, *_ in rows} | {same + "on Monday"})
+    assert len(got) == 2 or {r.record_count for r in got} == {1}

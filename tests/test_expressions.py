@@ -144,13 +144,25 @@ def test_weekday_label(spark):
     assert df.select(P.weekday_label(F.col("d"))).first()[0] == "周三"
 
 
-def test_factual_overlap_equals_brute_force(spark):
+def test_overlap_bounds_equal_the_plain_ratio(spark):
     import difflib
-
-    from pressloom.functions.editorial import factual_overlap
-
-    pairs = [("abcd", "xbcdy"), ("abc", "zzabczz"), ("", "abc"), ("票房突破三亿", "票房突破两亿元"), ("abc", "abc"), ("ab", "cd")]
-    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
-    got = [r[0] for r in df.orderBy("i").select(factual_overlap(F.col("a"), F.col("b"))).collect()]
-    want = [0.0 if not a or not b else 1.0 if a in b or b in a else difflib.SequenceMatcher(None, a, b).ratio() for a, b in pairs]
-    assert got == want
+    import random
+
+    from pressloom.functions.editorial import overlap_below, overlap_decision
+
+    draw = random.Random(3)
+    pairs = [("abcd", "xbcdy"), ("abc", "zzabczz"), ("", "abc"), ("票房突破三亿", "票房突破两亿元"), ("abc", "abc"), ("ab", "cd"), (None, "a"), ("😀a😀", "😀b😀c")]
+    for _ in range(300):
+        a = "".join(draw.choice("abc票房破亿😀") for _ in range(draw.randint(0, 40)))
+        b = "".join(draw.choice(a + "xyz") for _ in range(draw.randint(0, 40))) if draw.random() < 0.5 else a[:draw.randint(0, 40)] + draw.choice(["", "x", "yz"]) + a[5:]
+        pairs.append((a, b))
+    pairs.append(("ab" * 150, "ba" * 140 + "c" * 20))
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string").repartition(1).sortWithinPartitions("i")
+    a, b = F.col("a"), F.col("b")
+    for threshold in (0.45, 0.78):
+        want = [None if x is None else True if not x or not y else False if x in y or y in x
+                else difflib.SequenceMatcher(None, x, y).ratio() < threshold for x, y in pairs]
+        got = df.select(overlap_below(a, b, threshold).alias("below"), overlap_decision(a, b, threshold).alias("by")).collect()
+        assert [r.below if x is not None else None for r, (x, _) in zip(got, pairs)] == want
+        # The bounds leave the ratio a part of the pairs only.
+        assert 0 < sum(r.by == "ratio" for r in got) < 0.8 * len(pairs) and {"lengths", "letters"} <= {r.by for r in got}

@@ -67,6 +67,19 @@ def english(spark, *rows):
     return spark.createDataFrame(list(rows), "id string, title string, summary string, language string, seq int")
 
 
+def test_names_that_all_begin_alike_meet_few_assets(spark):
+    names = [f"长风起处第{i:05d}部" for i in range(10_000)]
+    items = spark.createDataFrame([(str(i), f"《{name}》", "") for i, name in enumerate(names)], "id string, title string, summary string")
+    assets = spark.createDataFrame([(f"海报 {name} 终版",) for name in names[::10]] + [("长风起处",)], "asset string")
+    pieces = PK.grams_of(F.col("asset"), F.sequence(F.lit(1), F.lit(PK.ANCHOR)))
+    grams = assets.select("asset", F.explode(pieces).alias("anchor"))
+    wanted = spark.createDataFrame([(name,) for name in names], "name string")
+    met = PK.rarest_anchors(wanted, grams).join(grams, "anchor").count()
+    assert met < 20 * len(names)
+    got = {r.id: r.asset for r in PK.asset_match(items, assets, CHINESE).collect()}
+    assert got == {str(i): f"海报 {names[i]} 终版" for i in range(0, 10_000, 10)}
+
+
 def test_cached_translation_is_attached_and_the_original_kept(spark):
     items = english(spark, ("1", "Harbour Film Week Names Its Prizes", "Three prizes tonight.", "en", 1), ("2", "Other", "", "en", 2), ("3", "中文", "x", "zh", 3))
     key = hashlib.sha256((TR.MODEL + "\0Harbour Film Week Names Its Prizes\0Three prizes tonight.").encode()).hexdigest()
@@ -100,14 +113,57 @@ def test_cache_of_another_version_or_model_is_absent(spark):
     assert [r.key for r in TR.read_cache(spark, path).collect()] == ["k1"]
 
 
+MANIFESTS = "digest string, publish_date string"
+
+
 def test_publishing_twice_adds_nothing(spark):
-    path = new_workspace(spark, "published")
-    manifests = spark.createDataFrame([("d1", "2026-09-23"), ("d1", "2026-09-23"), ("d2", "2026-09-24")], "digest string, publish_date string")
-    empty = spark.createDataFrame([], "digest string, publish_date string")
-    PB.append_published(manifests.filter("digest = 'd1'"), empty, path)
-    PB.append_published(manifests, spark.read.parquet(path), path)
-    PB.append_published(manifests, spark.read.parquet(path), path)
-    assert sorted(r.digest for r in spark.read.parquet(path).collect()) == ["d1", "d2"]
+    log = PB.PublishLog(spark, new_workspace(spark, "published"))
+    assert log.read().count() == 0
+    manifests = spark.createDataFrame([("d1", "2026-09-23"), ("d1", "2026-09-23"), ("d2", "2026-09-24")], MANIFESTS)
+    log.append(manifests.filter("digest = 'd1'"))
+    log.append(manifests)
+    log.append(manifests)
+    assert sorted(tuple(r) for r in log.read().collect()) == [("d1", "2026-09-23"), ("d2", "2026-09-24")]
+
+
+def test_publish_stream_logs_a_digest_once_whatever_is_replayed(spark):
+    from pressloom.operators.ledger import Batch
+    from pressloom.streaming.publish_stream import run_publish_stream
+
+    landing, check = new_workspace(spark, "landing"), new_workspace(spark, "check")
+    log = PB.PublishLog(spark, new_workspace(spark, "published"))
+
+    def arrive(rows):
+        spark.createDataFrame(rows, MANIFESTS).coalesce(1).write.mode("append").parquet(landing)
+        return spark.readStream.schema(MANIFESTS).option("maxFilesPerTrigger", 1).parquet(landing)
+
+    run_publish_stream(arrive([("d1", "2026-09-23"), ("d2", "2026-09-24")]), log, check)
+    stream = arrive([("d2", "2026-09-30"), ("d3", "2026-09-25")])
+    run_publish_stream(stream, log, check)
+    want = [("d1", "2026-09-23"), ("d2", "2026-09-24"), ("d3", "2026-09-25")]
+    assert sorted(tuple(r) for r in log.read().collect()) == want
+    run_publish_stream(stream, log, new_workspace(spark, "check"))
+    assert sorted(tuple(r) for r in log.read().collect()) == want
+    batch = spark.createDataFrame([("d4", "2026-09-26")], MANIFESTS)
+    for _ in range(2):
+        log.append(batch, Batch("s", "id", 0))
+    log.append(batch, Batch("s", "id", 1))
+    assert [r.digest for r in log.read().collect()].count("d4") == 1
+
+
+def test_two_publishers_of_one_digest_log_it_once(spark):
+    log = PB.PublishLog(spark, new_workspace(spark, "published"))
+    rival = PB.PublishLog(spark, log.table.path)
+    publish = log.table.log.publish
+
+    def late(version, manifest):
+        log.table.log.publish = publish
+        rival.append(spark.createDataFrame([("d1", "2026-09-20")], MANIFESTS))
+        publish(version, manifest)
+
+    log.table.log.publish = late
+    log.append(spark.createDataFrame([("d1", "2026-09-23"), ("d2", "2026-09-24")], MANIFESTS))
+    assert sorted(tuple(r) for r in log.read().collect()) == [("d1", "2026-09-20"), ("d2", "2026-09-24")]
 
 
 def test_edition_index_skips_known_dates(spark):
