@@ -15,6 +15,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import BooleanType
 
 from pressloom.functions import text as X
+from pressloom.operators.scale import computed_once
 from pressloom.rules.pack import OBSERVATION, RulePack
 
 def _no_text() -> Column:
@@ -285,7 +286,9 @@ def with_core_sentence(df, pack: RulePack):
     else:
         template = F.when(c("from_blog"), headline)
     line = F.when(empty, headline).otherwise(F.coalesce(template, scored))
-    return staged.withColumn("core_sentence", line).drop("_parts", "_best", "_clause", "_fact")
+    # A filter on the line would copy all of its steps into itself.
+    lined = staged.withColumn("core_sentence", line).drop("_parts", "_best", "_clause", "_fact")
+    return computed_once(lined, {"core_sentence": c("core_sentence")})
 
 
 @pandas_udf(BooleanType())

@@ -132,7 +132,8 @@ def compatibility_form(value: Column) -> Column:
     # Full-width forms and the ellipsis fold natively; translate() is spared for texts without them.
     half = F.when(text.rlike("[\uff01-\uff5e\u3000]"), F.translate(text, _FULL_WIDTH, _HALF_WIDTH)).otherwise(text)
     folded = F.replace(half, F.lit("…"), F.lit("..."))
-    odd = F.when(folded.rlike(f"[^{STABLE_CHARS}]"), folded)
+    # The ranges before && tell most Latin text apart.
+    odd = F.when(folded.rlike(rf"[[^\x00-\x7f]&&[^\xbf-\xff]&&[^{STABLE_CHARS}]]"), folded)
     return F.coalesce(_compatibility_form(odd), folded)
 
 
