@@ -15,6 +15,8 @@ from pyspark.sql.types import StringType
 WORD = r"[\p{L}\p{N}_]"
 NOT_WORDS = r"[^\p{L}\p{N}_]+"
 SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
+# Any character outside such runs.
+NOT_SPACE = r"[^\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 # Character variants folded for matching only, and their targets.
 VARIANTS = {
@@ -43,7 +45,7 @@ def text_or_empty(value: Column) -> Column:
 
 def blank_to_null(value: Column) -> Column:
     """Null where the text is missing or only white space."""
-    return F.when(F.trim(F.regexp_replace(value, SPACE_RUN, " ")) != "", value)
+    return F.when(value.rlike(NOT_SPACE), value)
 
 
 def collapse_space(value: Column) -> Column:
@@ -93,8 +95,10 @@ def strip_markup(value: Column) -> Column:
 
 def clean_text(value: Column) -> Column:
     """Feed text: decode up to three layers, drop tags and a dangling tag, collapse space."""
-    plain = strip_markup(decode_entities(text_or_empty(value)))
-    return collapse_space(F.regexp_replace(plain, r"<[^>]*\z", ""))
+    decoded = decode_entities(text_or_empty(value))
+    # Most texts have no markup to look for.
+    bare = F.regexp_replace(strip_markup(decoded), r"<[^>]*\z", "")
+    return collapse_space(F.when(decoded.contains("<"), bare).otherwise(decoded))
 
 
 def clean_page_text(value: Column) -> Column:

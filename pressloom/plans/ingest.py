@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pressloom.operators.scale import written
 from pressloom.session import new_workspace
 from pressloom.sources import notices, pages, posts
 
@@ -35,9 +36,12 @@ def notice_feed(captured: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def post_feed(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Posts once each, and what keeps a target from full success: rejects, and pages that say they are partial."""
+    """Posts once each, and what keeps a target from full success: rejects, and pages that say they are partial.
+
+    Posts and rejects come from one reading of the responses, which is written.
+    """
     unpacked = posts.unpack_responses(responses)
-    normal = posts.normalize_posts(unpacked)
+    normal = written(posts.normalize_posts(unpacked), "posts")
     partial = posts.partial_pages(responses).select(F.col("target").alias("source_id"), F.lit("partial").alias("reason"), "n")
     rejects = posts.rejected(normal).select(F.col("target").alias("source_id"), F.col("reject").alias("reason"), "n")
     return posts.dedup_posts(posts.accepted(normal)), rejects.unionByName(partial)

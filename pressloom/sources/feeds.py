@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from pressloom.functions import text as X
 from pressloom.functions import urls as U
+from pressloom.operators.scale import computed_once
 
 _MEDIA = "array<struct<_VALUE:string,_url:string,_type:string>>"
 # With namespaces ignored several elements share a name (title, media:title); all are read in their order.
@@ -25,7 +26,7 @@ ENTRY_SCHEMA = (
 )
 IMAGE_FILE = r"(?i)\.(?:jpg|jpeg|png|webp)$"
 VIDEO_FILE = r"(?i)\.(?:mp4|m3u8|webm)$"
-_MARKUP_LINK = r"(?i)(?:src|href|_src)=[\"'](https?://[^\"']+)"
+_MARKUP_LINK = r"(?i)(?:src|href)=[\"'](https?://[^\"']+)"
 
 
 def read_entries(spark: SparkSession, path: str) -> DataFrame:
@@ -72,12 +73,10 @@ def with_media(entries: DataFrame, markup: Column) -> DataFrame:
         ),
         lambda m: U.is_http(m["url"]),
     )
-    staged = entries.withColumns(
-        {
-            "_declared": declared,
-            "_links": F.regexp_extract_all(X.decode_entities(markup), F.lit(_MARKUP_LINK), F.lit(1)),
-        }
-    )
+    staged = computed_once(entries, {"_declared": declared, "_markup": X.decode_entities(markup)})
+    # Most texts hold no address at all.
+    links = F.when(F.col("_markup").contains("://"), F.regexp_extract_all("_markup", F.lit(_MARKUP_LINK), F.lit(1)))
+    staged = computed_once(staged, {"_links": F.coalesce(links, F.array().cast("array<string>"))})
     image = F.filter(F.col("_declared"), lambda m: (m["name"] == "thumbnail") | m["type"].startswith("image/"))
     video = F.filter(F.col("_declared"), lambda m: m["type"].startswith("video/"))
     image_file = F.filter(F.col("_links"), lambda link: U.path(link).rlike(IMAGE_FILE))
@@ -88,7 +87,7 @@ def with_media(entries: DataFrame, markup: Column) -> DataFrame:
             "image_url": F.when(U.usable_news_image(found), found).otherwise(F.lit("")),
             "video_url": F.coalesce(_first(video)["url"], _first(video_file), F.lit("")),
         }
-    ).drop("_declared", "_links")
+    ).drop("_declared", "_markup", "_links")
 
 
 def feed_items(entries: DataFrame) -> DataFrame:
@@ -102,27 +101,26 @@ def feed_items(entries: DataFrame) -> DataFrame:
         F.when(c("id").startswith("http"), c("id")),
         F.lit(""),
     )
-    staged = entries.withColumns(
+    # The filter on titles and links would copy the text work into itself.
+    staged = computed_once(
+        entries,
         {
             "raw_title": _first_text("title", "group.title"),
             "raw_summary": _first_text("description", "summary", "content", "group.description", "group.content"),
             "raw_encoded": _first_text("encoded"),
             "raw_link": F.trim(link),
             "raw_published": _first_text("pubDate", "published", "updated", "date"),
-        }
+        },
     )
     with_files = with_media(staged, F.concat("raw_summary", "raw_encoded"))
-    return (
-        with_files.select(
-            "file",
-            X.clean_text(c("raw_title")).alias("title"),
-            U.canonical_url(c("raw_link")).alias("url"),
-            X.clean_text(c("raw_summary")).alias("summary"),
-            X.clean_text(c("raw_published")).alias("published"),
-            "image_url",
-            "video_url",
-            U.is_http(c("raw_link")).alias("_linked"),
-        )
-        .filter((c("title") != "") & c("_linked"))
-        .drop("_linked")
+    cleaned = computed_once(
+        with_files.select("file", "raw_title", "raw_link", "raw_summary", "raw_published", "image_url", "video_url"),
+        {
+            "title": X.clean_text(c("raw_title")),
+            "url": U.canonical_url(c("raw_link")),
+            "summary": X.clean_text(c("raw_summary")),
+            "published": X.clean_text(c("raw_published")),
+        },
     )
+    kept = cleaned.filter((c("title") != "") & U.is_http(c("raw_link")))
+    return kept.select("file", "title", "url", "summary", "published", "image_url", "video_url")

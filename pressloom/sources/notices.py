@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pressloom.functions import text as X
 from pressloom.functions import urls as U
-from pressloom.operators.scale import top_per_group
+from pressloom.operators.scale import computed_once, top_per_group, written
 from pressloom.sources.pages import html_meta
 
 # Number prefixes of filing categories.
@@ -34,11 +34,10 @@ def filing_category(number: Column, fallback: Column) -> Column:
 def notices(pages: DataFrame) -> DataFrame:
     """Notice pages with headline and date; ``pages`` holds ``url, html``."""
     c = F.col
-    return pages.select(
-        "url", "html",
-        X.clean_text(html_meta(c("html"), "ArticleTitle")).alias("notice_title"),
-        X.clean_text(html_meta(c("html"), "PubDate")).alias("notice_date"),
-    )
+    # Filters on headline and date would copy the search of the page, and of what the page is made from, into themselves.
+    found = computed_once(pages.select("url", "html"), {"html": c("html")}).select(
+        "url", "html", html_meta(c("html"), "ArticleTitle").alias("title"), html_meta(c("html"), "PubDate").alias("date"))
+    return computed_once(found, {"notice_title": X.clean_text(c("title")), "notice_date": X.clean_text(c("date"))}).drop("title", "date")
 
 
 def rejected_notices(parsed: DataFrame, filings: DataFrame) -> DataFrame:
@@ -64,19 +63,23 @@ def filings(parsed: DataFrame) -> DataFrame:
         F.coalesce(X.blank_to_null(F.get(c("categories"), c("table_pos"))), F.lit(DEFAULT_CATEGORY)).alias("table_category"),
         F.posexplode(F.regexp_extract_all(c("table"), F.lit(_ROW), F.lit(1))).alias("row_pos", "row"),
     )
-    cells = rows.withColumn("cells", F.regexp_extract_all(c("row"), F.lit(_CELL), F.lit(1))).filter(F.size("cells") >= 7)
+    # Both filters below would copy the search of a row into themselves.
+    cells = computed_once(rows, {"cells": F.regexp_extract_all(c("row"), F.lit(_CELL), F.lit(1))}).filter(F.size("cells") >= 7)
     names = ["row_no", "filing_no", "title", "company", "writer", "result", "region"]
 
     def cell(index: int) -> Column:
         raw = F.get(c("cells"), F.lit(index))
         return X.clean_text(F.coalesce(X.first_match(raw, _SCRIPTED, 1), raw))
 
+    numbered = computed_once(cells.select("url", "table_pos", "row_pos", "table_category", "cells"), {"row_no": cell(0)})
     return (
-        cells.select("url", "table_pos", "row_pos", "table_category", *[cell(i).alias(n) for i, n in enumerate(names)])
-        .filter(c("row_no").rlike(r"^\p{Nd}+$"))
+        numbered.filter(c("row_no").rlike(r"^\p{Nd}+$"))
+        .select(
+            "url", F.struct("table_pos", "row_pos").alias("place"), "table_category",
+            *[cell(i).alias(n) for i, n in enumerate(names) if i > 0],
+        )
         .select(
-            "url", F.struct("table_pos", "row_pos").alias("place"), *names[1:],
-            filing_category(c("filing_no"), X.clean_text(c("table_category"))).alias("category"),
+            "url", "place", *names[1:], filing_category(c("filing_no"), X.clean_text(c("table_category"))).alias("category"),
         )
     )
 
@@ -84,9 +87,11 @@ def filings(parsed: DataFrame) -> DataFrame:
 def notice_items(parsed: DataFrame, rows: DataFrame) -> DataFrame:
     """One item per notice with counts by category and at most eight sample titles.
 
-    Both lists are bounded: categories by their fixed set, samples by the literal limit.
+    Both lists are bounded: categories by their fixed set, samples by the literal limit. The filings are counted and
+    sampled, so what both need is written once.
     """
     c = F.col
+    rows = written(rows.select("url", "place", "title", "category"), "filings")
     counts = rows.groupBy("url", "category").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first_place"))
     by_notice = counts.groupBy("url").agg(
         F.sum("n").alias("total"),
